@@ -211,7 +211,7 @@ def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
         keep[:-1] |= same
         return pa.table({"token": t[keep].astype(np.int64) * shards + shard, "cid": c[keep]})
 
-    rows = entries.where("n > 0").select("cid", "text").mapInArrow(emit, "shard long, tokens binary, at binary, cids binary, narrow int")
+    rows = entries.where("n > 0").select("cid", "text").mapInArrow(emit, "shard long, tokens binary, at binary, cids binary, narrow long")
     return rows.groupBy("shard").applyInArrow(meet, "token long, cid long")
 
 
