@@ -73,7 +73,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     key = ["run", "digest", "variant"]
     best = F.max(F.struct("rep_id", (-F.col("run")).alias("late"))).alias("best")
     hits = index.groupBy("digest").agg(F.count("*").alias("entries")).where("entries > 1").select("digest")
-    opened = maybe_in(index.select(*key, "rep_id", "n", "text"), "digest", hits).join(hits, "digest", "left_semi")
+    opened = maybe_in(index.select(*key, "rep_id", "n", "text"), "digest", hits).join(hits, "digest")
     verified = opened.groupBy("digest", "text").agg(best, F.sum("n").alias("size"), F.collect_list(F.struct("run", "variant")).alias("at"))
     verified = verified.select("digest", "best", "size", F.explode("at").alias("at")).select("at.run", "digest", "at.variant", "best", "size")
     out = index.select(*key, "rep_id", "n", "members").join(verified, key, "left")
