@@ -26,7 +26,7 @@ from .common import components, materialize, maybe_in, read
 
 SHINGLE, NUM, DEN = 5, 3, 4
 #: Bands of ROWS minimum hashes that propose groups; salts for a band's or leader's rows.
-BANDS, ROWS, SALTS = 5, 2, 64
+BANDS, ROWS, SALTS, LEAD_SALTS = 5, 2, 64, 16
 MEMTABLE_ROWS, MEMTABLE_BYTES = 4096, 32 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
@@ -138,7 +138,7 @@ def _stars(classes: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (a, b), those that link: sets are built again from the texts, b's once for each salt."""
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(LEAD_SALTS)))
     nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
     one = nodes.join(classes.select("cid", "run"), "cid")
     text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes).join(one, ["cid", "run"])
@@ -162,6 +162,17 @@ def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFra
     return materialize(both.mapInArrow(check, "a long, b long"), "links")
 
 
+def _may_link(c, least, most):
+    """Bound of the overlap of two sets with c common prefix tokens.
+
+    least: the sum of their sizes at least; most: the larger size at most. The
+    set whose prefix ends first has all common tokens up to there among the c,
+    and beyond it ceil(3 n / 4) - 1 tokens; a link needs 3 (n + m) / 7 in common.
+    """
+    beyond = F.floor((NUM * most + DEN - 1) / DEN) - 1
+    return (NUM + DEN) * (c + beyond) >= NUM * least
+
+
 def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
     """(token, cid): prefix tokens that several classes of a shard have."""
     rare_last = np.array(sorted(x + (1 << 63) for x in heavy), np.uint64)
@@ -235,13 +246,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sized = materialize(classes.select("cid", "n").join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("grp", F.coalesce("component", "cid")).drop("component"), "groups")
 
     posts = materialize(_postings(entries, heavy, max(1, -(-total // (DEN * SHARD_TOKENS)))).join(sized, "cid"), "posts")
-    matrix = posts.groupBy("token", "grp").agg(F.min("cid").alias("rep"), F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = posts.groupBy("token", "grp").agg(F.min("cid").alias("rep"))
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-    matrix = materialize(matrix.join(shared, "token", "left_semi"), "matrix")
+    span = sized.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = materialize(matrix.join(shared, "token", "left_semi").join(span, "grp"), "matrix")
     x, y = matrix.alias("x"), matrix.alias("y")
     near = (F.col("x.grp") < F.col("y.grp")) & (NUM * F.col("x.low") <= DEN * F.col("y.high")) & (NUM * F.col("y.low") <= DEN * F.col("x.high"))
-    open_ = x.join(y, (F.col("x.token") == F.col("y.token")) & near).groupBy(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).agg(F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"))
-    open_ = materialize(open_, "open")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & near).groupBy(F.col("x.grp").alias("g"), F.col("y.grp").alias("h"))
+    met = met.agg(F.count("*").alias("c"), F.first(F.col("x.low") + F.col("y.low")).alias("least"), F.first(F.greatest("x.high", "y.high")).alias("most"), F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"))
+    open_ = materialize(met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))), "open")
     first = open_.select("p.a", "p.b")
     links = materialize(links.union(_verify(first, entries, classes)), "links")
     merged = components(links)
@@ -254,7 +267,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     inside = posts.join(left.select(F.col("g").alias("grp")).union(left.select(F.col("h").alias("grp"))).distinct(), "grp", "left_semi").join(shared, "token", "left_semi")
     p, q = inside.alias("p"), inside.alias("q")
     fits = (F.col("p.grp") < F.col("q.grp")) & (NUM * F.col("p.n") <= DEN * F.col("q.n")) & (NUM * F.col("q.n") <= DEN * F.col("p.n"))
-    rest = p.join(q, (F.col("p.token") == F.col("q.token")) & fits).select(F.col("p.grp").alias("g"), F.col("q.grp").alias("h"), F.col("p.cid").alias("a"), F.col("q.cid").alias("b")).distinct()
+    rest = p.join(q, (F.col("p.token") == F.col("q.token")) & fits).select(F.col("p.grp").alias("g"), F.col("q.grp").alias("h"), F.col("p.cid").alias("a"), F.col("q.cid").alias("b"), (F.col("p.n") + F.col("q.n")).alias("least"), F.greatest("p.n", "q.n").alias("most"))
+    rest = rest.groupBy("g", "h", "a", "b").agg(F.count("*").alias("c"), F.first("least").alias("least"), F.first("most").alias("most")).where(_may_link(F.col("c"), F.col("least"), F.col("most")))
     rest = rest.join(left, ["g", "h"], "left_semi").select("a", "b").join(first, ["a", "b"], "left_anti")
     links = links.union(_verify(materialize(rest, "rest"), entries, classes))
 
