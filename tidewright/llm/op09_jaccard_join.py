@@ -27,10 +27,10 @@ from .common import components, materialize, maybe_in, read
 SHINGLE, NUM, DEN = 5, 3, 4
 #: Bands of ROWS minimum hashes that propose groups; salts for a band's or leader's rows.
 BANDS, ROWS, SALTS, LEAD_SALTS = 5, 2, 64, 16
-MEMTABLE_ROWS, MEMTABLE_BYTES = 4096, 32 << 20
+MEMTABLE_ROWS, MEMTABLE_BYTES = 2048, 8 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
-SHARD_TOKENS, WORDS = 1 << 20, 400_000
+SHARD_TOKENS, WORDS = 1 << 20, 200_000
 #: Fixed odd multipliers of the shingle hash.
 MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(SHINGLE)], np.uint64)
 BAND_MULT = np.array([pow(0xD1342543DE82EF95, 2 * i + 1, 1 << 64) for i in range(BANDS * ROWS)], np.uint64)
