@@ -16,11 +16,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import read
+from .common import read, slices
 
 #: Training documents of a language (those with the smallest hash of the id), n-grams kept of them, and the order.
 TRAIN_DOCS, GRAMS, ORDER = 400, 300_000, 4
 DISCOUNT, ALPHABET, MARGIN, FOLDS = 0.75, 1 << 12, 0.6, 5
+#: Code points of a text, and n-grams, handled at once.
+BLOCK = 1 << 17
 SEED = 29
 
 
@@ -35,15 +37,40 @@ def _symbols() -> np.ndarray:
     return out
 
 
-def letters(text: str) -> np.ndarray:
-    """Symbols of a text: its letters, with one space for each run of others."""
+def _mapped(text: str) -> np.ndarray:
+    """One symbol for each code point: its letter, or a space."""
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     sym = _symbols()[np.minimum(cp, 0xFFFF)]
     if len(cp) and cp.max() > 0xFFFF:
         for i in np.flatnonzero(cp > 0xFFFF):
             if chr(cp[i]).isalpha():
                 sym[i] = 0xE000 + (int(cp[i]) & 0xFFF)
-    sym = np.concatenate([[32], sym, [32]]).astype(np.uint64)
+    return sym
+
+
+def _windows(s: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(s) - ORDER + 1, np.uint64)
+    for i in range(ORDER):
+        out = (out << np.uint64(16)) | s[i : len(s) - ORDER + 1 + i]
+    return out
+
+
+def gram_blocks(text: str):
+    """grams(letters(text)) in blocks of bounded size."""
+    tail = np.array([0] * (ORDER - 2) + [32], np.uint64)
+    for at in range(0, len(text) + 1, BLOCK):  # also once, for the last space, where the length is a multiple
+        sym = _mapped(text[at : at + BLOCK])
+        if at + BLOCK > len(text):
+            sym = np.append(sym, np.uint16(32))
+        before = np.concatenate([[tail[-1]], sym[:-1]])
+        s = np.concatenate([tail, sym[(sym != 32) | (before != 32)].astype(np.uint64)])
+        tail = s[1 - ORDER :]
+        yield _windows(s)
+
+
+def letters(text: str) -> np.ndarray:
+    """Symbols of a whole text: its letters, with one space for each run of others and at both ends."""
+    sym = np.concatenate([[32], _mapped(text), [32]]).astype(np.uint64)
     keep = np.ones(len(sym), bool)
     keep[1:] = (sym[1:] != 32) | (sym[:-1] != 32)
     return sym[keep]
@@ -51,11 +78,7 @@ def letters(text: str) -> np.ndarray:
 
 def grams(sym: np.ndarray) -> np.ndarray:
     """The 4-gram that ends at each symbol after the first; missing ones before it are 0."""
-    s = np.concatenate([np.zeros(ORDER - 2, np.uint64), sym])
-    out = np.zeros(len(s) - ORDER + 1, np.uint64)
-    for i in range(ORDER):
-        out = (out << np.uint64(16)) | s[i : len(s) - ORDER + 1 + i]
-    return out
+    return _windows(np.concatenate([np.zeros(ORDER - 2, np.uint64), sym]))
 
 
 def _find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,15 +155,13 @@ class Model:
             rows.clear()
 
         for r, text in enumerate(texts):
-            sym = letters(text or "")
-            if (sym == 32).all():
-                continue
-            g = grams(sym)
-            for at in range(0, len(g), 1 << 18):  # long texts in parts, all of them
-                block.append(g[at : at + (1 << 18)])
+            for g in gram_blocks(text or ""):  # long texts in parts, all of them
+                if not len(g):
+                    continue
+                block.append(g)
                 rows.append(r)
-                size += len(block[-1])
-                if size >= 1 << 18:
+                size += len(g)
+                if size >= BLOCK:
                     done()
                     size = 0
         done()
@@ -203,7 +224,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def work(batches):
         at = None
-        for b in batches:
+        for b in slices(batches):
             at = b.schema.get_field_index(text_col) if at is None else at
             ce, n = model.cross_entropy(b.column(at).to_pylist())
             best = np.argmin(ce, axis=1)

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, maybe_in, read
+from .common import materialize, maybe_in, read, slices
 
 #: A memtable is flushed beyond so many rows or bytes of text.
-MEMTABLE_ROWS, MEMTABLE_BYTES = 8192, 32 << 20
+MEMTABLE_ROWS, MEMTABLE_BYTES = 8192, 12 << 20
 
 
 def runs(df: DataFrame, id_col: str, text_col: str, digest=lambda raw: hashlib.sha256(raw).digest()) -> DataFrame:
@@ -37,7 +37,7 @@ def runs(df: DataFrame, id_col: str, text_col: str, digest=lambda raw: hashlib.s
         run = TaskContext.get().partitionId() << 32
         table: dict[bytes, list[tuple[bytes, list[int]]]] = {}
         rows = size = 0
-        for b in batches:
+        for b in slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = (text or "").encode()
                 entries = table.setdefault(digest(raw), [])
