@@ -22,7 +22,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, materialize, maybe_in, read
+from .common import components, materialize, maybe_in, read, slices
 
 SHINGLE, NUM, DEN = 5, 3, 4
 #: Bands of ROWS minimum hashes that propose groups; salts for a band's or leader's rows.
@@ -102,7 +102,7 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     del heavy[x]
             return out
 
-        for b in batches:
+        for b in slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingles(text)
                 cid = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
@@ -127,13 +127,15 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _stars(classes: DataFrame) -> DataFrame:
-    """(a, b): each class and the leader of its salted band, and those leaders and the band's."""
-    rows = classes.where("n > 0").select("cid", F.posexplode("sigs").alias("band", "sig")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
-    lead = rows.groupBy("band", "sig", "salt").agg(F.min("cid").alias("lead"), F.count("*").alias("size"))
+    """(a, b): each class and the leader of its salted band, and those leaders and the band's; sizes allow a link."""
+    rows = classes.where("n > 0").select("cid", "n", F.posexplode("sigs").alias("band", "sig")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
+    least = F.min(F.struct("cid", "n"))
+    lead = rows.groupBy("band", "sig", "salt").agg(least.alias("lead"), F.count("*").alias("size"))
     top = lead.groupBy("band", "sig").agg(F.min("lead").alias("top"), F.count("*").alias("size"))
-    inner = rows.join(lead.where("size > 1").drop("size"), ["band", "sig", "salt"]).select(F.col("cid").alias("a"), F.col("lead").alias("b"))
+    inner = rows.join(lead.where("size > 1").drop("size"), ["band", "sig", "salt"]).select(F.struct("cid", "n").alias("a"), F.col("lead").alias("b"))
     outer = lead.drop("size").join(top.where("size > 1"), ["band", "sig"]).select(F.col("lead").alias("a"), F.col("top").alias("b"))
-    return inner.union(outer).where("a != b").distinct()
+    fits = NUM * F.greatest("a.n", "b.n") <= DEN * F.least("a.n", "b.n")
+    return inner.union(outer).where((F.col("a.cid") != F.col("b.cid")) & fits).select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
 
 
 def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFrame:
@@ -149,7 +151,7 @@ def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFra
 
     def check(batches):
         now = None
-        for batch in batches:
+        for batch in slices(batches):
             a_out, b_out = [], []
             for b, a, text in zip(*(batch.column(c).to_pylist() for c in ("b", "a", "text"))):
                 if a is None:
@@ -179,7 +181,7 @@ def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
     place = {x + (1 << 63): i for i, x in enumerate(heavy)}
 
     def emit(batches):
-        for batch in batches:
+        for batch in slices(batches, 4096):
             cids, toks, at = [], [], []
             for cid, text in zip(*(batch.column(c).to_pylist() for c in ("cid", "text"))):
                 s = shingles(text)
