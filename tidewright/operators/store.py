@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from . import merge as m
 
+#: Folders of data that appends may add to a table before one of them rewrites it.
+FOLDERS = 64
+
 
 class VersionedStore:
     """A table is root/_log/<version>.json naming a data folder; readers take the highest.
@@ -42,9 +46,12 @@ class VersionedStore:
 
     def read(self, version: int | None = None) -> DataFrame | None:
         e = self.entry(version)
-        return None if e is None else self.spark.read.parquet(f"{self.root}/{e['data']}")
+        if e is None:
+            return None
+        parts = [self.spark.read.parquet(f"{self.root}/{d}") for d in e["data"]]
+        return reduce(m.append, parts)
 
-    def _commit(self, df: DataFrame, base: int | None, partition_by: list[str], note: dict) -> dict:
+    def _commit(self, df: DataFrame, base: int | None, partition_by: list[str], note: dict, before: tuple[str, ...] = ()) -> dict:
         data = f"data/{uuid.uuid4().hex}"
         seen = Observation()
         flags = [c for c in ("__insert", "__update", "__reject") if c in df.columns]
@@ -54,7 +61,7 @@ class VersionedStore:
         writer = out.write
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{data}")
         got = {k: int(v) for k, v in seen.get.items()}
-        entry = {"data": data, "schema": json.loads(out.schema.json()), "metrics": got, **note}
+        entry = {"data": [*before, data], "schema": json.loads(out.schema.json()), "metrics": got, **note}
         stream = self.fs.create(self._log(f"{(-1 if base is None else base) + 1:020d}.json"), False)
         stream.write(bytearray(json.dumps(entry).encode()))
         stream.close()
@@ -73,7 +80,11 @@ class VersionedStore:
             missing = {c.lower() for c in now.columns} - {c.lower() for c in batch.columns}
             df = self._merged(m.align(now, batch), m.align(batch, now), keys, guard, missing)
         elif mode == "append":
-            df = batch if now is None else m.append(now, batch)
+            # only the batch is written; beyond FOLDERS folders the table is written anew
+            before = () if base is None else tuple(self.entry(base)["data"])
+            if len(before) < FOLDERS:
+                return self._commit(batch, base, partition_by or [], {"mode": mode, **note}, before)
+            df = m.append(now.withColumn("__insert", F.lit(False)), batch.withColumn("__insert", F.lit(True)))
         elif mode == "overwrite":
             df = batch
         else:
