@@ -2,7 +2,8 @@
 
 Texts with one shingle set are one class. Classes are put into groups of
 similar documents: those that share a band of minimum hashes are compared with
-the band's leader, and verified links form the groups. Then the matrix: for
+the band's leader, then with leaders of their tokens, and verified links form
+the groups. Then the matrix: for
 each token of a class's prefix, the groups whose union of prefix tokens holds
 it. Two sets with Jaccard >= 3/4 share a token of their prefixes (the rarest
 n - ceil(3 n / 4) + 1 of each), so a query whose prefix has no token in a
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import components, materialize, maybe_in, read, slices
 
@@ -228,6 +229,27 @@ def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(meet, "token long, cid long")
 
 
+def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(cid, n, grp): classes and their groups by the links so far."""
+    groups = components(links).withColumnRenamed("node", "cid")
+    return classes.select("cid", "n").join(groups, "cid", "left").withColumn("grp", F.coalesce("component", "cid")).drop("component")
+
+
+def _leaders(posts: DataFrame) -> DataFrame:
+    """(a, b): classes and the leader of a token of theirs, where it is in another group and may link.
+
+    A token's leader is the class with the largest share of its prefix in
+    other classes too: in a group of edited copies, the text they were made
+    of. One leader a token keeps this linear; it only forms larger groups.
+    """
+    lead = posts.groupBy("token").agg(F.max(F.struct("score", "cid", "n", "grp")).alias("b"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+    lead = lead.where("low != high").select("token", "b")
+    fits = NUM * F.greatest("n", "b.n") <= DEN * F.least("n", "b.n")
+    met = posts.join(lead, "token").where((F.col("grp") != F.col("b.grp")) & fits)
+    met = met.groupBy(F.col("cid").alias("a"), F.col("b.cid").alias("b")).agg(F.count("*").alias("c"), F.first(F.col("n") + F.col("b.n")).alias("least"), F.first(F.greatest("n", "b.n")).alias("most"))
+    return met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))).select("a", "b")
+
+
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links).
 
@@ -244,10 +266,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     total = classes.agg(F.sum("n")).first()[0] or 0
 
     links = _verify(_stars(classes), entries, classes)
-    groups = components(links)
-    sized = materialize(classes.select("cid", "n").join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("grp", F.coalesce("component", "cid")).drop("component"), "groups")
-
-    posts = materialize(_postings(entries, heavy, max(1, -(-total // (DEN * SHARD_TOKENS)))).join(sized, "cid"), "posts")
+    sized = materialize(_grouped(classes, links), "groups")
+
+    # the join has dealt the rows by cid already; a window holds the prefix of one class
+    prefix = F.col("n") - F.floor((NUM * F.col("n") + DEN - 1) / DEN) + 1
+    posts = _postings(entries, heavy, max(1, -(-total // (DEN * SHARD_TOKENS)))).join(sized, "cid")
+    posts = materialize(posts.withColumn("score", F.count("*").over(Window.partitionBy("cid")) / prefix), "posts")
+    links = materialize(links.union(_verify(materialize(_leaders(posts), "lead"), entries, classes)), "links")
+    sized = materialize(_grouped(classes, links), "groups")
+    posts = materialize(posts.select("token", "cid").join(sized, "cid"), "posts")
     matrix = posts.groupBy("token", "grp").agg(F.min("cid").alias("rep"))
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
     span = sized.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
