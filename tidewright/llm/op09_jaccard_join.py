@@ -15,8 +15,6 @@ decided on whole sets of 64-bit hashes.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,44 +29,69 @@ BANDS, ROWS, SALTS, LEAD_SALTS = 5, 2, 64, 16
 MEMTABLE_ROWS, MEMTABLE_BYTES = 2048, 8 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
-SHARD_TOKENS, WORDS = 1 << 20, 200_000
+SHARD_TOKENS = 1 << 20
+#: Bytes of a word hashed by its bytes, and of a block of a text.
+SHORT, BLOCK = 32, 1 << 18
 #: Fixed odd multipliers of the shingle hash.
 MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(SHINGLE)], np.uint64)
 BAND_MULT = np.array([pow(0xD1342543DE82EF95, 2 * i + 1, 1 << 64) for i in range(BANDS * ROWS)], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, w: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        h = self[w] = xxhash.xxh3_64_intdigest(w)
-        return h
-
-
-@lru_cache(1)
-def _words() -> _Words:
-    return _Words()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
+#: White space; a hash of each byte, A-Z as a-z; powers for places in a word.
+GAPS = b" \t\n\r\x0b\x0c"
+IS_GAP = np.isin(np.arange(256, dtype=np.uint8), np.frombuffer(GAPS, np.uint8))
+BYTE = _mix(np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64) + np.uint64(1))
+PLACE = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(SHORT)], np.uint64)
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, lower-cased: of short words from their bytes' hashes, all at once."""
+    b = np.frombuffer(text, np.uint8)
+    edge = np.flatnonzero(np.diff(IS_GAP[b], prepend=True, append=True))
+    start, length = edge[::2], edge[1::2] - edge[::2]
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    first = np.repeat(start - np.cumsum(length) + length, length)
+    place = np.arange(len(first)) + first
+    part = BYTE[b[place]] * PLACE[np.minimum(place - np.repeat(start, length), SHORT - 1)]
+    h = _mix(np.add.reduceat(part, np.cumsum(length) - length) + length.astype(np.uint64))
+    for i in np.flatnonzero(length > SHORT):
+        h[i] = xxhash.xxh3_64_intdigest(text[start[i] : start[i] + length[i]].lower())
+    return h
+
+
+def _blocks(text: bytes):
+    """The text in blocks of about BLOCK bytes, cut at white space."""
+    at = 0
+    while len(text) - at > BLOCK:
+        end = max(text.rfind(g, at, at + BLOCK) for g in (GAPS[i : i + 1] for i in range(len(GAPS))))
+        if end <= at:
+            end = min((x for g in GAPS if (x := text.find(g, at + BLOCK)) >= 0), default=len(text))
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's 5-word shingles."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < SHINGLE:
-        return np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=len(words))], np.uint64)
-    w = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
+    w = np.concatenate([_word_hashes(b) for b in _blocks((text or "").encode())])
+    if not len(w):
+        return w
+    if len(w) < SHINGLE:
+        return np.array([xxhash.xxh3_64_intdigest(w.tobytes(), seed=len(w))], np.uint64)
     n = len(w) - SHINGLE + 1
     h = w[:n] * MULT[0]
     for i in range(1, SHINGLE):
-        h = _mix(h) + w[i : i + n] * MULT[i]
-    return np.unique(_mix(h))
+        h += w[i : i + n] * MULT[i]
+    h = _mix(h)
+    h.sort()
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -79,7 +102,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _signature(s: np.ndarray) -> list[int]:
-    low = [_mix(s * m).min() for m in BAND_MULT]
+    low = [(s * m).min() for m in BAND_MULT]
     return [xxhash.xxh3_64_intdigest(b"".join(x.tobytes() for x in low[i * ROWS : (i + 1) * ROWS])) - (1 << 63) for i in range(BANDS)]
 
 
