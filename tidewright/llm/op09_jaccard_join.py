@@ -9,8 +9,9 @@ it. Two sets with Jaccard >= 3/4 share a token of their prefixes (the rarest
 n - ceil(3 n / 4) + 1 of each), so a query whose prefix has no token in a
 group's union has overlap below the bound there and leaves the group closed.
 Qualifying pairs of groups are opened: first by one pair of documents, then,
-if that doesn't link them, by every pair that shares a token. Every link is
-decided on whole sets of 64-bit hashes.
+if that doesn't link them, by every pair that shares a token. Pairs whose
+parity bits differ in more places than linked sets can are dropped, and every
+link is decided on whole sets of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -106,10 +107,25 @@ def _signature(s: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(b"".join(x.tobytes() for x in low[i * ROWS : (i + 1) * ROWS])) - (1 << 63) for i in range(BANDS)]
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """Bits by the first binary digits of the tokens, as many as tokens or up to twice that; a bit is the parity of its count."""
+    digits = max(6, (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s >> np.uint64(64 - digits)).astype(np.int64), minlength=1 << digits).astype(np.uint8) & 1).tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """At most the number of tokens that only one of two sets has, from their parities."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) != len(y):
+        x, y = sorted((x, y), key=len)
+        y = np.packbits(np.bitwise_xor.reduce(np.unpackbits(y).reshape(8 * len(x), -1), axis=1))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A task's classes (cid, n, sigs, ids, text) and, with cid null, tokens that it counted often (sigs) and their counts (ids)."""
-    names = ["run", "cid", "n", "sigs", "ids", "text"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string()]
+    names = ["run", "cid", "n", "sigs", "bits", "ids", "text"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.string()]
 
     def work(batches):
         run = TaskContext.get().partitionId() << 32
@@ -131,9 +147,9 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 s = shingles(text)
                 cid = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 if cid in table:
-                    table[cid][2].append(doc)
+                    table[cid][3].append(doc)
                 else:
-                    table[cid] = (len(s), _signature(s) if len(s) else [], [doc], text)
+                    table[cid] = (len(s), _signature(s) if len(s) else [], _parity(s) if len(s) else None, [doc], text)
                     size += len(text or "")
                     tokens.append(s)
                 rows += 1
@@ -144,10 +160,10 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield flush()
         top = sorted(heavy, key=lambda x: (-heavy[x], x))[:HEAVY_TASK]
         if top:
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([run, None, 0, [x - (1 << 63) for x in top], [heavy[x] for x in top], None], kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([run, None, 0, [x - (1 << 63) for x in top], None, [heavy[x] for x in top], None], kinds)], names=names)
 
     src = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return src.mapInArrow(work, "run long, cid long, n long, sigs array<long>, ids array<long>, text string")
+    return src.mapInArrow(work, "run long, cid long, n long, sigs array<long>, bits binary, ids array<long>, text string")
 
 
 def _stars(classes: DataFrame) -> DataFrame:
@@ -162,9 +178,26 @@ def _stars(classes: DataFrame) -> DataFrame:
     return inner.union(outer).where((F.col("a.cid") != F.col("b.cid")) & fits).select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
 
 
+def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b, salt) without those whose parities alone rule out a link; two linked sets differ in at most (n + m) / 7 tokens."""
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(LEAD_SALTS)))
+    nodes = pairs.select("a").union(pairs.select("b")).distinct()
+    bits = maybe_in(classes.select("cid", F.struct("n", "bits").alias("x")), "cid", nodes)
+    lead = pairs.select("b", "salt").distinct().join(bits.select(F.col("cid").alias("b"), F.col("x").alias("y")), "b")
+    both = pairs.join(bits.withColumnRenamed("cid", "a"), "a").join(lead, ["b", "salt"])
+
+    def check(batches):
+        for batch in slices(batches, 4096):
+            n, x, m, y = (batch.column(c).to_pylist() for c in ("n", "x", "m", "y"))
+            yield batch.select(["a", "b", "salt"]).filter(pa.array([(NUM + DEN) * _differ(x[i], y[i]) <= n[i] + m[i] for i in range(len(n))], pa.bool_()))
+
+    both = both.select("a", "b", "salt", F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y"))
+    return materialize(both.mapInArrow(check, "a long, b long, salt long"), "close")
+
+
 def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (a, b), those that link: sets are built again from the texts, b's once for each salt."""
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(LEAD_SALTS)))
+    pairs = _close(pairs, classes)
     nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
     one = nodes.join(classes.select("cid", "run"), "cid")
     text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes).join(one, ["cid", "run"])
@@ -282,7 +315,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other columns are ignored. Copies cost one row per task.
     """
     entries = materialize(_entries(df, id_col, text_col), "sets")
-    classes = entries.where("cid is not null").groupBy("cid").agg(F.min("run").alias("run"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.min(F.array_min("ids")).alias("rep"))
+    classes = entries.where("cid is not null").groupBy("cid").agg(F.min("run").alias("run"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("bits").alias("bits"), F.min(F.array_min("ids")).alias("rep"))
     classes = materialize(classes, "classes")
     heavy = entries.where("cid is null").select(F.explode(F.arrays_zip("sigs", "ids")).alias("x")).groupBy("x.sigs").agg(F.sum("x.ids").alias("c"))
     heavy = [r[0] for r in heavy.orderBy(F.desc("c"), "sigs").limit(HEAVY_MOST).collect()]
@@ -300,21 +333,21 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     posts = materialize(posts.select("token", "cid").join(sized, "cid"), "posts")
     matrix = posts.groupBy("token", "grp").agg(F.min("cid").alias("rep"))
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-    span = sized.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    span = sized.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("members"))
     matrix = materialize(matrix.join(shared, "token", "left_semi").join(span, "grp"), "matrix")
     x, y = matrix.alias("x"), matrix.alias("y")
     near = (F.col("x.grp") < F.col("y.grp")) & (NUM * F.col("x.low") <= DEN * F.col("y.high")) & (NUM * F.col("y.low") <= DEN * F.col("x.high"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & near).groupBy(F.col("x.grp").alias("g"), F.col("y.grp").alias("h"))
-    met = met.agg(F.count("*").alias("c"), F.first(F.col("x.low") + F.col("y.low")).alias("least"), F.first(F.greatest("x.high", "y.high")).alias("most"), F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"))
+    met = met.agg(F.count("*").alias("c"), F.first(F.col("x.low") + F.col("y.low")).alias("least"), F.first(F.greatest("x.high", "y.high")).alias("most"), F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"), F.first(F.col("x.members") + F.col("y.members")).alias("members"))
     open_ = materialize(met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))), "open")
     first = open_.select("p.a", "p.b")
     links = materialize(links.union(_verify(first, entries, classes)), "links")
     merged = components(links)
 
-    # groups that the first pair did not join: every pair of theirs that shares a token
+    # groups that the first pair did not join, unless it was their only pair: every pair of theirs that shares a token
     comp = merged.withColumnRenamed("node", "g")
     left = open_.join(comp.select("g", F.col("component").alias("cg")), "g", "left").join(comp.select(F.col("g").alias("h"), F.col("component").alias("ch")), "h", "left")
-    left = left.where(F.coalesce("cg", "g") != F.coalesce("ch", "h")).select("g", "h")
+    left = left.where((F.coalesce("cg", "g") != F.coalesce("ch", "h")) & (F.col("members") > 2)).select("g", "h")
     p, q = posts.alias("p"), posts.alias("q")
     inside = posts.join(left.select(F.col("g").alias("grp")).union(left.select(F.col("h").alias("grp"))).distinct(), "grp", "left_semi").join(shared, "token", "left_semi")
     p, q = inside.alias("p"), inside.alias("q")
