@@ -321,7 +321,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heavy = [r[0] for r in heavy.orderBy(F.desc("c"), "sigs").limit(HEAVY_MOST).collect()]
     total = classes.agg(F.sum("n")).first()[0] or 0
 
-    links = _verify(_stars(classes), entries, classes)
+    links = _verify(materialize(_stars(classes), "stars"), entries, classes)
     sized = materialize(_grouped(classes, links), "groups")
 
     # the join has dealt the rows by cid already; a window holds the prefix of one class
@@ -348,8 +348,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     comp = merged.withColumnRenamed("node", "g")
     left = open_.join(comp.select("g", F.col("component").alias("cg")), "g", "left").join(comp.select(F.col("g").alias("h"), F.col("component").alias("ch")), "h", "left")
     left = left.where((F.coalesce("cg", "g") != F.coalesce("ch", "h")) & (F.col("members") > 2)).select("g", "h")
-    p, q = posts.alias("p"), posts.alias("q")
-    inside = posts.join(left.select(F.col("g").alias("grp")).union(left.select(F.col("h").alias("grp"))).distinct(), "grp", "left_semi").join(shared, "token", "left_semi")
+    inside = posts.join(left.select(F.col("g").alias("grp")).union(left.select(F.col("h").alias("grp"))).distinct(), "grp", "left_semi")
     p, q = inside.alias("p"), inside.alias("q")
     fits = (F.col("p.grp") < F.col("q.grp")) & (NUM * F.col("p.n") <= DEN * F.col("q.n")) & (NUM * F.col("q.n") <= DEN * F.col("p.n"))
     rest = p.join(q, (F.col("p.token") == F.col("q.token")) & fits).select(F.col("p.grp").alias("g"), F.col("q.grp").alias("h"), F.col("p.cid").alias("a"), F.col("q.cid").alias("b"), (F.col("p.n") + F.col("q.n")).alias("least"), F.greatest("p.n", "q.n").alias("most"))
