@@ -283,3 +283,36 @@ def test_no_python_in_native_plans(docs, spark):
         plan = df._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
     assert F is not None
+
+
+def test_jaccard_shingles_equal_word_tuples():
+    def brute(text):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+        return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    texts = [row[1] for row in _rows()] + ["a\x0bB\x1fc  d", "é É x y z w", "x" * 300_000 + " y z", ("w " * 5 + "q") * 60_000, "A" * 33 + " b c d e", "a" * 33 + " b c d e"]
+    for text in texts:
+        assert len(op09_jaccard_join.shingles(text)) == len(brute(text))
+    for a in texts:
+        for b in texts:
+            if len(a or "") < 1000 and len(b or "") < 1000:
+                both = np.intersect1d(op09_jaccard_join.shingles(a), op09_jaccard_join.shingles(b))
+                assert len(both) == len(brute(a) & brute(b))
+
+
+def test_jaccard_shingles_do_not_depend_on_blocks(monkeypatch):
+    text = " ".join("word%d\n" % (i % 977) for i in range(20_000))
+    whole = op09_jaccard_join.shingles(text)
+    monkeypatch.setattr(op09_jaccard_join, "BLOCK", 64)
+    assert (op09_jaccard_join.shingles(text) == whole).all()
+
+
+def test_jaccard_parities_never_exclude_a_link():
+    rng = np.random.default_rng(3)
+    for _ in range(1500):
+        a = np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, 900)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: int(rng.integers(1, len(a) + 1))], rng.integers(0, 1 << 64, int(rng.integers(0, 300)), dtype=np.uint64)]))
+        differ = op09_jaccard_join._differ(op09_jaccard_join._parity(a), op09_jaccard_join._parity(b))
+        assert differ <= len(np.setxor1d(a, b))
+        if op09_jaccard_join.linked(a, b):
+            assert 7 * differ <= len(a) + len(b)
