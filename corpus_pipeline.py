@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewright.llm import op02_packing, op04_language_id, op06_exact_dedup, op07_mixing, op09_jaccard_join
 from tidewright.llm.common import WORD, materialize, read
 
+#: Hashes tried until no two documents share one; a second is rarely needed.
+SEEDS = 8
+
 
 def _sha(text: str = "text") -> F.Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
@@ -23,17 +26,36 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return op04_language_id.identify(docs, model, keep=True).where("accepted").select(*docs.columns)
 
 
+def _row() -> dict[str, F.Column]:
+    """What names a row, without nulls: null never equals null in a join, but the pair (0, true) equals itself."""
+    return {"__id": F.coalesce("doc_id", F.lit(0)), "__null": F.col("doc_id").isNull(), "__sha": _sha()}
+
+
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays, the one with the largest doc_id."""
-    kept = op06_exact_dedup.exact_dedup(docs).where("kept").select("doc_id", F.col("text_sha256").alias("__sha"))
-    rows = docs.withColumn("__sha", _sha()).join(kept, ["doc_id", "__sha"], "left_semi")
-    return rows.dropDuplicates(["doc_id", "__sha"]).select(*docs.columns)
+    """Of equal texts one row stays, the one with the largest doc_id; a null doc_id is below all others."""
+    kept = op06_exact_dedup.exact_dedup(docs).where("kept").withColumns(_row() | {"__sha": F.col("text_sha256")}).select(*_row())
+    rows = docs.withColumns(_row()).join(kept, [*_row()], "left_semi")
+    return rows.dropDuplicates([*_row()]).select(*docs.columns)
 
 
 def distinct_near_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shingles, directly or not, the one with the smallest doc_id stays."""
-    kept = op09_jaccard_join.jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of documents linked by shingles, directly or not, the one with the smallest doc_id stays.
+
+    A document is a doc_id and a text: two texts of one doc_id are two
+    documents (of linked ones the smaller SHA-256 stays), and a null doc_id is
+    above all others. The join gets a hash of both; no two documents share one.
+    """
+    for seed in range(SEEDS):
+        rows = docs.withColumn("__key", F.xxhash64(F.lit(seed), *[c for n, c in _row().items() if n != "__sha"], F.coalesce("text", F.lit(""))))
+        own = F.struct(*[_row()[n].alias(n) for n in ("__null", "__id", "__sha")])
+        keys = materialize(rows.select("__key", own.alias("own")).groupBy("__key").agg(F.min("own").alias("own"), F.max("own").alias("last")), "keys")
+        if keys.where("own != last").isEmpty():
+            break
+    else:
+        raise RuntimeError("documents share a hash with every seed")
+    linked = op09_jaccard_join.jaccard_components(rows, id_col="__key").select("__key", "component_id")
+    kept = linked.join(keys.select("__key", "own"), "__key").groupBy("component_id").agg(F.min(F.struct("own", "__key")).alias("best")).select("best.__key")
+    return rows.join(kept, "__key", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 """The pipeline's stages on a small table."""
 
 import random
+from collections import Counter
+
+import pytest
 
 import corpus_pipeline
 
@@ -27,3 +30,40 @@ def test_pipeline(spark, tmp_path):
     words_in = sum(len(r["text"].split()) for r in seen[2].collect())
     assert abs(sum(len(r["text"].split()) for r in seen[3].collect()) - 1.5 * words_in) < 100
     assert seen[4].count() and corpus_pipeline.run(spark, str(tmp_path)).count()
+
+
+def _texts(n, seed):
+    rng = random.Random(seed)
+    return [" ".join("w%d" % rng.randrange(300) for _ in range(60)) for _ in range(n)]
+
+
+def _near(text):
+    return text.rsplit(" ", 1)[0] + " changed"
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def _left(df):
+    return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_null_and_repeated_ids_stay(spark):
+    a, b, c, d, e, f, g, h = _texts(8, 1)
+    rows = [(None, a), (None, b), (None, b), (None, c), (3, c), (7, d), (7, e), (7, e), (0, f)]
+    want = [(None, a), (None, b), (3, c), (7, d), (7, e), (0, f)]
+    once = corpus_pipeline.materialize(corpus_pipeline.distinct_texts(spark, _frame(spark, rows), ""), "test")
+    assert _left(once) == Counter(want)
+    assert _left(corpus_pipeline.distinct_near_texts(spark, once, "")) == Counter(want)
+    # a near copy of another document goes, whatever else has its id; null goes before any id, and 0 is no null
+    rows = want + [(3, _near(a)), (7, _near(f)), (None, _near(d)), (None, g), (0, _near(g)), (None, h), (None, _near(h))]
+    out = _left(corpus_pipeline.distinct_near_texts(spark, _frame(spark, rows), ""))
+    assert {k for k in out if k[1] not in (h, _near(h))} == {(3, _near(a)), (None, b), (3, c), (7, d), (7, e), (0, f), (0, _near(g))}
+    assert sum(out.values()) == 8
+
+
+def test_documents_that_share_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline.F, "xxhash64", lambda *cols: corpus_pipeline.F.lit(1).cast("long"))
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.distinct_near_texts(spark, _frame(spark, list(enumerate(_texts(3, 2)))), "")
