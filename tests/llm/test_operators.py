@@ -165,6 +165,22 @@ def test_language_model_is_a_distribution_and_separates(spark):
     assert not out[902]["accepted"] and out[902]["lang_pred"] in words
 
 
+def test_few_training_documents_reject_no_clean_one(spark):
+    rng = random.Random(9)
+    letters = {"en": "etaoinshr", "de": "äöüßbgkmz", "fr": "éèçàvxjqw"}
+    words = {k: ["".join(rng.choice(v) for _ in range(rng.randrange(2, 7))) for _ in range(400)] for k, v in letters.items()}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(40))
+    train = [i for i in range(200) if not op04_language_id.is_held_out(i)]
+    rows = [(i, text("en"), "en") for i in train[:60]] + [(i, text("de"), "de") for i in train[60:63]] + [(train[63], text("fr"), "fr")]
+    new = [(1000 + i, text(lang), None) for i, lang in enumerate(["en", "de", "fr"] * 20)]
+    df = spark.createDataFrame(rows + new, "doc_id long, text string, lang string")
+    model = op04_language_id.train(df)
+    assert model.langs == ["de", "en", "fr"] and np.isfinite(model.limit[:2]).all() and np.isinf(model.limit[2])
+    out = {r["doc_id"]: r for r in op04_language_id.identify(df, model).collect()}
+    for i in range(60):
+        assert out[1000 + i]["lang_pred"] == ["en", "de", "fr"][i % 3] and out[1000 + i]["accepted"]
+
+
 def test_pii_base_spans(docs, rows):
     patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 

@@ -3,7 +3,8 @@
 One model per language over letters and spaces, order 4, held as sorted arrays
 of n-gram keys with one log-probability per language. The language with the
 lowest cross-entropy per character wins; the cross-entropy of held-back
-training texts sets the level beyond which a text is rejected.
+training texts sets the level beyond which a text is rejected. A language with
+few texts learns from all of them, and each is held against a model of the others.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .common import read, slices
 #: Training documents of a language (those with the smallest hash of the id), n-grams kept of them, and the order.
 TRAIN_DOCS, GRAMS, ORDER = 400, 300_000, 4
 DISCOUNT, ALPHABET, MARGIN, FOLDS = 0.75, 1 << 12, 0.6, 5
+#: Below so many training documents a language holds back one at a time.
+FEW = 10
 #: Code points of a text, and n-grams, handled at once.
 BLOCK = 1 << 17
 SEED = 29
@@ -81,6 +84,10 @@ def grams(sym: np.ndarray) -> np.ndarray:
     return _windows(np.concatenate([np.zeros(ORDER - 2, np.uint64), sym]))
 
 
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate([grams(letters(t)) for t in texts]), return_counts=True)
+
+
 def _find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return np.zeros(len(q), np.int64), np.zeros(len(q), bool)
@@ -176,8 +183,10 @@ def held_out(id_col: str) -> F.Column:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most TRAIN_DOCS whole texts a language, none of them held out.
 
-    Every fifth of them only sets the rejection level. Counting runs in one
-    task a language; n-gram counts (at most GRAMS a language) come to the driver.
+    Every fifth of them only sets the rejection level; of fewer than FEW all are
+    fitted, and the level comes from each text under a model of those that
+    differ from it. With no such text a language has no level and rejects
+    nothing but texts without a letter. Counting runs in one task a language; n-gram counts (at most GRAMS a language) come to the driver.
     """
     spark = df.sparkSession
     rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
@@ -191,8 +200,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("h", kind="stable").reset_index(drop=True)
-        own = [t for i, t in enumerate(f["text"]) if i % 5 or len(f) < 10]
-        k, c = np.unique(np.concatenate([grams(letters(t)) for t in own]), return_counts=True)
+        k, c = gram_counts([t for i, t in enumerate(f["text"]) if i % 5 or len(f) < FEW])
         if len(k) > GRAMS:
             top = np.sort(np.argsort(-c, kind="stable")[:GRAMS])
             k, c = k[top], c[top]
@@ -203,10 +211,15 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def levels_of(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("h", kind="stable").reset_index(drop=True)
-        own = [t for i, t in enumerate(f["text"]) if not i % 5 or len(f) < 10]
-        ce, n = model.cross_entropy(own)
-        ce = ce[n > 0, model.langs.index(f["lang"][0])]
-        return pd.DataFrame({"lang": [f["lang"][0]], "q": [float(np.quantile(ce, 0.99)) if len(ce) else float("inf")]})
+        lang, texts = f["lang"][0], f["text"].tolist()
+        if len(f) < FEW:
+            rest = [(t, [u for u in texts if u != t]) for t in texts]
+            got = [Model({lang: gram_counts(others)}).cross_entropy([t]) for t, others in rest if others]
+            ce = np.array([ce[0, 0] for ce, n in got if n[0]])
+        else:
+            ce, n = model.cross_entropy(texts[::5])
+            ce = ce[n > 0, model.langs.index(lang)]
+        return pd.DataFrame({"lang": [lang], "q": [float(np.quantile(ce, 0.99)) if len(ce) else float("inf")]})
 
     for r in picked.groupBy("lang").applyInPandas(levels_of, "lang string, q double").collect():
         model.limit[model.langs.index(r["lang"])] = r["q"] + MARGIN
