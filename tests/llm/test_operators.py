@@ -205,6 +205,13 @@ def test_pii_base_spans(docs, rows):
     assert any(r["extra"] for r in got)
 
 
+def test_pii_phone_with_wide_gaps(spark):
+    texts = ["+4  9  1  7  1  2  3  4  5", "+4 (9 (1 (7 (1 (2 (3 (4 (5", "+ 4  9", "call +1((2((3((4((5((6((7((8((9"]
+    out = op05_pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [(s["start"], s["k"], s["end"]) for s in r["base"]] for r in out}
+    assert got == {0: [(0, 3, 26)], 1: [(0, 3, 26)], 2: [], 3: [(5, 3, len(texts[3]))]}
+
+
 @pytest.mark.parametrize("digest", [None, lambda raw: hashlib.sha256(raw).digest()[:1] if len(raw) % 2 else b"\0"])
 def test_exact_dedup(docs, rows, digest):
     groups = defaultdict(list)

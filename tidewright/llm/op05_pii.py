@@ -80,8 +80,8 @@ def _valid(kind: str, hit: Column) -> Column:
 def candidates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(k, base, wide): arrays of spans; base ones are valid, wide ones touch no base span."""
     t = df.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    t = t.withColumns({"digit": F.col("t").rlike("[0-9][ ().-]?[0-9.)-]"), "at": F.col("t").contains("@"), "plus": F.col("t").contains("+"), "dot": F.col("t").rlike(r"[0-9]\.[0-9]"), "obf": F.lower("t").rlike(r"[(\[]at[)\]]")})
-    gate = {"email": F.col("at"), "ip": F.col("dot"), "card": F.col("digit"), "phone": F.col("plus") & F.col("digit")}
+    t = t.withColumns({"digit": F.col("t").rlike("[0-9][ ().-]?[0-9.)-]"), "at": F.col("t").contains("@"), "plus": F.col("t").rlike(r"\+[0-9]"), "dot": F.col("t").rlike(r"[0-9]\.[0-9]"), "obf": F.lower("t").rlike(r"[(\[]at[)\]]")})
+    gate = {"email": F.col("at"), "ip": F.col("dot"), "card": F.col("digit"), "phone": F.col("plus")}
     wide_gate = {"email": F.col("obf"), "card": F.col("digit"), "phone": F.col("digit")}
     none = F.array().cast(SPAN)
     valid = {k: (lambda kind: lambda s: _valid(kind, s["hit"]))(k) for k in BASE}
