@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -15,9 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where it is unset."""
+    """The shared folder the cluster names; a temporary one only in local mode, where driver and executor are one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -59,26 +62,31 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
         trim(0)
 
 
-#: Words of the membership filter; its table never has more rows than this.
-FILTER_WORDS = 1 << 18
+#: Bits of the membership filter for each member, and its words of 64 bits at most: 32 MB as a broadcast table.
+FILTER_BITS, FILTER_MOST = 16, 1 << 20
 
 
-def _slot(key):
+def _slot(key, words: int):
     h = F.xxhash64(key)
-    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(words - 1)).cast("int"), bit
 
 
 def maybe_in(df: DataFrame, key: str, members: DataFrame) -> DataFrame:
     """Rows of df whose key may be in members (one column of the same type).
 
-    A one-hash Bloom filter of FILTER_WORDS 64-bit words, joined by broadcast:
-    its size is bounded by FILTER_WORDS rows whatever the input. False
-    positives pass; the caller's join drops them. A saturated filter passes
-    everything, so results never depend on it.
+    A one-hash Bloom filter, sized by the counted members and joined by
+    broadcast: at most FILTER_MOST rows whatever the input. False positives
+    pass; the caller's join drops them. Where even that filter would be full
+    (more than 64 FILTER_MOST members) all rows pass and only the join decides.
     """
-    word, bit = _slot(F.col(members.columns[0]))
+    count = members.count()
+    if count > 64 * FILTER_MOST:
+        return df
+    words = min(FILTER_MOST, 1 << max(4, (count * FILTER_BITS // 64).bit_length()))
+    word, bit = _slot(F.col(members.columns[0]), words)
     bits = members.select(word.alias("__w"), bit.alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
-    word, bit = _slot(F.col(key))
+    word, bit = _slot(F.col(key), words)
     kept = df.withColumns({"__w": word, "__b": bit}).join(F.broadcast(bits), "__w", "inner")
     return kept.where(F.col("__bits").bitwiseAND(F.col("__b")) != 0).select(*df.columns)
 
@@ -89,22 +97,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014): edges
     never outgrow the input, and each round is written to the shared folder.
     """
-    spark = links.sparkSession
     edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges = materialize(edges, "cc")
     sign = None
-    for _ in range(60):
+    while True:  # O(log^2 n) rounds; a fixed point is the only way out
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        child = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        small = large.join(low, "u").select(child.alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         edges = materialize(small, "cc")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == sign:
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == sign or not now[0]:
             break
-        sign = tuple(now)
-    else:
-        raise RuntimeError("components did not converge")
+        sign = now
     star = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return star.union(star.select(F.col("component").alias("node"), "component").distinct())
