@@ -1,10 +1,14 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
 Vectors are normalised and turned by seeded random rotations; the signs are
-their codes. Bands of code bits bring pairs together; within a bucket the
-unbiased estimate <sign, q> / factor of the inner product, with a confidence
-bound from the stored factor, decides which pairs are computed again exactly,
-in double precision, from the vectors themselves.
+their codes, and with each code goes the correction factor <sign, x>. Bands of
+code bits bring pairs together. First only codes move: the share of equal bits
+is an unbiased estimate of the angle, and its confidence bound drops every
+vector without a possible partner in its bucket. Then the vectors of the
+others move; the unbiased estimate <sign, q> / factor of the inner product and
+its bound decide which pairs are computed again exactly, in double precision.
+A pair counts in the first band that it shares. What leaves a bucket is a
+count and an edge per vector, never the pairs themselves.
 """
 
 from __future__ import annotations
@@ -14,13 +18,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, materialize, read
+from .common import components, materialize, read, slices
 
 COSINE, MISS, EPS, SEED = 0.98, 1e-5, 4.0, 41
-MEMTABLE_ROWS, TILE = 8192, 1024
+#: Rows of a memtable; vectors of a tile of a bucket (a task holds two tiles); pairs computed at once.
+MEMTABLE_ROWS, TILE, PAIRS = 4096, 2048, 1 << 18
+ENTRY = "run long, slot int, label string, vec binary, ids array<long>"
+BLOCK_KEYS = ["label", "band", "key", "i", "j"]
 
 
 @lru_cache(64)
@@ -36,18 +44,47 @@ def bands(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]
     return bits, math.ceil(math.log(miss) / math.log(1 - p))
 
 
-def _entries(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """(run, label, vec, ids): a task's vectors, equal ones together; label null where nothing links."""
+def differing(bits: int, cosine: float) -> int:
+    """The most differing bits of two codes that may reach the cosine: their number is binomial, bounded by EPS deviations."""
+    p = math.acos(cosine) / math.pi
+    return math.floor(bits * p + EPS * math.sqrt(bits * p * (1 - p)) + 1)
+
+
+def _blobs(column: pa.Array, width: int) -> np.ndarray:
+    """A binary column whose values all have width bytes, as rows of bytes."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    return np.frombuffer(column.buffers()[2], np.uint8)[first : first + len(column) * width].reshape(-1, width)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(rows.tobytes())])
+
 
-    def flush(table):
-        run = TaskContext.get().partitionId()
-        return pa.RecordBatch.from_arrays([pa.array([run] * len(table), pa.int64()), pa.array([k[0] for k in table], pa.string()), pa.array([k[1] for k in table], pa.binary()), pa.array(list(table.values()), pa.list_(pa.int64()))], names=["run", "label", "vec", "ids"])
+def units(raw: np.ndarray) -> np.ndarray:
+    """Rows of bytes as unit vectors in double precision."""
+    x = raw.view("<f8")
+    top = np.abs(x).max(axis=1, keepdims=True)
+    x = x / top
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _entries(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    """A task's vectors, equal ones together; label null where nothing links."""
 
     def work(batches):
-        table: dict = {}
-        rows = 0
-        for b in batches:
-            for k, v, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+        run, table, rows = TaskContext.get().partitionId() << 32, {}, 0
+
+        def flush():
+            cols = [[run] * len(table), range(len(table)), *zip(*table), list(table.values())]
+            kinds = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["run", "slot", "label", "vec", "ids"])
+
+        for b in slices(batches):
+            for k, v, label in zip(*(c.to_pylist() for c in b.columns)):
                 key = (None, None)
                 if label is not None and v and None not in v:
                     x = np.array(v, "<f8") + 0.0
@@ -56,92 +93,187 @@ def _entries(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFr
                 table.setdefault(key, []).append(k)
                 rows += 1
                 if rows >= MEMTABLE_ROWS:
-                    yield flush(table)
-                    table, rows = {}, 0
+                    yield flush()
+                    run, table, rows = run + 1, {}, 0
         if table:
-            yield flush(table)
+            yield flush()
 
-    src = df.select(F.col(id_col).cast("long"), vec_col, F.col(label_col).cast("string"))
-    return src.mapInArrow(work, "run long, label string, vec binary, ids array<long>")
+    src = df.select(F.col(id_col).cast("long").alias("k"), F.col(vec_col).alias("v"), F.col(label_col).cast("string").alias("label"))
+    return src.mapInArrow(work, ENTRY)
 
 
-def near_pairs(classes: DataFrame, cosine: float = COSINE, miss: float = MISS) -> DataFrame:
-    """(a, b): classes (cid, label, vec) of one label whose cosine is at least the threshold."""
-    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    bits, count = bands(most, cosine, miss)
+def _codes(classes: DataFrame, bits: int, count: int) -> DataFrame:
+    """(label, cid, dim, keys, code, factor): each class's keys by band, all its code bits, and the factor of the first rotation."""
 
-    def codes(batches):
-        for b in batches:
-            cid, vec = b.column("cid").to_pylist(), b.column("vec").to_pylist()
-            by_dim: dict[int, list[int]] = {}
-            for i, v in enumerate(vec):
-                by_dim.setdefault(len(v) // 8, []).append(i)
-            for dim, rows in by_dim.items():
-                x = np.array([np.frombuffer(vec[i], "<f8") for i in rows])
-                x /= np.linalg.norm(x / np.abs(x).max(axis=1, keepdims=True), axis=1, keepdims=True) * np.abs(x).max(axis=1, keepdims=True)
-                turned = [x @ rotation(dim, k) for k in range(-(-bits * count // dim))]
+    def work(batches):
+        for b in slices(batches, 4096):
+            width = pc.binary_length(b.column("vec")).to_numpy()
+            for size in np.unique(width):
+                at = pa.array(np.flatnonzero(width == size))
+                part, dim = b.take(at), int(size) // 8
+                unit = units(_blobs(part.column("vec"), int(size)))
+                turned = [unit @ rotation(dim, k) for k in range(-(-bits * count // dim))]
                 sign = np.concatenate([t >= 0 for t in turned], axis=1)
+                place = 1 << np.arange(bits, dtype=np.int64)
+                keys = np.stack([sign[:, i * bits : (i + 1) * bits] @ place for i in range(count)], axis=1)
                 factor = np.abs(turned[0]).sum(axis=1) / math.sqrt(dim)
-                for band in range(count):
-                    key = sign[:, band * bits : (band + 1) * bits] @ (1 << np.arange(bits, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("label").take(pa.array(rows)), pa.array([dim * 65536 + band] * len(rows), pa.int64()), pa.array(key), pa.array([cid[i] for i in rows], pa.int64()), pa.array([r.tobytes() for r in np.packbits(sign[:, :dim], axis=1)], pa.binary()), pa.array(factor), pa.array([vec[i] for i in rows], pa.binary())],
-                        names=["label", "band", "key", "cid", "code", "factor", "vec"],
-                    )
-
-    coded = classes.select("cid", "label", "vec").mapInArrow(codes, "label string, band long, key long, cid long, code binary, factor double, vec binary")
-    placed = coded.repartition("label", "band", "key").sortWithinPartitions("label", "band", "key")
-
-    def bucket(rows) -> tuple[list[int], list[int]]:
-        cid = np.array([r[0] for r in rows])
-        x = np.array([np.frombuffer(r[3], "<f8") for r in rows])
-        dim = x.shape[1]
-        top = np.abs(x).max(axis=1, keepdims=True)
-        unit = x / (np.linalg.norm(x / top, axis=1, keepdims=True) * top)
-        turned = unit @ rotation(dim, 0)
-        sign = np.array([np.unpackbits(np.frombuffer(r[1], np.uint8), count=dim) for r in rows]) * 2.0 - 1
-        f = np.array([r[2] for r in rows])
-        slack = EPS * np.sqrt(np.maximum(1 - f * f, 0) / (f * f) / max(1, dim - 1))
-        a, b = [], []
-        for i in range(0, len(rows), TILE):
-            for j in range(i, len(rows), TILE):
-                s, t = slice(i, i + TILE), slice(j, j + TILE)
-                one = sign[s] @ turned[t].T / math.sqrt(dim) / f[s, None] + slack[s, None]
-                two = turned[s] @ sign[t].T / math.sqrt(dim) / f[None, t] + slack[None, t]
-                maybe = np.minimum(one, two) >= cosine
-                if i == j:
-                    maybe = np.triu(maybe, 1)
-                p, q = np.nonzero(maybe)
-                p, q = p + i, q + j
-                for at in range(0, len(p), 65536):
-                    u, v = p[at : at + 65536], q[at : at + 65536]
-                    ok = np.einsum("ij,ij->i", unit[u], unit[v]) >= cosine
-                    a.append(cid[u[ok]])
-                    b.append(cid[v[ok]])
-        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
-        return np.minimum(a, b), np.maximum(a, b)
+                ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * count)
+                cols = [part.column("label"), part.column("cid"), pa.array(np.full(len(keys), dim, np.int32))]
+                cols += [pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1))), _binary(np.packbits(sign, axis=1)), pa.array(factor)]
+                yield pa.RecordBatch.from_arrays(cols, names=["label", "cid", "dim", "keys", "code", "factor"])
+
+    kind = "label string, cid long, dim int, keys array<long>, code binary, factor double"
+    return classes.select("cid", "label", "vec").mapInArrow(work, kind)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket (label, band, key) in blocks of two tiles (i, j), where a bucket is larger than one tile.
+
+    A bucket is cut into tiles by a salt; a row goes to every block of its
+    tile, as tile i (side 0) or j (side 1). Most buckets are one block.
+    """
+    big = rows.groupBy("label", "band", "key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
+    joined = rows.join(big, ["label", "band", "key"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    joined = joined.withColumn("t", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("tiles") - 1)
+    pair = F.transform(other, lambda o: F.struct(F.least("t", o).alias("i"), F.greatest("t", o).alias("j"), (F.col("t") > o).cast("int").alias("side")))
+    return joined.withColumn("to", F.explode(pair)).select(*rows.columns, "to.i", "to.j", "to.side")
+
 
-    def compare(batches):
-        now, rows = None, []
+def _each_block(batches):
+    """Tables of whole blocks out of sorted batches: a block's rows are adjacent, and never more than two tiles."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for b in slices(batches, 8192):
+        if not b.num_rows:
+            continue
+        keys = [b.column(k) for k in BLOCK_KEYS]
+        change = np.zeros(b.num_rows, bool)
+        for k in keys:
+            change[1:] |= ~pc.equal(k.slice(1), k.slice(0, len(k) - 1)).to_numpy(zero_copy_only=False)
+        edges = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            key = tuple(k[lo].as_py() for k in keys) if lo == 0 or hi == b.num_rows else None
+            if lo == 0 and held and key == now:
+                held.append(b.slice(lo, hi - lo))
+                continue
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks()
+            held, now = [b.slice(lo, hi - lo)], key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-        def out():
-            if len(rows) > 1:
-                a, b = bucket(rows)
-                for at in range(0, len(a), 65536):
-                    yield pa.RecordBatch.from_arrays([pa.array(a[at : at + 65536]), pa.array(b[at : at + 65536])], names=["a", "b"])
 
-        for batch in batches:
-            for label, band, key, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-                if (label, band, key) != now:
-                    yield from out()
-                    now, rows = (label, band, key), []
-                rows.append(rest)
-        yield from out()
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    side = table.column("side").to_numpy()
+    left = np.flatnonzero(side == 0)
+    one = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    return left, left if one else np.flatnonzero(side == 1)
 
-    return placed.mapInArrow(compare, "a long, b long").distinct()
 
+def _words(code: np.ndarray) -> np.ndarray:
+    pad = -code.shape[1] % 8
+    return np.ascontiguousarray(np.pad(code, ((0, 0), (0, pad)))).view(np.uint64)
 
-def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = COSINE) -> DataFrame:
+
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of each pair of codes."""
+    out = np.zeros((len(x), len(y)), np.uint16)
+    for w in range(x.shape[1]):
+        out += np.bitwise_count(x[:, w, None] ^ y[None, :, w])
+    return out
+
+
+def _hopeful(codes: DataFrame, bits: int, count: int, cosine: float) -> DataFrame:
+    """(label, band, key, cid) of rows whose code leaves a partner possible in their bucket."""
+    flat = codes.select("label", "dim", "cid", "code", F.posexplode("keys").alias("p", "key"))
+    flat = flat.withColumn("band", F.col("dim").cast("long") * 65536 + F.col("p")).drop("p")
+    shared = flat.groupBy("label", "band", "key").count().where("count > 1").drop("count")
+    placed = _blocks(flat.join(shared, ["label", "band", "key"], "left_semi").drop("dim"))
+    placed = placed.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+
+    def work(batches):
+        for table in _each_block(batches):
+            a, b = _sides(table)
+            dim = table.column("band")[0].as_py() // 65536
+            code = _words(_blobs(table.column("code"), -(-dim * -(-bits * count // dim) // 8)))
+            most = differing(dim * -(-bits * count // dim), cosine)
+            hope = np.zeros(table.num_rows, bool)
+            for lo in range(0, len(a), 512):
+                rows = a[lo : lo + 512]
+                close = _far(code[rows], code[b]) <= most
+                if a is b:
+                    close[np.arange(len(rows)), lo + np.arange(len(rows))] = False
+                hope[rows] |= close.any(axis=1)
+                hope[b] |= close.any(axis=0)
+            if hope.any():
+                yield table.select(["label", "band", "key", "cid"]).filter(pa.array(hope)).to_batches()[0]
+
+    return placed.mapInArrow(work, "label string, band long, key long, cid long").distinct()
+
+
+def _forest(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
+    """Roots of the components of edges (a, b) over n nodes, by hooking and pointer jumping."""
+    root = np.arange(n) if parent is None else parent
+    while len(a):
+        x, y = root[a], root[b]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        np.minimum.at(root, high, low)
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+        keep = root[a] != root[b]
+        a, b = a[keep], b[keep]
+    return root
+
+
+def _links(classes: DataFrame, codes: DataFrame, hopeful: DataFrame, bits: int, count: int, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """(cid, far): vectors of other classes linked, counted with copies; (a, b): edges that connect what is linked."""
+    data = codes.select("cid", "keys", "code", "factor").join(classes.select("cid", "vec", "n"), "cid")
+    data = materialize(data.join(hopeful.select("cid").distinct(), "cid", "left_semi"), "hopeful")
+    placed = _blocks(hopeful.join(data, "cid")).repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+
+    def work(batches):
+        for table in _each_block(batches):
+            a, b = _sides(table)
+            if not len(a) or not len(b):
+                continue
+            dim = len(table.column("vec")[0].as_py()) // 8
+            band = table.column("band")[0].as_py() % 65536
+            unit = units(_blobs(table.column("vec"), 8 * dim))
+            code = _blobs(table.column("code"), -(-dim * -(-bits * count // dim) // 8))
+            sign = np.unpackbits(code[:, : -(-dim // 8)], axis=1, count=dim).astype(np.float32) * 2 - 1
+            turned = (unit @ rotation(dim, 0)).astype(np.float32)
+            f = table.column("factor").to_numpy().astype(np.float32)
+            slack = EPS * np.sqrt(np.maximum(1 - f * f, 0) / (f * f) / max(1, dim - 1)) + np.float32(1e-5)
+            keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, count)[:, :band]
+            n, cid = table.column("n").to_numpy(), table.column("cid").to_numpy()
+            far, root = np.zeros(len(n), np.int64), np.arange(len(n))
+            for lo in range(0, len(a), 512):
+                rows = a[lo : lo + 512]
+                maybe = (sign[rows] @ turned[b].T) / math.sqrt(dim) / f[rows, None] + slack[rows, None] >= cosine
+                if a is b:
+                    maybe &= b[None, :] > rows[:, None]
+                p, q = np.nonzero(maybe)
+                for at in range(0, len(p), PAIRS):
+                    u, v = rows[p[at : at + PAIRS]], b[q[at : at + PAIRS]]
+                    ok = np.einsum("ij,ij->i", unit[u], unit[v]) >= cosine
+                    u, v = u[ok], v[ok]
+                    first = ~(keys[u] == keys[v]).any(axis=1)  # counted in the first band that the two share
+                    u, v = u[first], v[first]
+                    far += np.bincount(u, n[v], len(n)).astype(np.int64) + np.bincount(v, n[u], len(n)).astype(np.int64)
+                    root = _forest(len(n), u, v, root)
+            some = np.flatnonzero((far > 0) | (root != np.arange(len(n))))
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(cid[root[some]]), pa.array(far[some])], names=["a", "b", "far"])
+
+    found = materialize(placed.mapInArrow(work, "a long, b long, far long"), "links")
+    return found.groupBy(F.col("a").alias("cid")).agg(F.sum("far").alias("far")), found.where("a != b").select("a", "b").distinct()
+
+
+def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, miss: float = MISS) -> DataFrame:
     """Per row: id, n_links, component_id, kept.
 
     Vectors of different length never link, nor do those that are null, empty
@@ -149,23 +281,43 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     row has no link and is its own component. Identical vectors become one
     class first, whose size counts towards n_links, so a hot vector costs one
     row per task. Repeated rows count as other vectors; an empty table gives
-    an empty result; other columns are ignored.
+    an empty result; other columns are ignored. A bucket larger than TILE is
+    compared in blocks, each a task's work of bounded size.
     """
     entries = materialize(_entries(df, id_col, vec_col, label_col), "vectors")
-    good = entries.where("label is not null").withColumn("cid", F.xxhash64("label", "vec"))
-    classes = materialize(good.groupBy("cid", "label", "vec").agg(F.min(F.array_min("ids")).alias("rep"), F.sum(F.size("ids")).alias("n")), "classes")
-    links = materialize(near_pairs(classes, cosine), "links")
-    both = links.union(links.select("b", "a"))
-    far = both.join(classes.select(F.col("cid").alias("b"), "n"), "b").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("far"))
-    comp = components(links).withColumnRenamed("node", "cid")
-    info = classes.select("cid", "rep", "n").join(far, "cid", "left").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    keyed = entries.where("label is not null").withColumns({"h": F.xxhash64("label", "vec"), "g": F.xxhash64("vec", "label", F.lit(SEED))})
+    least = F.min(F.struct("run", "slot")).alias("at")
+    classes = keyed.groupBy("h", "g").agg(least, F.first("label").alias("label"), F.first("vec").alias("vec"), F.min(F.array_min("ids")).alias("rep"), F.sum(F.size("ids")).alias("n"))
+    # a class is named by its first entry, which no other class has
+    classes = materialize(classes.withColumn("cid", F.col("at.run") * MEMTABLE_ROWS + F.col("at.slot")).drop("at"), "classes")
+    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, count = bands(most, cosine, miss)
+    codes = materialize(_codes(classes, bits, count), "codes")
+    hopeful = materialize(_hopeful(codes, bits, count, cosine), "hope")
+    far, edges = _links(classes, codes, hopeful, bits, count, cosine)
+    comp = components(edges).withColumnRenamed("node", "cid")
+    info = classes.select("cid", "h", "g", "rep", "n").join(far, "cid", "left").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = info.groupBy("component").agg(F.min("rep").alias("component_id"))
-    info = info.join(least, "component").select("cid", "component_id", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
-    linked = good.select("cid", "ids").join(info, "cid").select(F.explode("ids").alias(id_col), "n_links", "component_id")
-    alone = entries.where("label is null").select(F.explode("ids").alias(id_col)).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
+    info = info.join(least, "component").select("h", "g", "component_id", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
+    linked = keyed.select("h", "g", "ids").join(info, ["h", "g"]).select(F.explode("ids").alias(id_col), "n_links", "component_id")
+    alone = entries.where("label is null").select(F.explode("ids").alias(id_col))
+    alone = alone.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     return embedding_dedup(read(spark, sf_dir, "embeddings"))
 
+
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
