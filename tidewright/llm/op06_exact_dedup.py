@@ -4,8 +4,9 @@ Each task fills a memtable of digests and flushes it, when full, as a run
 sorted by digest; equal texts in one memtable are compared byte by byte and
 collapse there. Compaction merges the runs by digest and keeps the best
 identifier of each. Digests of several runs pass a filter of bounded size, and
-those hits are verified: the texts themselves are grouped, so two texts with
-one digest never merge.
+those hits are verified byte by byte: the distinct texts of each digest are
+found, those of a hot one in two steps. A digest with one text is one group;
+one with several is split by the texts themselves, so two never merge.
 """
 
 from __future__ import annotations
@@ -20,18 +21,23 @@ from .common import materialize, maybe_in, read, slices
 
 #: A memtable is flushed beyond so many rows or bytes of text.
 MEMTABLE_ROWS, MEMTABLE_BYTES = 8192, 12 << 20
+#: Entries of one digest whose texts are compared by one task before what differs goes on.
+TOGETHER = 256
 
 
 def runs(df: DataFrame, id_col: str, text_col: str, digest=lambda raw: hashlib.sha256(raw).digest()) -> DataFrame:
     """(run, digest, variant, rep_id, n, members, text): one row per distinct text of a run, sorted by digest."""
 
+    names = ["run", "digest", "variant", "rep_id", "n", "members", "text"]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+
     def flush(table, run):
-        rows = sorted((d, v, *e) for d, entries in table.items() for v, e in enumerate(entries))
-        cols = list(zip(*rows)) if rows else [[]] * 5
-        return pa.RecordBatch.from_arrays(
-            [pa.array([run] * len(rows), pa.int64()), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), pa.array([max((m for m in x if m is not None), default=None) for x in cols[3]], pa.int64()), pa.array(list(map(len, cols[3])), pa.int64()), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[2], pa.binary())],
-            names=["run", "digest", "variant", "rep_id", "n", "members", "text"],
-        )
+        rows = []
+        for d in sorted(table):
+            for v, (raw, members) in enumerate(table[d]):
+                best = max((m for m in members if m is not None), default=None)
+                rows.append((run, d, v, best, len(members), members, raw))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def work(batches):
         run = TaskContext.get().partitionId() << 32
@@ -59,6 +65,16 @@ def runs(df: DataFrame, id_col: str, text_col: str, digest=lambda raw: hashlib.s
     return src.mapInArrow(work, "run long, digest binary, variant int, rep_id long, n long, members array<long>, text binary")
 
 
+def _digests_of_several_texts(opened: DataFrame) -> DataFrame:
+    """(digest) of entries whose texts differ. A hot digest's are compared TOGETHER at a time first."""
+    salts = F.ceil(F.col("entries") / TOGETHER)
+    texts = opened.select("digest", "text", F.pmod(F.xxhash64("run", "variant"), salts).alias("salt"), (salts > 1).alias("hot"))
+    hot = texts.where("hot").groupBy("digest", "salt").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    hot = hot.groupBy("digest").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    cold = texts.where("not hot").groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    return materialize(cold.unionByName(hot).where("a != b").select("digest"), "split")
+
+
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=None) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
@@ -72,10 +88,19 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     index = materialize(runs(df, id_col, text_col, *([digest] if digest else [])), "runs")
     key = ["run", "digest", "variant"]
     best = F.max(F.struct("rep_id", (-F.col("run")).alias("late"))).alias("best")
-    hits = index.groupBy("digest").agg(F.count("*").alias("entries")).where("entries > 1").select("digest")
-    opened = maybe_in(index.select(*key, "rep_id", "n", "text"), "digest", hits).join(hits, "digest")
-    verified = opened.groupBy("digest", "text").agg(best, F.sum("n").alias("size"), F.collect_list(F.struct("run", "variant")).alias("at"))
-    verified = verified.select("digest", "best", "size", F.explode("at").alias("at")).select("at.run", "digest", "at.variant", "best", "size")
+    merged = [best, F.sum("n").alias("size")]
+    # compaction by digest: sizes and identifiers only, combined before the shuffle
+    hits = index.groupBy("digest").agg(F.count("*").alias("entries"), *merged).where("entries > 1")
+    hits = materialize(hits, "hits")
+    opened = maybe_in(index.select(*key, "rep_id", "n", "text"), "digest", hits.select("digest")).join(hits.select("digest", "entries"), "digest")
+    several = _digests_of_several_texts(opened)
+
+    # of those digests, which none has unless SHA-256 fails, the texts are the groups
+    split = opened.drop("entries").join(several, "digest", "left_semi")
+    by_text = split.groupBy("digest", "text").agg(*merged)
+    split = split.select(*key, "text").join(by_text, ["digest", "text"]).select(*key, "best", "size")
+    whole = index.select(*key).join(hits.drop("entries").join(several, "digest", "left_anti"), "digest")
+    verified = whole.select(*key, "best", "size").unionByName(split)
     out = index.select(*key, "rep_id", "n", "members").join(verified, key, "left")
     out = out.select(
         "members", F.hex("digest").alias("digest"),
