@@ -1,7 +1,9 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-One model per language over letters and spaces, order 4, held as sorted arrays
-of n-gram keys with one log-probability per language. The language with the
+One model per language over letters and spaces, order 4. N-grams of all
+languages are hashed into one sorted array of 64-bit keys; each key points to
+the languages that have it and their log-probabilities, so a model takes room
+for the n-grams seen and no more. The language with the
 lowest cross-entropy per character wins; the cross-entropy of held-back
 training texts sets the level beyond which a text is rejected. A language with
 few texts learns from all of them, and each is held against a model of the others.
@@ -16,11 +18,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
-from .common import read, slices
+from .common import materialize, read, slices
 
-#: Training documents of a language (those with the smallest hash of the id), n-grams kept of them, and the order.
-TRAIN_DOCS, GRAMS, ORDER = 400, 300_000, 4
+#: Training documents of a language (those with the smallest hash of id and text) and the order.
+TRAIN_DOCS, ORDER = 400, 4
 DISCOUNT, ALPHABET, MARGIN, FOLDS = 0.75, 1 << 12, 0.6, 5
 #: Below so many training documents a language holds back one at a time.
 FEW = 10
@@ -95,13 +98,33 @@ def _find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, keys[i] == q
 
 
+class Sparse:
+    """Sorted keys, and for each the languages that have a value there."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        lang = np.concatenate([np.full(len(k), j, np.int32) for j, (k, _) in enumerate(parts)])
+        key = np.concatenate([k for k, _ in parts])
+        order = np.lexsort((lang, key))
+        self.lang, self.value = lang[order], np.concatenate([v for _, v in parts])[order].astype(np.float32)
+        self.keys, first = np.unique(key[order], return_index=True)
+        self.first = np.append(first, len(key)).astype(np.int64)
+
+    def find(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of q, language, value) of all values that the keys q have."""
+        i, ok = _find(self.keys, q)
+        rows, i = np.flatnonzero(ok), i[ok]
+        many = self.first[i + 1] - self.first[i] if len(i) else np.zeros(0, np.int64)
+        at = np.arange(many.sum()) + np.repeat(self.first[i] - np.cumsum(many) + many, many) if len(i) else np.zeros(0, np.int64)
+        return np.repeat(rows, many), self.lang[at], self.value[at]
+
+
 class Model:
-    """keys[n], logp[n]: n-grams of any language and their log-probability in each;
-    contexts[n], backoff[n]: log of the weight of the lower order after a context."""
+    """grams[n]: log-probability of the n-grams that a language has seen;
+    backoff[n]: log of the weight of the lower order after a context that it has seen."""
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = sorted(counts)
-        self.keys, self.logp, self.contexts, self.backoff = {}, {}, {}, {}
+        self.grams, self.backoff = {}, {}
         self.floor = np.full(len(self.langs), -np.log(ALPHABET))
         self.limit = np.full(len(self.langs), np.inf)
         levels = {}
@@ -113,37 +136,29 @@ class Model:
                 own[n] = (k, c.astype(float))
             levels[lang] = own
         for n in range(1, ORDER + 1):
-            self.keys[n] = np.unique(np.concatenate([levels[x][n][0] for x in self.langs]))
-            self.contexts[n] = np.unique(self.keys[n] >> np.uint64(16))
-            logp = np.zeros((len(self.keys[n]), len(self.langs)), np.float32)
-            back = np.zeros((len(self.contexts[n]), len(self.langs)), np.float32)
-            lower = np.exp(self.score(self.keys[n] & np.uint64((1 << (16 * (n - 1))) - 1), n - 1))
+            grams, back = [], []
             for j, lang in enumerate(self.langs):
                 k, c = levels[lang][n]
-                at, _ = _find(self.contexts[n], k >> np.uint64(16))
-                total = np.bincount(at, c, len(self.contexts[n]))
-                kinds = np.bincount(at, minlength=len(self.contexts[n]))
-                weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1e-9), 1.0)
-                back[:, j] = np.log(weight)
-                i, _ = _find(self.keys[n], k)
-                own = np.zeros(len(self.keys[n]))
-                own[i] = np.maximum(c - DISCOUNT, 0) / total[at]
-                ctx, _ = _find(self.contexts[n], self.keys[n] >> np.uint64(16))
-                logp[:, j] = np.log(own + weight[ctx] * lower[:, j])
-            self.logp[n], self.backoff[n] = logp, back
-
-    def score(self, q: np.ndarray, n: int = ORDER) -> np.ndarray:
-        """Log-probability of the last symbol of each n-gram, by language."""
+                contexts, at = np.unique(k >> np.uint64(16), return_inverse=True)
+                total, kinds = np.bincount(at, c, len(contexts)), np.bincount(at, minlength=len(contexts))
+                weight = DISCOUNT * kinds / np.maximum(total, 1e-9)
+                lower = np.exp(self.score(k & np.uint64((1 << (16 * (n - 1))) - 1), n - 1, j))
+                grams.append((k, np.log(np.maximum(c - DISCOUNT, 0) / total[at] + weight[at] * lower)))
+                back.append((contexts, np.log(weight)))
+            self.grams[n], self.backoff[n] = Sparse(grams), Sparse(back)
+
+    def score(self, q: np.ndarray, n: int = ORDER, only: int | None = None) -> np.ndarray:
+        """Log-probability of the last symbol of each n-gram, by language (or of one language)."""
         if n == 0:
-            return np.broadcast_to(self.floor, (len(q), len(self.langs)))
-        i, ok = _find(self.keys[n], q)
-        out = self.logp[n][i] if len(self.keys[n]) else np.zeros((len(q), len(self.langs)))
-        if not ok.all():
-            miss = q[~ok]
-            lower = self.score(miss & np.uint64((1 << (16 * (n - 1))) - 1), n - 1)
-            j, known = _find(self.contexts[n], miss >> np.uint64(16))
-            out[~ok] = lower + np.where(known[:, None], self.backoff[n][j], 0)
-        return out
+            out = np.empty((len(q), len(self.langs)), np.float32)
+            out[:] = self.floor
+        else:
+            out = self.score(q & np.uint64((1 << (16 * (n - 1))) - 1), n - 1)
+            row, lang, value = self.backoff[n].find(q >> np.uint64(16))
+            out[row, lang] += value
+            row, lang, value = self.grams[n].find(q)
+            out[row, lang] = value
+        return out if only is None else out[:, only]
 
     def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Nats per symbol by language, and the symbols scored (0: no letter)."""
@@ -152,9 +167,9 @@ class Model:
 
         def done():
             if rows:
-                q = np.concatenate(block)
+                q, back = np.unique(np.concatenate(block), return_inverse=True)  # scored once each
                 lens = np.array([len(b) for b in block])
-                sums = np.add.reduceat(self.score(q), np.concatenate([[0], np.cumsum(lens)[:-1]]), axis=0)
+                sums = np.add.reduceat(self.score(q)[back], np.concatenate([[0], np.cumsum(lens)[:-1]]), axis=0, dtype=np.float64)
                 for r, s, k in zip(rows, sums, lens):
                     out[r] = -s if n[r] == 0 else out[r] - s
                     n[r] += k
@@ -180,49 +195,86 @@ def held_out(id_col: str) -> F.Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, i, many, text): at most TRAIN_DOCS different documents a language, numbered from 0 in order of their hash.
+
+    Hashes beyond three times the share wanted are dropped before the shuffle,
+    but never a language's smallest. Repeated rows count once, so ties can't
+    carry more than TRAIN_DOCS.
+    """
+    rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col, text_col, F.lit(SEED)).alias("h"))
+    per = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    if not per:
+        return rows.select("lang", F.lit(0).alias("i"), F.lit(0).alias("many"), "text").limit(0)
+    spark = df.sparkSession
+    span = 1 << 64
+    top = lambda n: min((1 << 63) - 1, -(1 << 63) + 3 * TRAIN_DOCS * span // n)
+    bound = spark.createDataFrame([(r["lang"], max(r["least"], top(r["n"]))) for r in per], "lang string, most long")
+    low = rows.select("lang", "h").join(F.broadcast(bound), "lang").where("h <= most").select("lang", "h").distinct()
+    order, whole = Window.partitionBy("lang").orderBy("h"), Window.partitionBy("lang")
+    pick = low.withColumn("i", F.row_number().over(order) - 1).where(F.col("i") < TRAIN_DOCS).withColumn("many", F.count("*").over(whole))
+    pick = spark.createDataFrame(pick.collect(), "lang string, h long, i int, many long")  # at most TRAIN_DOCS a language
+    got = rows.join(F.broadcast(pick), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    return materialize(got.select("lang", "i", "many", "text"), "sample")
+
+
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most TRAIN_DOCS whole texts a language, none of them held out.
 
     Every fifth of them only sets the rejection level; of fewer than FEW all are
     fitted, and the level comes from each text under a model of those that
     differ from it. With no such text a language has no level and rejects
-    nothing but texts without a letter. Counting runs in one task a language; n-gram counts (at most GRAMS a language) come to the driver.
+    nothing but texts without a letter. Tasks count n-grams of their documents;
+    the counts of the sample, all of them, come to the driver.
     """
-    spark = df.sparkSession
-    rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, F.lit(SEED)).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    last = rows.select("lang", "h").withColumn("i", F.row_number().over(order)).where(F.col("i") <= TRAIN_DOCS).groupBy("lang").agg(F.max("h").alias("h")).collect()
-    if not last:
+    picked = _sample(df, id_col, text_col, lang_col)
+    pack = lambda k, c: (k.astype("<u8").tobytes(), c.astype("<i8").tobytes())
+
+    def count(batches):
+        for b in slices(batches, 64):
+            fitted: dict[str, list[str]] = {}
+            for lang, i, many, text in zip(*(b.column(c).to_pylist() for c in ("lang", "i", "many", "text"))):
+                if i % 5 or many < FEW:
+                    fitted.setdefault(lang, []).append(text)
+            got = [(lang, *pack(*gram_counts(texts))) for lang, texts in fitted.items()]
+            if got:
+                kinds = (pa.string(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), kinds)], names=["lang", "k", "c"])
+
+    def merge(f: pd.DataFrame) -> pd.DataFrame:
+        k, at = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in f["k"]]), return_inverse=True)
+        c = np.zeros(len(k), np.int64)
+        np.add.at(c, at, np.concatenate([np.frombuffer(x, "<i8") for x in f["c"]]))
+        return pd.DataFrame([(f["lang"][0], *pack(k, c))], columns=["lang", "k", "c"])
+
+    counts = picked.mapInArrow(count, "lang string, k binary, c binary").groupBy("lang").applyInPandas(merge, "lang string, k binary, c binary")
+    got = counts.collect()
+    if not got:
         return Model({"und": (np.zeros(0, np.uint64), np.zeros(0))})
-    levels = spark.createDataFrame([(r["lang"], r["h"]) for r in last], "lang string, most long")
-    picked = rows.join(F.broadcast(levels), "lang").where("h <= most").select("lang", "h", "text")
-
-    def count(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("h", kind="stable").reset_index(drop=True)
-        k, c = gram_counts([t for i, t in enumerate(f["text"]) if i % 5 or len(f) < FEW])
-        if len(k) > GRAMS:
-            top = np.sort(np.argsort(-c, kind="stable")[:GRAMS])
-            k, c = k[top], c[top]
-        return pd.DataFrame({"lang": [f["lang"][0]], "k": [k.astype("<u8").tobytes()], "c": [c.astype("<i8").tobytes()]})
-
-    got = picked.groupBy("lang").applyInPandas(count, "lang string, k binary, c binary").collect()
     model = Model({r["lang"]: (np.frombuffer(r["k"], "<u8"), np.frombuffer(r["c"], "<i8")) for r in got})
 
-    def levels_of(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("h", kind="stable").reset_index(drop=True)
-        lang, texts = f["lang"][0], f["text"].tolist()
-        if len(f) < FEW:
-            rest = [(t, [u for u in texts if u != t]) for t in texts]
-            got = [Model({lang: gram_counts(others)}).cross_entropy([t]) for t, others in rest if others]
-            ce = np.array([ce[0, 0] for ce, n in got if n[0]])
-        else:
-            ce, n = model.cross_entropy(texts[::5])
-            ce = ce[n > 0, model.langs.index(lang)]
-        return pd.DataFrame({"lang": [lang], "q": [float(np.quantile(ce, 0.99)) if len(ce) else float("inf")]})
+    def held_back(batches):
+        for b in slices(batches, 64):
+            lang, text = b.column("lang").to_pylist(), b.column("text").to_pylist()
+            ce, n = model.cross_entropy(text)
+            ce = [float(ce[r, model.langs.index(x)]) for r, x in enumerate(lang)]
+            keep = n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(ce)], names=["lang", "ce"]).filter(pa.array(keep))
 
-    for r in picked.groupBy("lang").applyInPandas(levels_of, "lang string, q double").collect():
-        model.limit[model.langs.index(r["lang"])] = r["q"] + MARGIN
+    def left_out(f: pd.DataFrame) -> pd.DataFrame:
+        lang, texts = f["lang"][0], f["text"].tolist()
+        rest = [(t, [u for u in texts if u != t]) for t in texts]
+        got = [Model({lang: gram_counts(others)}).cross_entropy([t]) for t, others in rest if others]
+        return pd.DataFrame({"lang": lang, "ce": [float(ce[0, 0]) for ce, n in got if n[0]]})
+
+    many = picked.where((F.col("many") >= FEW) & (F.col("i") % 5 == 0)).select("lang", "text").mapInArrow(held_back, "lang string, ce double")
+    few = picked.where(F.col("many") < FEW).groupBy("lang").applyInPandas(left_out, "lang string, ce double")
+    levels: dict[str, list[float]] = {}
+    for r in many.union(few).collect():
+        levels.setdefault(r["lang"], []).append(r["ce"])
+    for lang, ce in levels.items():
+        model.limit[model.langs.index(lang)] = float(np.quantile(ce, 0.99)) + MARGIN
     return model
 
 
@@ -246,16 +298,14 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 score = 1 / np.exp(-(ce - low[:, None]) * np.minimum(n, 20)[:, None]).sum(axis=1)
                 ok = (n > 0) & (low <= model.limit[best])
             lang = [model.langs[i] if k else "und" for i, k in zip(best, n)]
-            head = b.columns if keep else [b.column(0)]
-            names = b.schema.names if keep else ["k"]
             more = [pa.array(lang, pa.string()), pa.array(np.where(n > 0, score, 0.0)), pa.array(np.where(n > 0, low, 0.0)), pa.array(ok)]
-            yield pa.RecordBatch.from_arrays([*head, *more], names=[*names, "lang_pred", "score", "cross_entropy", "accepted"])
+            own = len(b.columns) if keep else 1
+            yield pa.RecordBatch.from_arrays([*b.columns[:own], *more], names=[*b.schema.names[:own], "lang_pred", "score", "cross_entropy", "accepted"])
 
-    new = "lang_pred string, score double, cross_entropy double, accepted boolean"
-    if keep:
-        return df.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", " + new)
-    src = df.select(F.col(id_col).alias("k"), F.col(text_col))
-    return src.mapInArrow(work, f"k {src.schema['k'].dataType.simpleString()}, {new}").withColumnRenamed("k", id_col)
+    src = df if keep else df.select(F.col(id_col).alias("k"), F.col(text_col))
+    out = StructType(src.schema.fields[: None if keep else 1]).add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("accepted", "boolean")
+    found = src.mapInArrow(work, out)
+    return found if keep else found.withColumnRenamed("k", id_col)
 
 
 def is_held_out(doc_id: int) -> bool:
