@@ -108,8 +108,8 @@ def test_token_counts_and_prefixes(docs, rows):
     for _ in range(150):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
         each = [len(TOKENIZER.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
-        blob = op03_token_counts.pack_counts(bpe.prefix_counts(text))
-        assert op03_token_counts.unpack_counts(blob) == each
+        blob = op03_token_counts.pack_counts(bpe.prefix_steps(text))
+        assert op03_token_counts.unpack_counts(blob).tolist() == each == bpe.prefix_counts(text).tolist()
         assert each[op03_token_counts.longest_within(blob, 3)] <= 3
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import itertools
+import operator
 from array import array
 from functools import lru_cache
 
@@ -14,10 +16,11 @@ import tiktoken
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
-#: A space before white space, or at the end: where cutting at spaces could part a run.
-LOOSE = regex.compile(r" (?:\p{White_Space}|$)")
-#: Entries of a worker's cache before it starts anew (a few dozen MB).
-CACHE = 600_000
+#: A space beside white space, or at an end: where cutting at every space could part a run. SINGLE: where it can't.
+LOOSE = regex.compile(r" (?:\p{White_Space}|$)|\p{White_Space} |^ ")
+SINGLE = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
+#: Entries of a cache before it starts anew; at about 0.3 KB an entry up to 80 MB. A worker has two caches for each use.
+CACHE = 1 << 18
 
 
 @lru_cache(1)
@@ -45,17 +48,16 @@ class _Chunks(dict):
 class Cutter:
     """Cuts a text into chunks whose pre-tokens are those of the whole text.
 
-    A boundary before a space is also one of the pre-tokenizer when no white
-    space follows that space; texts with other spaces are cut by the pattern.
+    A space between two characters that are no white space begins a
+    pre-token, so a chunk begins there; what lies within a chunk is left to
+    the pre-tokenizer.
     """
 
     def __init__(self, value):
-        self.value, self.first, self.rest = value, _Chunks(value, ""), _Chunks(value, " ")
+        self.first, self.rest = _Chunks(value, ""), _Chunks(value, " ")
 
     def values(self, text: str) -> list:
-        if LOOSE.search(text):
-            return [self.value(PATTERN.findall(text))]
-        head, *tail = text.split(" ")
+        head, *tail = SINGLE.split(text) if LOOSE.search(text) else text.split(" ")
         out = [self.first[head]] if head else []
         out.extend(map(self.rest.__getitem__, tail))
         return out
@@ -147,30 +149,39 @@ class PrefixDP:
 
 @lru_cache(1)
 def prefix_dp() -> tuple[PrefixDP, Cutter]:
+    """The dynamic program, and a cutter to the steps from each prefix count of a chunk to the next, as 16-bit integers."""
     dp = PrefixDP()
-    return dp, Cutter(lambda pieces: sum(dp.count(p.encode()) for p in pieces))
 
+    def steps(pieces: list[str]) -> bytes:
+        counts = [0, *_plain(dp, "".join(pieces))]
+        return array("h", map(operator.sub, counts[1:], counts)).tobytes()
 
-def count(text: str) -> int:
-    cutter = prefix_dp()[1]
+    return dp, Cutter(steps)
+
+
+def _steps(text: str) -> bytes:
+    """Steps of a text without special strings."""
+    return b"".join(prefix_dp()[1].values(text))
+
+
+def prefix_steps(text: str) -> bytes:
+    """For each code point the step of the exact token count when the prefix grows by it, each prefix as if encoded alone."""
     parts = text.split(SPECIAL)
-    return len(parts) - 1 + sum(sum(cutter.values(x)) for x in parts)
+    if len(parts) == 1:
+        return _steps(text)
+    out = []
+    for part in parts[:-1]:
+        # a prefix that ends inside the special string is ordinary text; with its last character it is one token
+        seen = array("h", _steps(part + SPECIAL[:-1]))
+        whole = array("h", _steps(part))
+        out.append(seen.tobytes())
+        out.append(array("h", [sum(whole) + 1 - sum(seen)]).tobytes())
+    return b"".join([*out, _steps(parts[-1])])
 
 
 def prefix_counts(text: str) -> array:
     """Exact token count of text[:0], text[:1], ..., text[:len(text)], each as if encoded alone."""
-    dp = prefix_dp()[0]
-    out, base = array("i", [0]), 0
-    parts = text.split(SPECIAL)
-    for i, part in enumerate(parts):
-        cut = i < len(parts) - 1
-        # a prefix that ends inside the special string is ordinary text
-        seen = _plain(dp, part + SPECIAL[:-1] if cut else part)
-        out.extend(base + n for n in seen)
-        if cut:
-            base += (seen[len(part) - 1] if part else 0) + 1
-            out.append(base)
-    return out
+    return array("i", itertools.accumulate(array("h", prefix_steps(text)), initial=0))
 
 
 def _plain(dp: PrefixDP, text: str) -> list[int]:
