@@ -9,17 +9,23 @@ begins at a seeded block.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialize, read
+from .common import materialize, read, slices
 
 WEIGHTS, SHARE, MOST, BLOCK, SEED = (5, 2, 1), 1.5, 2, 16, 17
-#: A source has a shard for so many words, and at most so many shards.
-SHARD_WORDS, SHARDS = 1 << 15, 1 << 14
+#: A source has a shard for so many words; beyond FEW of them the square root of its words, if that is less.
+SHARD_WORDS, FEW = 1 << 15, 1 << 13
+
+
+def shard_count(words: int) -> int:
+    """Shards of a source: both their number and their size grow, so neither a shard nor the table of quotas gets long."""
+    return max(1, min(-(-words // SHARD_WORDS), max(FEW, math.isqrt(words))))
 
 
 def sainte_lague(weights: list[float], seats: int) -> list[int]:
@@ -63,7 +69,7 @@ def targets(sizes: list[int], weights=WEIGHTS, share=SHARE, most=MOST) -> list[f
     return out
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share=SHARE, most=MOST, block=BLOCK, seed=SEED) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share=SHARE, most=MOST, block=BLOCK, seed=SEED, order_by: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id, source, size, source_size, target, taken, and what is taken of it:
     laps (whole copies) and words [from_a, to_a) and [from_b, to_b) once more.
 
@@ -71,24 +77,26 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     source of its own, the last. Repeated rows are rows like others; null ids
     hash alike; an empty table gives an empty result. Sources, not documents,
     come to the driver; a shard of a hot source is bounded by salting with ids.
+    The seeded order goes by the columns order_by, else by the id; rows alike
+    in them by the id.
     """
 
     def work(batches):
-        for b in batches:
+        for b in slices(batches):
             n = [len(x.encode().split()) if x else 0 for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["k", "source", "size"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), b.column(3)], names=["k", "source", "size", "h"])
 
-    src = df.select(F.col(id_col).alias("k"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("t"))
-    sized = materialize(src.mapInArrow(work, f"k {src.schema['k'].dataType.simpleString()}, source string, size long"), "sizes")
+    h = F.xxhash64(*(order_by or (id_col,)), F.lit(seed))
+    src = df.select(F.col(id_col).alias("k"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("t"), h.alias("h"))
+    sized = materialize(src.mapInArrow(work, f"k {src.schema['k'].dataType.simpleString()}, source string, size long, h long"), "sizes")
     sized = sized.withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     per = {r["src"]: r["n"] for r in sized.groupBy("src").agg(F.sum("size").alias("n")).collect()}
     names = sorted(per, key=lambda s: (s == "n", s))
     goals = targets([per[s] for s in names], weights, share, most)
     blocks = sainte_lague(goals, round(sum(goals) / block))
     spark = df.sparkSession
-    table = spark.createDataFrame([(s, per[s], float(t), q, min(SHARDS, max(1, -(-per[s] // SHARD_WORDS)))) for s, t, q in zip(names, goals, blocks)], "src string, source_size long, target double, blocks long, shards long")
-    h = F.xxhash64("k", F.lit(seed))
-    dealt = sized.join(F.broadcast(table), "src").withColumns({"h": h, "shard": F.pmod(h, F.col("shards"))})
+    table = spark.createDataFrame([(s, per[s], float(t), q, shard_count(per[s])) for s, t, q in zip(names, goals, blocks)], "src string, source_size long, target double, blocks long, shards long")
+    dealt = sized.join(F.broadcast(table), "src").withColumn("shard", F.pmod("h", "shards"))
 
     def quotas(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("shard", ignore_index=True)
