@@ -11,7 +11,8 @@ group's union has overlap below the bound there and leaves the group closed.
 Qualifying pairs of groups are opened: first by one pair of documents, then,
 if that doesn't link them, by every pair that shares a token. Pairs whose
 parity bits differ in more places than linked sets can are dropped, and every
-link is decided on whole sets of 64-bit hashes.
+link is decided on whole sets of 64-bit hashes. A class is named by 64 bits of
+its set's digest; 64 more show where two sets share a name, and those get new ones.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import components, materialize, maybe_in, read, slices
 
 SHINGLE, NUM, DEN = 5, 3, 4
-#: Bands of ROWS minimum hashes that propose groups; salts for a band's or leader's rows.
-BANDS, ROWS, SALTS, LEAD_SALTS = 5, 2, 64, 16
+#: Bands of ROWS minimum hashes that propose groups; classes of a band's salt, and pairs of a leader's, at most (on average).
+BANDS, ROWS, BAND_ROWS, LEAD_ROWS = 5, 2, 1 << 16, 1024
 MEMTABLE_ROWS, MEMTABLE_BYTES = 2048, 8 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
@@ -122,10 +123,22 @@ def _differ(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A task's classes (cid, n, sigs, ids, text) and, with cid null, tokens that it counted often (sigs) and their counts (ids)."""
-    names = ["run", "cid", "n", "sigs", "bits", "ids", "text"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.string()]
+def _digest(raw: bytes) -> int:
+    return xxhash.xxh3_128_intdigest(raw)
+
+
+ENTRY = {
+    "run": ("long", pa.int64()), "cid": ("long", pa.int64()), "more": ("long", pa.int64()), "n": ("long", pa.int64()),
+    "sigs": ("array<long>", pa.list_(pa.int64())), "bits": ("binary", pa.binary()), "ids": ("array<long>", pa.list_(pa.int64())),
+    "text": ("string", pa.string()),
+}
+
+
+def _entries(df: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
+    """A task's classes (cid and more: the digest of the set) and, with cid null, tokens that it counted often (sigs) and their counts (ids)."""
+    kinds = [k for _, k in ENTRY.values()]
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=list(ENTRY))
+    signed = lambda x: (x & ((1 << 64) - 1)) - (1 << 63)
 
     def work(batches):
         run = TaskContext.get().partitionId() << 32
@@ -133,7 +146,7 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         heavy: dict[int, int] = {}
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*[(run, cid, *e) for cid, e in table.items()]), kinds)], names=names)
+            out = batch([(run, signed(d), signed(d >> 64), *e) for d, e in table.items()])
             t, c = np.unique(np.concatenate(tokens), return_counts=True) if tokens else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             for x, k in zip(t[c >= HEAVY].tolist(), c[c >= HEAVY].tolist()):
                 heavy[x] = heavy.get(x, 0) + k
@@ -145,11 +158,11 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingles(text)
-                cid = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                if cid in table:
-                    table[cid][3].append(doc)
+                d = digest(s.tobytes())
+                if d in table:
+                    table[d][3].append(doc)
                 else:
-                    table[cid] = (len(s), _signature(s) if len(s) else [], _parity(s) if len(s) else None, [doc], text)
+                    table[d] = (len(s), _signature(s) if len(s) else [], _parity(s) if len(s) else None, [doc], text)
                     size += len(text or "")
                     tokens.append(s)
                 rows += 1
@@ -160,15 +173,34 @@ def _entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield flush()
         top = sorted(heavy, key=lambda x: (-heavy[x], x))[:HEAVY_TASK]
         if top:
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([run, None, 0, [x - (1 << 63) for x in top], None, [heavy[x] for x in top], None], kinds)], names=names)
+            yield batch([(run, None, None, 0, [x - (1 << 63) for x in top], None, [heavy[x] for x in top], None)])
 
     src = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return src.mapInArrow(work, "run long, cid long, n long, sigs array<long>, bits binary, ids array<long>, text string")
+    return src.mapInArrow(work, ", ".join(f"{n} {k}" for n, (k, _) in ENTRY.items()))
 
 
-def _stars(classes: DataFrame) -> DataFrame:
+def _classes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """entries and their classes, one row each: cid, run of an entry of it, n, sigs, bits, rep (its smallest id).
+
+    Where sets that differ share a cid, their entries get new ones by the whole digest, until none do.
+    """
+    again = 0
+    while True:
+        one = [F.min("run").alias("run"), *[F.first(c).alias(c) for c in ("n", "sigs", "bits")], F.min(F.array_min("ids")).alias("rep")]
+        found = entries.where("cid is not null").groupBy("cid").agg(*one, (F.min("more") != F.max("more")).alias("clash"))
+        found = materialize(found, "classes")
+        clash = found.where("clash").select("cid", "clash")
+        if clash.isEmpty():
+            return entries, found.drop("clash")
+        again += 1
+        new = F.when(F.col("clash"), F.xxhash64("cid", "more", F.lit(again))).otherwise(F.col("cid"))
+        entries = materialize(entries.join(clash, "cid", "left").withColumn("cid", new).select(*ENTRY), "sets")
+
+
+def _stars(classes: DataFrame, count: int) -> DataFrame:
     """(a, b): each class and the leader of its salted band, and those leaders and the band's; sizes allow a link."""
-    rows = classes.where("n > 0").select("cid", "n", F.posexplode("sigs").alias("band", "sig")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
+    salts = max(64, -(-count // BAND_ROWS))
+    rows = classes.where("n > 0").select("cid", "n", F.posexplode("sigs").alias("band", "sig")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)))
     least = F.min(F.struct("cid", "n"))
     lead = rows.groupBy("band", "sig", "salt").agg(least.alias("lead"), F.count("*").alias("size"))
     top = lead.groupBy("band", "sig").agg(F.min("lead").alias("top"), F.count("*").alias("size"))
@@ -179,31 +211,35 @@ def _stars(classes: DataFrame) -> DataFrame:
 
 
 def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b, salt) without those whose parities alone rule out a link; two linked sets differ in at most (n + m) / 7 tokens."""
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(LEAD_SALTS)))
+    """Pairs (a, b, salt, run, lead_run) without those whose parities alone rule out a link: two linked sets differ in at most (n + m) / 7 tokens.
+
+    A leader b of many pairs has a salt for every LEAD_ROWS of them; run and lead_run name entries that hold the texts.
+    """
+    busy = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEAD_ROWS).alias("salts")).where("salts > 1")
+    pairs = pairs.join(busy, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1)))).drop("salts")
     nodes = pairs.select("a").union(pairs.select("b")).distinct()
-    bits = maybe_in(classes.select("cid", F.struct("n", "bits").alias("x")), "cid", nodes)
+    bits = maybe_in(classes.select("cid", F.struct("n", "bits", "run").alias("x")), "cid", nodes)
     lead = pairs.select("b", "salt").distinct().join(bits.select(F.col("cid").alias("b"), F.col("x").alias("y")), "b")
     both = pairs.join(bits.withColumnRenamed("cid", "a"), "a").join(lead, ["b", "salt"])
 
     def check(batches):
         for batch in slices(batches, 4096):
             n, x, m, y = (batch.column(c).to_pylist() for c in ("n", "x", "m", "y"))
-            yield batch.select(["a", "b", "salt"]).filter(pa.array([(NUM + DEN) * _differ(x[i], y[i]) <= n[i] + m[i] for i in range(len(n))], pa.bool_()))
+            yield batch.select(["a", "b", "salt", "run", "lead_run"]).filter(pa.array([(NUM + DEN) * _differ(x[i], y[i]) <= n[i] + m[i] for i in range(len(n))], pa.bool_()))
 
-    both = both.select("a", "b", "salt", F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y"))
-    return materialize(both.mapInArrow(check, "a long, b long, salt long"), "close")
+    runs = [F.col("x.run").alias("run"), F.col("y.run").alias("lead_run")]
+    both = both.select("a", "b", "salt", *runs, F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y"))
+    return materialize(both.mapInArrow(check, "a long, b long, salt long, run long, lead_run long"), "close")
 
 
 def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (a, b), those that link: sets are built again from the texts, b's once for each salt."""
     pairs = _close(pairs, classes)
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
-    one = nodes.join(classes.select("cid", "run"), "cid")
-    text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes).join(one, ["cid", "run"])
-    text = materialize(text.select("cid", "text"), "texts")
-    lead = pairs.select("b", "salt").distinct().join(text.withColumnRenamed("cid", "b"), "b").select("b", "salt", F.lit(None).cast("long").alias("a"), "text")
-    rest = pairs.join(text.withColumnRenamed("cid", "a"), "a").select("b", "salt", "a", "text")
+    nodes = pairs.select("a").union(pairs.select("b")).distinct()
+    text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes)
+    lead = pairs.select(F.col("b").alias("cid"), F.col("lead_run").alias("run"), "salt").distinct().join(text, ["cid", "run"])
+    lead = lead.select(F.col("cid").alias("b"), "salt", F.lit(None).cast("long").alias("a"), "text")
+    rest = pairs.select(F.col("a").alias("cid"), "run", "b", "salt").join(text, ["cid", "run"]).select("b", "salt", F.col("cid").alias("a"), "text")
     both = lead.union(rest).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
 
     def check(batches):
@@ -233,53 +269,66 @@ def _may_link(c, least, most):
 
 
 def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
-    """(token, cid): prefix tokens that several classes of a shard have."""
+    """(token, cid): prefix tokens that several classes have.
+
+    Postings go by token to shards that keep what several classes share. Heavy
+    tokens are shared for certain: theirs are dealt by class, so that no shard
+    holds all of one.
+    """
     rare_last = np.array(sorted(x + (1 << 63) for x in heavy), np.uint64)
     place = {x + (1 << 63): i for i, x in enumerate(heavy)}
 
     def emit(batches):
         for batch in slices(batches, 4096):
-            cids, toks, at = [], [], []
+            cids, toks, at, often_ = [], [], [], []
             for cid, text in zip(*(batch.column(c).to_pylist() for c in ("cid", "text"))):
                 s = shingles(text)
                 if not len(s):
                     continue
                 keep = len(s) - (NUM * len(s) + DEN - 1) // DEN + 1
+                rare = keep
                 if len(rare_last):
                     i = np.minimum(np.searchsorted(rare_last, s), len(rare_last) - 1)
                     often = rare_last[i] == s
-                    if len(s) - often.sum() >= keep:
-                        s = s[~often][:keep]
-                    else:
-                        last = sorted(s[often].tolist(), key=lambda x: -place[x])
-                        s = np.concatenate([s[~often], np.array(last, np.uint64)])[:keep]
-                at.append(np.full(len(s[:keep]), len(cids), np.uint32))
+                    rare = min(keep, int(len(s) - often.sum()))
+                    last = sorted(s[often].tolist(), key=lambda x: -place[x]) if rare < keep else []
+                    s = np.concatenate([s[~often], np.array(last, np.uint64)])
+                at.append(np.full(keep, len(cids), np.uint32))
+                often_.append(np.arange(keep) >= rare)
                 cids.append(cid)
                 toks.append(s[:keep])
             if not cids:
                 continue
             t, i = np.concatenate(toks), np.concatenate(at)
             home = (t % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(home, kind="stable")
-            edge = np.searchsorted(home[order], np.arange(shards + 1))
             ids = np.array(cids, np.int64)
-            out = [(s, (t[o] >> np.uint64(32)).astype("<u4").tobytes(), np.searchsorted(u := np.unique(i[o]), i[o]).astype("<u2" if len(u) < 65536 else "<u4").tobytes(), ids[u].tobytes(), int(len(u) < 65536)) for s in range(shards) if len(o := order[edge[s] : edge[s + 1]])]
+            home = np.where(np.concatenate(often_), shards + (ids.view(np.uint64)[i] % np.uint64(shards)).astype(np.int64), home)
+            order = np.argsort(home, kind="stable")
+            edge = np.searchsorted(home[order], np.arange(2 * shards + 1))
+            out = []
+            for shard in range(2 * shards):
+                o = order[edge[shard] : edge[shard + 1]]
+                if len(o):
+                    u = np.unique(i[o])
+                    width = "<u2" if len(u) < 65536 else "<u4"
+                    out.append((shard, t[o].tobytes(), np.searchsorted(u, i[o]).astype(width).tobytes(), ids[u].tobytes(), int(len(u) < 65536)))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["shard", "tokens", "at", "cids", "narrow"])
 
     def meet(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        t = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("tokens").to_pylist()])
-        c = np.concatenate([np.frombuffer(x, "<i8")[np.frombuffer(a, "<u2" if narrow else "<u4")] for x, a, narrow in zip(*(table.column(k).to_pylist() for k in ("cids", "at", "narrow")))])
+        shared = table.column("shard")[0].as_py() >= shards
+        t = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("tokens").to_pylist()])
+        cols = zip(*(table.column(k).to_pylist() for k in ("cids", "at", "narrow")))
+        c = np.concatenate([np.frombuffer(x, "<i8")[np.frombuffer(a, "<u2" if narrow else "<u4")] for x, a, narrow in cols])
         order = np.lexsort((c, t))
         t, c = t[order], c[order]
         fresh = np.ones(len(t), bool)
         fresh[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
         t, c = t[fresh], c[fresh]
         same = t[1:] == t[:-1]
-        keep = np.zeros(len(t), bool)
+        keep = np.full(len(t), shared)
         keep[1:] |= same
         keep[:-1] |= same
-        return pa.table({"token": t[keep].astype(np.int64) * shards + shard, "cid": c[keep]})
+        return pa.table({"token": t[keep].view(np.int64), "cid": c[keep]})
 
     rows = entries.where("n > 0").select("cid", "text").mapInArrow(emit, "shard long, tokens binary, at binary, cids binary, narrow long")
     return rows.groupBy("shard").applyInArrow(meet, "token long, cid long")
@@ -306,22 +355,22 @@ def _leaders(posts: DataFrame) -> DataFrame:
     return met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))).select("a", "b")
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=_digest) -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links).
 
     Null texts and texts without a word have no shingle and link with nothing,
     not even with each other. Identical sets link; repeated rows too. Null ids
     are no smallest id unless alone. An empty table gives an empty result;
-    other columns are ignored. Copies cost one row per task.
+    other columns are ignored. Copies cost one row per task. digest may be
+    replaced by a weaker one (tests do); results stay. Only what is needed for
+    components is verified: links within a group are not enumerated.
     """
-    entries = materialize(_entries(df, id_col, text_col), "sets")
-    classes = entries.where("cid is not null").groupBy("cid").agg(F.min("run").alias("run"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("bits").alias("bits"), F.min(F.array_min("ids")).alias("rep"))
-    classes = materialize(classes, "classes")
+    entries, classes = _classes(materialize(_entries(df, id_col, text_col, digest), "sets"))
     heavy = entries.where("cid is null").select(F.explode(F.arrays_zip("sigs", "ids")).alias("x")).groupBy("x.sigs").agg(F.sum("x.ids").alias("c"))
     heavy = [r[0] for r in heavy.orderBy(F.desc("c"), "sigs").limit(HEAVY_MOST).collect()]
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    count, total = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
-    links = _verify(materialize(_stars(classes), "stars"), entries, classes)
+    links = _verify(materialize(_stars(classes, count), "stars"), entries, classes)
     sized = materialize(_grouped(classes, links), "groups")
 
     # the join has dealt the rows by cid already; a window holds the prefix of one class
@@ -366,3 +415,19 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def query(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id
+"""
