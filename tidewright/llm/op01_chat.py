@@ -9,7 +9,9 @@ does not come back identical is escaped: control strings inside it get one
 backslash more between their opening and their name, which the parser takes
 away again. The escaped text holds no control string, and none can form
 across a border, since they begin with < or [, hold no white space, and the
-template's own neighbours are white space or </s>.
+template's own neighbours are white space or </s>. So one escape is enough;
+the escaped turn is parsed again all the same, and one that still differed
+would stop the query rather than be written wrong.
 """
 
 from __future__ import annotations
@@ -57,7 +59,8 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     Turns go by turn, then role and text, nulls first; repeated rows are turns
     of their own. Null texts and roles count as empty; null conversation ids
     are one conversation; an empty table gives an empty result; other columns
-    are ignored. A conversation is one row, as its format asks.
+    are ignored, whatever their names. A conversation is one row, as its format
+    asks: very long texts are whole, up to the 2 GB that a row can hold.
     """
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     t = df.select(F.col(conv_col).alias("c"), F.col(turn_col).alias("n"), empty(role_col).alias("role"), empty(text_col).alias("text"))
@@ -67,6 +70,9 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     risky = F.concat("role", F.lit("\n"), "text").rlike(OPEN + r"\\*+" + NAMES) | F.col("role").contains(BODY.strip())
     t = t.withColumn("plain", ~risky | same)
     t = t.withColumns({"r": F.when(F.col("plain"), F.col("role")).otherwise(escape(F.col("role"))), "x": F.when(F.col("plain"), F.col("text")).otherwise(escape(F.col("text")))})
+    back = parse(block(F.col("r"), F.col("x")))
+    equal = F.coalesce((F.size(back) == 1) & (back[0]["role"] == F.col("role")) & (back[0]["text"] == F.col("text")), F.lit(False))
+    t = t.withColumn("x", F.when(F.col("plain") | equal, F.col("x")).otherwise(F.raise_error("a turn cannot be read back").cast("string")))
     t = t.withColumns({"b": block(F.col("r"), F.col("x"))}).withColumn("len", F.length("b").cast("long"))
     order = Window.partitionBy("c").orderBy("n", "role", "text")
     t = t.withColumns({"i": F.row_number().over(order), "end": F.sum("len").over(order.rowsBetween(Window.unboundedPreceding, 0))})
@@ -101,3 +107,19 @@ def query(spark, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return digests(format_chats(rows.unionByName(more)))
+
+
+_CONTROL = OPEN + r"(\\{more})" + NAMES
+SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+p AS (SELECT *, NOT (contains(role, '</s>') OR contains(text, '</s>') OR contains(role, '{BODY[:-1]}' || chr(10))
+  OR regexp_matches(role, '{_CONTROL.format(more="+")}') OR regexp_matches(text, '{_CONTROL.format(more="+")}')) AS plain FROM t),
+e AS (SELECT *, CASE WHEN plain THEN length(role) + length(text)
+  ELSE length(regexp_replace(role, '{_CONTROL.format(more="*")}', '\\1\\2/\\3', 'g')) + length(regexp_replace(text, '{_CONTROL.format(more="*")}', '\\1\\2/\\3', 'g')) END AS n FROM p),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+  coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+  CAST(sum(n + {len(BEGIN + HEAD + BODY + END)}) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars, TRUE AS round_trip FROM g
+"""

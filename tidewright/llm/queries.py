@@ -16,4 +16,9 @@ QUERIES = {
     "op9_jaccard_join": op09_jaccard_join.query,
     "op10_embedding_dedup": op10_embedding_dedup.query,
 }
-SQL = {"op6_exact_dedup": op06_exact_dedup.SQL}
+SQL = {
+    "op1_chat_format": op01_chat.SQL,
+    "op6_exact_dedup": op06_exact_dedup.SQL,
+    "op9_jaccard_join": op09_jaccard_join.SQL,
+    "op10_embedding_dedup": op10_embedding_dedup.SQL,
+}
