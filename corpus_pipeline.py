@@ -2,7 +2,9 @@
 
 Each stage calls one operator of tidewright.llm, works on all rows its
 predecessor kept, is written as Parquet and read again by the next. All but
-the last return the columns of documents.
+the last return the columns of documents, whatever other columns they hold:
+inside a stage these are named by place, so no name can clash. A stage that
+must tell rows apart numbers them first; doc_id may be null or repeated.
 """
 
 from __future__ import annotations
@@ -10,72 +12,101 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.llm import op02_packing, op04_language_id, op06_exact_dedup, op07_mixing, op09_jaccard_join
-from tidewright.llm.common import WORD, materialize, read
+from tidewright.llm.common import materialize, read
 
-#: Hashes tried until no two documents share one; a second is rarely needed.
-SEEDS = 8
+#: A word with the white space after it, and before it where it is the first.
+PIECE = r"(?:\A[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 
 
-def _sha(text: str = "text") -> F.Column:
-    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+class Plain:
+    """docs with its columns named by place (c0, c1, ...), and the way back."""
 
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        self.df = docs.toDF(*[f"c{i}" for i in range(len(self.names))])
 
-def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go: those without a letter and those unlike every language learned."""
-    model = op04_language_id.train(docs)
-    return op04_language_id.identify(docs, model, keep=True).where("accepted").select(*docs.columns)
+    def __getitem__(self, name: str) -> str:
+        return f"c{self.names.index(name)}"
+
+    def numbered(self) -> DataFrame:
+        """Rows with a number each, written so that it stays the same."""
+        return materialize(self.df.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+    def back(self, df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(self.names)])
 
 
-def _row() -> dict[str, F.Column]:
-    """What names a row, without nulls: null never equals null in a join, but the pair (0, true) equals itself."""
-    return {"__id": F.coalesce("doc_id", F.lit(0)), "__null": F.col("doc_id").isNull(), "__sha": _sha()}
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go: those without a letter (null and empty texts too) and those unlike every language learned.
+
+    Every row is judged alone, so repeated rows stay or go together.
+    """
+    p = Plain(docs)
+    model = op04_language_id.train(p.df, p["doc_id"], p["text"], p["lang"])
+    return p.back(op04_language_id.identify(p.df, model, p["doc_id"], p["text"], keep=True).where("accepted"))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays, the one with the largest doc_id; a null doc_id is below all others."""
-    kept = op06_exact_dedup.exact_dedup(docs).where("kept").withColumns(_row() | {"__sha": F.col("text_sha256")}).select(*_row())
-    rows = docs.withColumns(_row()).join(kept, [*_row()], "left_semi")
-    return rows.dropDuplicates([*_row()]).select(*docs.columns)
+    """Of equal texts one row stays, the one with the largest doc_id; a null doc_id is below all others.
+
+    Null texts count as empty: one of all such rows stays. Of repeated rows
+    with that doc_id any one stays.
+    """
+    p = Plain(docs)
+    # null never equals null in a join, but the pair (0, true) equals itself
+    one = {"id": F.coalesce(p["doc_id"], F.lit(0)), "none": F.col(p["doc_id"]).isNull(), "sha": F.sha2(F.coalesce(p["text"], F.lit("")), 256)}
+    kept = op06_exact_dedup.exact_dedup(p.df, p["doc_id"], p["text"]).where("kept")
+    kept = kept.select(F.coalesce(p["doc_id"], F.lit(0)).alias("id"), F.col(p["doc_id"]).isNull().alias("none"), F.col("text_sha256").alias("sha"))
+    rows = p.df.withColumns(one).join(kept, [*one], "left_semi")
+    return p.back(rows.dropDuplicates([*one]))
 
 
 def distinct_near_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shingles, directly or not, the one with the smallest doc_id stays.
 
-    A document is a doc_id and a text: two texts of one doc_id are two
-    documents (of linked ones the smaller SHA-256 stays), and a null doc_id is
-    above all others. The join gets a hash of both; no two documents share one.
+    A null doc_id is above all others; ties go to the smaller SHA-256 of the
+    text and then to any one row. Rows without a word link with nothing and
+    all stay; of repeated rows one stays.
     """
-    for seed in range(SEEDS):
-        rows = docs.withColumn("__key", F.xxhash64(F.lit(seed), *[c for n, c in _row().items() if n != "__sha"], F.coalesce("text", F.lit(""))))
-        own = F.struct(*[_row()[n].alias(n) for n in ("__null", "__id", "__sha")])
-        keys = materialize(rows.select("__key", own.alias("own")).groupBy("__key").agg(F.min("own").alias("own"), F.max("own").alias("last")), "keys")
-        if keys.where("own != last").isEmpty():
-            break
-    else:
-        raise RuntimeError("documents share a hash with every seed")
-    linked = op09_jaccard_join.jaccard_components(rows, id_col="__key").select("__key", "component_id")
-    kept = linked.join(keys.select("__key", "own"), "__key").groupBy("component_id").agg(F.min(F.struct("own", "__key")).alias("best")).select("best.__key")
-    return rows.join(kept, "__key", "left_semi").select(*docs.columns)
+    p = Plain(docs)
+    rows = p.numbered()
+    linked = op09_jaccard_join.jaccard_components(rows, "row", p["text"]).select("row", "component_id")
+    order = F.struct(F.col(p["doc_id"]).isNull().alias("none"), p["doc_id"], F.sha2(F.coalesce(p["text"], F.lit("")), 256).alias("sha"), "row")
+    best = linked.join(rows.select("row", order.alias("own")), "row").groupBy("component_id").agg(F.min("own").alias("own"))
+    return p.back(rows.join(best.select("own.row"), "row", "left_semi"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; of one at the border of a run, the words taken."""
-    rows = docs.withColumn("__id", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
-    plan = op07_mixing.mix(rows, id_col="__id").select("__id", "size", "laps", "from_a", "to_a", "from_b", "to_b").distinct()
+    """Documents as often as the mix takes them; of one at the border of a run, the words taken, their white space kept.
+
+    Rows with a null or empty text, or without a word, have nothing to take.
+    A null source is a source of its own. Repeated rows are rows like others.
+    n_chars, where there is one, is that of the text as it is now.
+    """
+    p = Plain(docs)
+    rows = p.numbered()
+    plan = op07_mixing.mix(rows, "row", p["text"], p["source"], order_by=(p["doc_id"], p["text"])).where("taken > 0")
+    plan = plan.select("row", "size", "laps", "from_a", "to_a", "from_b", "to_b")
     part = F.col("to_a") - F.col("from_a") + F.col("to_b")
     whole = F.col("laps") + (part >= F.col("size")).cast("int")
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = lambda a, b: F.slice(words, (a + 1).cast("int"), (b - a).cast("int"))
-    some = F.array_join(F.concat(cut(F.col("from_b"), F.col("to_b")), cut(F.col("from_a"), F.col("to_a"))), " ")
-    copies = F.concat(F.array_repeat("text", whole.cast("int")), F.when((part > 0) & (part < F.col("size")), F.array(some)).otherwise(F.array().cast("array<string>")))
-    out = rows.join(plan, "__id").where("size > 0").withColumn("__text", F.explode(copies))
-    new = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    pieces = F.regexp_extract_all(p["text"], F.lit(PIECE), F.lit(0))
+    cut = lambda a, b: F.array_join(F.slice(pieces, (a + 1).cast("int"), (b - a).cast("int")), "")
+    ends = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+    runs = F.filter(F.array(cut(F.col("from_b"), F.col("to_b")), cut(F.col("from_a"), F.col("to_a"))), lambda x: x != "")
+    some = F.array_join(F.transform(runs, lambda x: F.regexp_replace(x, ends, "")), " ")
+    none = F.array().cast("array<string>")
+    copies = F.concat(F.array_repeat(p["text"], whole.cast("int")), F.when((part > 0) & (part < F.col("size")), F.array(some)).otherwise(none))
+    out = rows.join(plan, "row").withColumn("taken_text", F.explode(copies))
+    new = {p["text"]: F.col("taken_text")}
+    if "n_chars" in p.names:
+        new[p["n_chars"]] = F.length("taken_text").cast(docs.schema["n_chars"].dataType)
+    return p.back(out.withColumns(new))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens, one row per piece."""
-    return op02_packing.pack(docs)
+    """Sequences of at most 2048 tokens, one row per piece; a null or empty text is one piece holding only the end token."""
+    p = Plain(docs)
+    return op02_packing.pack(p.df, p["doc_id"], p["text"]).withColumnRenamed(p["doc_id"], "doc_id")
 
 
 STAGES = [
