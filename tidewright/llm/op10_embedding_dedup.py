@@ -25,10 +25,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import components, materialize, read, slices
 
 COSINE, MISS, EPS, SEED = 0.98, 1e-5, 4.0, 41
-#: Rows of a memtable; vectors of a tile of a bucket (a task holds two tiles); pairs computed at once.
-MEMTABLE_ROWS, TILE, PAIRS = 4096, 2048, 1 << 18
+#: Rows of a memtable; vectors of a tile of a bucket (a task holds two tiles); of a bucket compared along with others; pairs computed at once.
+MEMTABLE_ROWS, TILE, SMALL, PAIRS = 4096, 2048, 64, 1 << 18
 ENTRY = "run long, slot int, label string, vec binary, ids array<long>"
-BLOCK_KEYS = ["label", "band", "key", "i", "j"]
 
 
 @lru_cache(64)
@@ -126,49 +125,57 @@ def _codes(classes: DataFrame, bits: int, count: int) -> DataFrame:
     return classes.select("cid", "label", "vec").mapInArrow(work, kind)
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows of a bucket (label, band, key) in blocks of two tiles (i, j), where a bucket is larger than one tile.
+def _blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a bucket (keys) in blocks of two tiles (i, j), where a bucket is larger than one tile; sorted by block.
 
     A bucket is cut into tiles by a salt; a row goes to every block of its
     tile, as tile i (side 0) or j (side 1). Most buckets are one block.
     """
-    big = rows.groupBy("label", "band", "key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
-    joined = rows.join(big, ["label", "band", "key"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    big = rows.groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
+    joined = rows.join(big, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     joined = joined.withColumn("t", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
     other = F.sequence(F.lit(0), F.col("tiles") - 1)
     pair = F.transform(other, lambda o: F.struct(F.least("t", o).alias("i"), F.greatest("t", o).alias("j"), (F.col("t") > o).cast("int").alias("side")))
-    return joined.withColumn("to", F.explode(pair)).select(*rows.columns, "to.i", "to.j", "to.side")
+    dealt = joined.withColumn("to", F.explode(pair)).select(*rows.columns, "to.i", "to.j", "to.side")
+    return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
 
 
-def _each_block(batches):
-    """Tables of whole blocks out of sorted batches: a block's rows are adjacent, and never more than two tiles."""
+def _starts(b: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray:
+    """Where blocks begin among sorted rows."""
+    new = np.ones(b.num_rows, bool)
+    if b.num_rows > 1:
+        new[1:] = False
+        for k in (*keys, "i", "j"):
+            c = b.column(k)
+            new[1:] |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _whole_blocks(batches, keys: list[str]):
+    """Tables of whole blocks out of sorted batches; never more than a batch and a block of two tiles."""
     held: list[pa.RecordBatch] = []
-    now = None
     for b in slices(batches, 8192):
-        if not b.num_rows:
-            continue
-        keys = [b.column(k) for k in BLOCK_KEYS]
-        change = np.zeros(b.num_rows, bool)
-        for k in keys:
-            change[1:] |= ~pc.equal(k.slice(1), k.slice(0, len(k) - 1)).to_numpy(zero_copy_only=False)
-        edges = [0, *np.flatnonzero(change).tolist(), b.num_rows]
-        for lo, hi in zip(edges, edges[1:]):
-            key = tuple(k[lo].as_py() for k in keys) if lo == 0 or hi == b.num_rows else None
-            if lo == 0 and held and key == now:
-                held.append(b.slice(lo, hi - lo))
-                continue
-            if held:
-                yield pa.Table.from_batches(held).combine_chunks()
-            held, now = [b.slice(lo, hi - lo)], key
+        held.append(b)
+        table = pa.Table.from_batches(held).combine_chunks()
+        last = _starts(table, keys)[-1] if table.num_rows else 0
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        held = table.slice(last).to_batches()
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    side = table.column("side").to_numpy()
+def _each_block(batches, keys: list[str]):
+    for table in _whole_blocks(batches, keys):
+        at = [*_starts(table, keys).tolist(), table.num_rows]
+        for lo, hi in zip(at, at[1:]):
+            if hi - lo > 1:
+                yield table.slice(lo, hi - lo).combine_chunks()
+
+
+def _sides(side: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
     left = np.flatnonzero(side == 0)
-    one = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-    return left, left if one else np.flatnonzero(side == 1)
+    return left, left if i == j else np.flatnonzero(side == 1)
 
 
 def _words(code: np.ndarray) -> np.ndarray:
@@ -185,31 +192,59 @@ def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _hopeful(codes: DataFrame, bits: int, count: int, cosine: float) -> DataFrame:
-    """(label, band, key, cid) of rows whose code leaves a partner possible in their bucket."""
-    flat = codes.select("label", "dim", "cid", "code", F.posexplode("keys").alias("p", "key"))
-    flat = flat.withColumn("band", F.col("dim").cast("long") * 65536 + F.col("p")).drop("p")
-    shared = flat.groupBy("label", "band", "key").count().where("count > 1").drop("count")
-    placed = _blocks(flat.join(shared, ["label", "band", "key"], "left_semi").drop("dim"))
-    placed = placed.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+    """(cid, band) of classes whose code leaves a partner possible in their bucket.
 
-    def work(batches):
-        for table in _each_block(batches):
-            a, b = _sides(table)
-            dim = table.column("band")[0].as_py() // 65536
-            code = _words(_blobs(table.column("code"), -(-dim * -(-bits * count // dim) // 8)))
-            most = differing(dim * -(-bits * count // dim), cosine)
-            hope = np.zeros(table.num_rows, bool)
-            for lo in range(0, len(a), 512):
-                rows = a[lo : lo + 512]
-                close = _far(code[rows], code[b]) <= most
-                if a is b:
-                    close[np.arange(len(rows)), lo + np.arange(len(rows))] = False
-                hope[rows] |= close.any(axis=1)
-                hope[b] |= close.any(axis=0)
-            if hope.any():
-                yield table.select(["label", "band", "key", "cid"]).filter(pa.array(hope)).to_batches()[0]
+    Buckets go by a hash of label, length, band and key: two that share it are
+    compared for nothing, but lose nothing.
+    """
+    flat = codes.select("cid", "dim", "code", "label", F.posexplode("keys").alias("band", "key"))
+    flat = flat.select(F.xxhash64("label", "dim", "band", "key").alias("bucket"), "cid", "band", "dim", "code")
+    placed = _blocks(flat, ["bucket"])
+
+    def small(code: np.ndarray, start: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+        """Hope of the rows of small blocks, all blocks at once: each row against the next, the one after, and so on."""
+        hope = np.zeros(len(code), bool)
+        end = np.repeat(start + size, size)
+        row = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        for step in range(1, SMALL):
+            keep = row + step < end
+            row, end = row[keep], end[keep]
+            if not len(row):
+                break
+            near = row[np.bitwise_count(code[row] ^ code[row + step]).sum(axis=1) <= most]
+            hope[near] = hope[near + step] = True
+        return hope
+
+    def large(code: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+        hope = np.zeros(len(code), bool)
+        for lo in range(0, len(a), 512):
+            rows = a[lo : lo + 512]
+            close = _far(code[rows], code[b]) <= most
+            if a is b:
+                close[np.arange(len(rows)), lo + np.arange(len(rows))] = False
+            hope[rows] |= close.any(axis=1)
+            hope[b] |= close.any(axis=0)
+        return hope
 
-    return placed.mapInArrow(work, "label string, band long, key long, cid long").distinct()
+    def work(batches):
+        for whole in _whole_blocks(batches, ["bucket"]):
+            dims = whole.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                table = whole.filter(pa.array(dims == dim)).combine_chunks()
+                total = dim * -(-bits * count // dim)
+                code, most = _words(_blobs(table.column("code"), -(-total // 8))), differing(total, cosine)
+                start = _starts(table, ["bucket"])
+                size = np.diff(np.append(start, table.num_rows))
+                i, j, side = (table.column(k).to_numpy() for k in ("i", "j", "side"))
+                few = (size <= SMALL) & (i[start] == j[start])
+                hope = small(code, start[few], size[few], most)
+                for lo, n in zip(start[~few].tolist(), size[~few].tolist()):
+                    a, b = _sides(side[lo : lo + n], i[lo], j[lo])
+                    hope[lo : lo + n] = large(code[lo : lo + n], a, b, most)
+                if hope.any():
+                    yield from table.select(["cid", "band"]).filter(pa.array(hope)).to_batches()
+
+    return placed.mapInArrow(work, "cid long, band int").distinct()
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
@@ -231,17 +266,17 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = No
 
 def _links(classes: DataFrame, codes: DataFrame, hopeful: DataFrame, bits: int, count: int, cosine: float) -> tuple[DataFrame, DataFrame]:
     """(cid, far): vectors of other classes linked, counted with copies; (a, b): edges that connect what is linked."""
-    data = codes.select("cid", "keys", "code", "factor").join(classes.select("cid", "vec", "n"), "cid")
-    data = materialize(data.join(hopeful.select("cid").distinct(), "cid", "left_semi"), "hopeful")
-    placed = _blocks(hopeful.join(data, "cid")).repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+    each = hopeful.groupBy("cid").agg(F.collect_list("band").alias("bands"))  # at most all bands
+    data = codes.join(each, "cid").join(classes.select("cid", "vec", "n"), "cid").withColumn("band", F.explode("bands"))
+    bucket = ["label", "dim", "band", "key"]
+    placed = _blocks(data.withColumn("key", F.get("keys", "band")).drop("bands"), bucket)
 
     def work(batches):
-        for table in _each_block(batches):
-            a, b = _sides(table)
+        for table in _each_block(batches, bucket):
+            i, j, dim, band = (table.column(k)[0].as_py() for k in ("i", "j", "dim", "band"))
+            a, b = _sides(table.column("side").to_numpy(), i, j)
             if not len(a) or not len(b):
                 continue
-            dim = len(table.column("vec")[0].as_py()) // 8
-            band = table.column("band")[0].as_py() % 65536
             unit = units(_blobs(table.column("vec"), 8 * dim))
             code = _blobs(table.column("code"), -(-dim * -(-bits * count // dim) // 8))
             sign = np.unpackbits(code[:, : -(-dim // 8)], axis=1, count=dim).astype(np.float32) * 2 - 1
