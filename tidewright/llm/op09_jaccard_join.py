@@ -28,6 +28,8 @@ from .common import components, materialize, maybe_in, read, slices
 SHINGLE, NUM, DEN = 5, 3, 4
 #: Bands of ROWS minimum hashes that propose groups; classes of a band's salt, and pairs of a leader's, at most (on average).
 BANDS, ROWS, BAND_ROWS, LEAD_ROWS = 5, 2, 1 << 16, 1024
+#: Leaders of many pairs that are broadcast at most (2 MB); more are joined by shuffle.
+BUSY_MOST = 1 << 16
 MEMTABLE_ROWS, MEMTABLE_BYTES = 2048, 8 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
@@ -216,6 +218,8 @@ def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     A leader b of many pairs has a salt for every LEAD_ROWS of them; run and lead_run name entries that hold the texts.
     """
     busy = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEAD_ROWS).alias("salts")).where("salts > 1")
+    busy = materialize(busy, "busy")
+    busy = F.broadcast(busy) if busy.count() <= BUSY_MOST else busy
     pairs = pairs.join(busy, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1)))).drop("salts")
     nodes = pairs.select("a").union(pairs.select("b")).distinct()
     bits = maybe_in(classes.select("cid", F.struct("n", "bits", "run").alias("x")), "cid", nodes)
