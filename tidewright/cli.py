@@ -1,6 +1,7 @@
-"""Command line: validate, list-tables, show-plan, jobs, init-control, run, backfill.
+"""Command line: validate, list-tables, show-plan, jobs, init-control, run, backfill, monitor, status, compact.
 
-Exit codes: 0 done, 1 failed, 2 refused. Only the last three start Spark.
+Exit codes: 0 done, 1 failed, 2 refused. Only init-control and what comes
+after it start Spark.
 """
 
 from __future__ import annotations
@@ -9,7 +10,10 @@ import argparse
 import json
 import sys
 
-from .plans import config, validate
+from .plans import config, jobs, validate
+
+
+COMMANDS = ("validate", "list-tables", "show-plan", "jobs", "init-control", "run", "backfill", "monitor", "status", "compact")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -17,7 +21,7 @@ def _parser() -> argparse.ArgumentParser:
     common.add_argument("--config-root", default=argparse.SUPPRESS)
     top = argparse.ArgumentParser(prog="tidewright", parents=[common])
     sub = top.add_subparsers(dest="command", required=True)
-    for name in ("validate", "list-tables", "show-plan", "jobs", "init-control", "run", "backfill"):
+    for name in COMMANDS:
         p = sub.add_parser(name, parents=[common])
         if name != "list-tables":
             p.add_argument("--env", required=True)
@@ -26,12 +30,18 @@ def _parser() -> argparse.ArgumentParser:
         if name == "run":
             p.add_argument("--group")
             p.add_argument("--dry-run", action="store_true")
+            p.add_argument("--trigger", default="manual", choices=("manual", "schedule"))
         if name in ("run", "backfill"):
             p.add_argument("--max-workers", type=int, default=1)
         if name == "backfill":
             p.add_argument("--from", dest="start", required=True)
             p.add_argument("--to")
             p.add_argument("--yes", action="store_true")
+        if name == "monitor":
+            p.add_argument("--query", action="append")
+            p.add_argument("--days", type=int, default=7)
+        if name == "status":
+            p.add_argument("--run")
     return top
 
 
@@ -52,26 +62,35 @@ def _resolved(root: str, env: str, names: list[str] | None) -> tuple[list[config
     return out, bad
 
 
-def jobs(tables: list[config.Resolved]) -> list[dict]:
-    """One job per schedule group, one task per table; dependencies inside a group are edges."""
-    groups: dict[str, list[config.Resolved]] = {}
-    for r in tables:
-        groups.setdefault((r.config.get("schedule") or {}).get("group") or "default", []).append(r)
-    out = []
-    for group, members in sorted(groups.items()):
-        plans = {((s := r.config.get("schedule") or {}).get("cron"), s.get("timezone") or "UTC") for r in members if (r.config.get("schedule") or {}).get("cron")}
-        if len(plans) > 1:
-            raise config.ConfigError(f"group {group} has several schedules: {sorted(plans)}")
-        names = {r.table_fqn for r in members}
-        tasks, outside = [], []
-        for r in members:
-            needs = r.config["table"].get("depends_on") or []
-            outside += [f"{r.table_fqn} -> {d}" for d in needs if d not in names]
-            run = r.config.get("runtime") or {}
-            tasks.append({"task": r.table_fqn, "depends_on": [d for d in needs if d in names], "timeout_minutes": run.get("timeout_minutes"), "max_retries": (r.config.get("schedule") or {}).get("job_retries") or 0, "arguments": ["run", "--env", r.env, "--table", r.table_fqn]})
-        cron, zone = next(iter(plans), (None, "UTC"))
-        out.append({"job": group, "cron": cron, "timezone": zone, "max_concurrent_runs": 1, "tasks": tasks, "not_enforced": outside})
-    return out
+def _look(spark, control, tables: list[config.Resolved], a) -> int:
+    """What the control plane holds, one JSON object a row."""
+    from pyspark.sql import functions as F
+
+    from .operators import monitoring
+    from .operators.control import TABLES, now
+
+    if a.command == "compact":
+        print(json.dumps({t: control.compact(t) for t in TABLES}))
+        return 0
+    if a.command == "status":
+        runs = control.latest("ingestion_runs").where(F.col("env") == a.env)
+        runs = runs.where(F.col("run_id") == a.run) if a.run else runs.orderBy(F.desc("started_at")).limit(1)
+        shown = runs.toJSON().collect()
+        ids = [json.loads(x)["run_id"] for x in shown]
+        tasks = control.latest("ingestion_tasks").where(F.col("run_id").isin(ids)).orderBy("table_fqn", "attempt")
+        print("\n".join([*shown, *tasks.toJSON().collect()]))
+        return 0 if shown else 1
+    rows = [(r.table_fqn, r.env, float(x)) for r in tables if (x := (r.config.get("alerting") or {}).get("freshness_sla_hours")) is not None]
+    sla = spark.createDataFrame(rows, "table_fqn string, env string, sla_hours double")
+    every = monitoring.dashboard(control, sla, F.lit(now().isoformat(sep=" ")).cast("timestamp_ntz"), a.days)
+    unknown = set(a.query or ()) - set(every)
+    if unknown:
+        print(f"no such query: {', '.join(sorted(unknown))}; there are: {', '.join(every)}")
+        return 2
+    for name in a.query or every:
+        for row in every[name].toJSON().collect():
+            print(json.dumps({"query": name, **json.loads(row)}))
+    return 0
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -86,7 +105,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "validate" or bad:
         return 1 if bad else 0
     if a.command == "jobs":
-        print(json.dumps(jobs(tables)))
+        print(json.dumps({"jobs": jobs.jobs(tables), "across_groups": jobs.across(tables)}))
         return 0
     if a.command == "show-plan" or getattr(a, "dry_run", False):
         for r in tables:
@@ -106,9 +125,12 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
+    from .operators import logs
     from .operators.control import Control, new_run_id
     from .operators.runner import Runner
 
+    logs.configure(next((x for r in tables if (x := (r.config.get("logging") or {}).get("level"))), "INFO"))
+
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     place = next((r.config.get("control") or {} for r in tables), {})
     base = place.get("root") or "/".join(x for x in (spark.conf.get("spark.sql.warehouse.dir"), place.get("catalog"), place.get("schema")) if x)
@@ -116,6 +138,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "init-control":
         control.create()
         return 0
+    if a.command in ("monitor", "status", "compact"):
+        return _look(spark, control, tables, a)
     if a.command == "backfill":
         mark = new_run_id(a.env)
         for r in tables:
@@ -123,7 +147,7 @@ def main(argv: list[str] | None = None) -> int:
             control.force(r.table_fqn, a.start, inc.get("watermark_column"), validate.mark_kind(inc), mark)
             control.audit("WATERMARK_FORCED", mark, r.table_fqn, value=a.start)
         control.flush()
-    run_id, status, done = Runner(spark, control, root).run(tables, "backfill" if a.command == "backfill" else "manual", a.max_workers, getattr(a, "to", None))
+    run_id, status, done = Runner(spark, control, root).run(tables, "backfill" if a.command == "backfill" else a.trigger, a.max_workers, getattr(a, "to", None))
     print(json.dumps({"run_id": run_id, "status": status, "tables": {t: o.status for t, o in done.items()}}))
     return 0 if status == "SUCCEEDED" else 1
 

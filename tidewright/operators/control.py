@@ -1,4 +1,9 @@
-"""Control plane: append-only Parquet tables with latest-row views, and fenced watermarks."""
+"""Control plane: append-only Parquet tables with latest-row views, and fenced watermarks.
+
+Every append has a folder of its own below the table's day, so writers never
+meet; rows of a task are gathered and written together. compact() leaves one
+folder with the last row of each key.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +13,11 @@ import time
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..plans import window as w
+from .files import Files
 
 #: Columns and keys of the control tables.
 TABLES = {
@@ -25,7 +31,7 @@ TABLES = {
     "audit_log": ("event_id string, run_id string, table_fqn string, env string, event_type string, event_ts timestamp_ntz, sequence int, actor string, payload string", ["event_id"]),
     "reconciliation": ("run_id string, table_fqn string, env string, check_type string, check_name string, source_count long, target_count long, delta long, status string, details string, checked_at timestamp_ntz", ["run_id", "table_fqn", "check_name", "checked_at"]),
 }
-MARK = "table_fqn string, env string, watermark_column string, watermark_type string, watermark_value string, previous_value string, run_id string, updated_at string, version long"
+MARK = "table_fqn string, env string, watermark_column string, watermark_type string, watermark_value string, previous_value string, run_id string, updated_at string, version long, pinned boolean"
 OPEN, CLOSED = ("PENDING", "RUNNING"), ("SUCCEEDED", "FAILED", "SKIPPED")
 BUFFER, MESSAGE = 100, 8000
 
@@ -51,31 +57,55 @@ class Control:
 
     def __init__(self, spark: SparkSession, root: str, env: str):
         self.spark, self.root, self.env = spark, root.rstrip("/"), env
-        self.lock, self.events, self.count = threading.RLock(), [], 0
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        self._path = lambda p: hadoop.Path(f"{self.root}/{p}")
-        self.fs = hadoop.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.lock, self.events, self.count, self.last = threading.RLock(), [], 0, 0
+        self.files = Files(spark, root)
 
     @staticmethod
     def schema(table: str) -> StructType:
         return StructType.fromDDL(f"{TABLES[table][0]}, _seq long")
 
     def create(self) -> None:
+        """Idempotent; an empty part gives each table its schema on disk."""
         for t in TABLES:
-            if not self.fs.exists(self._path(t)):
+            if not self.files.exists(t):
                 self.append(t, [])
 
+    def _numbers(self, n: int) -> int:
+        """The first of n numbers that no append of this process has had, in order of time."""
+        with self.lock:
+            first = max(time.time_ns(), self.last + 1)
+            self.last = first + n
+        return first
+
     def append(self, table: str, rows: list[dict]) -> None:
-        schema = self.schema(table)
-        seq = time.time_ns()
+        schema, seq = self.schema(table), self._numbers(len(rows))
         data = [tuple({**r, "_seq": seq + i}.get(f.name) for f in schema) for i, r in enumerate(rows)]
-        self.spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
+        folder = f"{self.root}/{table}/day={now():%Y-%m-%d}/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(data, schema).coalesce(1).write.parquet(folder)
+
+    def rows(self, table: str) -> DataFrame:
+        """All versions of all rows."""
+        return self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", True).parquet(f"{self.root}/{table}")
 
     def latest(self, table: str) -> DataFrame:
-        """One row per key, the last one appended."""
-        rows = self.spark.read.schema(self.schema(table)).parquet(f"{self.root}/{table}")
-        order = Window.partitionBy(*TABLES[table][1]).orderBy(F.desc("_seq"))
-        return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n", "_seq")
+        """One row per key, the last one appended: a partial maximum before the only shuffle, no sort."""
+        own = self.schema(table).names
+        best = self.rows(table).groupBy(*TABLES[table][1]).agg(F.max_by(F.struct(*own), "_seq").alias("r"))
+        return best.select("r.*").drop("_seq")
+
+    def compact(self, table: str) -> int:
+        """Rewrite a table as one folder of its last rows; appends meanwhile are left alone. Returns the folders replaced."""
+        old = [f"{table}/{d}/{n}" for d in self.files.names(table) for n in self.files.names(f"{table}/{d}")]
+        if len(old) < 2:
+            return 0
+        rows = self.spark.read.schema(self.schema(table)).parquet(*[f"{self.root}/{f}" for f in old])
+        own = self.schema(table).names
+        best = rows.groupBy(*TABLES[table][1]).agg(F.max_by(F.struct(*own), "_seq").alias("r")).select("r.*")
+        # readers may see old and new together: the same rows twice, which latest() makes one again
+        best.write.parquet(f"{self.root}/{table}/day={now():%Y-%m-%d}/{uuid.uuid4().hex}")
+        for f in old:
+            self.files.delete(f)
+        return len(old)
 
     def register_config(self, config_hash: str, table_fqn: str, text: str, sources: list[str], run_id: str) -> None:
         seen = self.latest("config_registry").where((F.col("config_hash") == config_hash) & (F.col("table_fqn") == table_fqn) & (F.col("env") == self.env)).first()
@@ -105,42 +135,32 @@ class Control:
         return f"watermarks/env={self.env}/table={table_fqn}"
 
     def mark(self, table_fqn: str) -> dict | None:
-        folder = self._path(self._marks(table_fqn))
-        if not self.fs.exists(folder):
-            return None
-        names = [s.getPath().getName() for s in self.fs.listStatus(folder)]
-        last = max((n for n in names if n.endswith(".json")), default=None)
-        return json.loads(self.spark.read.text(f"{self.root}/{self._marks(table_fqn)}/{last}", wholetext=True).first()[0]) if last else None
-
-    def _put(self, table_fqn: str, old: dict | None, value: str | None, column: str | None, kind: str, run_id: str) -> bool:
+        names = [n for n in self.files.names(self._marks(table_fqn)) if n.endswith(".json")]
+        return json.loads(self.files.read(f"{self._marks(table_fqn)}/{names[-1]}")) if names else None
+
+    def _put(self, table_fqn: str, old: dict | None, value: str | None, column: str | None, kind: str, run_id: str, pinned: bool = False) -> bool:
         version = old["version"] + 1 if old else 0
-        row = {"table_fqn": table_fqn, "env": self.env, "watermark_column": column, "watermark_type": kind, "watermark_value": value, "previous_value": old and old["watermark_value"], "run_id": run_id, "updated_at": now().isoformat(sep=" "), "version": version}
-        path = self._path(f"{self._marks(table_fqn)}/{version:020d}.json")
-        try:
-            stream = self.fs.create(path, False)
-        except Exception:  # the file system's own "already exists"; anything else is raised again
-            if not self.fs.exists(path):
-                raise
-            return False
-        stream.write(bytearray(json.dumps(row).encode()))
-        stream.close()
-        return True
-
-    def advance(self, table_fqn: str, value: str | None, column: str | None, kind: str, run_id: str) -> bool:
-        """Move the mark forward, never back; compared as its type. False: held, or another run is further."""
+        row = {"table_fqn": table_fqn, "env": self.env, "watermark_column": column, "watermark_type": kind, "watermark_value": value, "previous_value": old and old["watermark_value"], "run_id": run_id, "updated_at": now().isoformat(sep=" "), "version": version, "pinned": pinned}
+        return self.files.put(f"{self._marks(table_fqn)}/{version:020d}.json", json.dumps(row))
+
+    def advance(self, table_fqn: str, value: str | None, column: str | None, kind: str, run_id: str, pinned: bool = False) -> bool:
+        """Move the mark forward, never back; compared as its type. False: held, or another run is further.
+
+        pinned: the mark is a ceiling whose own rows have not been read yet.
+        """
         while True:
             old = self.mark(table_fqn)
-            if not w.should_advance(old and old["watermark_value"], value, kind):
+            if not w.ahead(value, old and old["watermark_value"], kind):
                 return False
-            if self._put(table_fqn, old, w.canonicalize(value, kind), column, kind, run_id):
+            if self._put(table_fqn, old, w.text_of(value, kind), column, kind, run_id, pinned):
                 return True
 
     def force(self, table_fqn: str, value: str, column: str | None, kind: str, run_id: str) -> None:
         """Set the mark, backwards too; the previous value is kept."""
-        while not self._put(table_fqn, self.mark(table_fqn), w.canonicalize(value, kind), column, kind, run_id):
+        while not self._put(table_fqn, self.mark(table_fqn), w.text_of(value, kind), column, kind, run_id, True):
             pass
 
     def watermarks(self) -> DataFrame:
         rows = self.spark.read.schema(MARK).option("wholetext", True).json(f"{self.root}/watermarks/*/*")
-        order = Window.partitionBy("table_fqn", "env").orderBy(F.desc("version"))
-        return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n").withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+        best = rows.groupBy("table_fqn", "env").agg(F.max_by(F.struct(*rows.columns), "version").alias("r")).select("r.*")
+        return best.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))

@@ -29,17 +29,10 @@ def classify(target: DataFrame, batch: DataFrame, keys: list[str], guard: str |
     return j.withColumns({"__insert": F.col("t").isNull(), "__update": both & newer, "__reject": both & ~newer})
 
 
-def merge(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | None = None) -> DataFrame:
-    """The target after the merge; columns of either side, missing ones null.
-
-    A column that the batch lacks keeps its value on update. The batch must
-    hold a key once: call assert_unique before.
-    """
-    missing = {c.lower() for c in target.columns} - {c.lower() for c in batch.columns}
-    target, batch = align(target, batch), align(batch, target)
-    j = classify(target, batch, keys, guard)
+def resolved(j: DataFrame, columns: list[str], missing: set[str]) -> list:
+    """The merged value of each column of classify's result; missing: columns (lower case) that the batch lacks."""
     out = []
-    for c in target.columns:
+    for c in columns:
         t, s = F.col(f"t.`{c}`"), F.col(f"s.`{c}`")
         if c == AUDIT[4]:
             value = F.when(F.col("__insert"), "I").when(F.col("__update"), "U").otherwise(t)
@@ -48,7 +41,19 @@ def merge(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | Non
         else:
             value = F.when(F.col("__insert") | F.col("__update"), s).otherwise(t)
         out.append(value.alias(c))
-    return j.select(*out)
+    return out
+
+
+def merge(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | None = None) -> DataFrame:
+    """The target after the merge; columns of either side, missing ones null.
+
+    A column that the batch lacks keeps its value on update. The batch must
+    hold a key once: call assert_unique before.
+    """
+    missing = {c.lower() for c in target.columns} - {c.lower() for c in batch.columns}
+    target, batch = align(target, batch), align(batch, target)
+    j = classify(target, batch, keys, guard)
+    return j.select(*resolved(j, target.columns, missing))
 
 
 def metrics(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .stage import AUDIT
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,3 +62,13 @@ def row_count_status(source: int | None, duplicates: int | None, inserted: int |
 
 def duplicate_status(duplicates: int, incremental: bool) -> str:
     return "PASSED" if incremental or not duplicates else "WARNED"
+
+
+def drift(store, batch: DataFrame) -> list[str]:
+    """Columns that a batch has and the table lacks, lacks and the table has, or has as another type; audit columns aside."""
+    entry = store.entry()
+    if entry is None:
+        return []
+    kinds = lambda schema: {f.name.lower(): f.dataType for f in schema if f.name not in AUDIT}
+    old, new = kinds(store.schema(entry)), kinds(batch.schema)
+    return sorted(c for c in {*old, *new} if old.get(c) != new.get(c))

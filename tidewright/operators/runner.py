@@ -1,30 +1,44 @@
-"""Runs: window, extract, gate, load, reconcile, advance; retries and dependency levels."""
+"""Runs: window, extract, stage, gate, load, reconcile, advance; retries and dependency levels.
+
+An extract is read once and staged in the target's folder, so the gate, the
+load and a lost executor's work all see the same rows, whatever the source
+does meanwhile.
+"""
 
 from __future__ import annotations
 
-import logging
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.durations import parse_duration
 from ..plans import window as w
 from ..plans.config import Resolved
 from ..plans.validate import RULES, mark_kind
 from ..sources.readers import JdbcSource, Scan, env_secrets, template
-from . import quality as q, stage
+from . import alerts, quality as q, stage
 from .control import MESSAGE, Control, new_run_id, now, roll_up
+from .files import Files
+from .logs import Log
 from .store import VersionedStore
 
-log = logging.getLogger("tidewright")
+#: The pseudo column of a source's version, and how it writes moments.
+ORACLE_VERSION, ORACLE_MOMENT, ORACLE_DAY = "ORA_ROWSCN", "YYYY-MM-DD HH24:MI:SS.FF6", "YYYY-MM-DD"
 
 
 class ReconciliationFailure(RuntimeError):
+    def __init__(self, text: str, checks: list[str]):
+        super().__init__(text)
+        self.checks = checks
+
+
+class TimedOut(RuntimeError):
     pass
 
 
@@ -64,46 +78,66 @@ def rules(c: dict) -> list[q.Rule]:
     return out
 
 
+def found(df: DataFrame, name: str | None) -> str | None:
+    """The column of df that a configured name means, whatever its case."""
+    return next((c for c in df.columns if name and c.lower() == name.lower()), None)
+
+
+def all_found(df: DataFrame, names: list[str], what: str) -> list[str]:
+    out = [found(df, n) for n in names]
+    if None in out:
+        raise ValueError(f"{what} {names[out.index(None)]!r} is not among the columns read")
+    return out
+
+
+def mark_column(c: dict) -> str | None:
+    inc = (c.get("extraction") or {}).get("incremental") or {}
+    if inc.get("strategy") == "scn":
+        return ORACLE_VERSION if c["source"]["type"] == "oracle" else "_version"
+    return inc.get("watermark_column")
+
+
 class Runner:
-    """One environment's tables. secrets and alert are pluggable; a failing alert never fails a run."""
+    """One environment's tables.
+
+    secrets, senders (alert kind -> function) and sources (table -> an object
+    with read(Scan), instead of what the configuration names) are pluggable.
+    """
 
-    def __init__(self, spark: SparkSession, control: Control, config_root: str = ".", secrets: Callable[[str, str], str] = env_secrets, alert: Callable[[str, str], None] | None = None):
+    def __init__(self, spark: SparkSession, control: Control, config_root: str = ".", secrets: Callable[[str, str], str] = env_secrets, senders: dict | None = None, sources: dict | None = None):
         self.spark, self.control, self.root, self.secrets = spark, control, config_root, secrets
-        self.alert = alert or (lambda channel, text: log.warning("%s: %s", channel, text))
+        self.log, self.sources = Log(env=control.env), sources or {}
+        self.alerts = alerts.Dispatcher(self.log, senders)
 
-    def _extract(self, c: dict, lower: str | None, kind: str, until: str | None) -> tuple[DataFrame, str | None]:
+    def _extract(self, r: Resolved, lower: str | None, inclusive: bool, kind: str, until: str | None) -> tuple[DataFrame, str | None]:
         """The batch as a lazy frame, and the pinned exclusive ceiling if there is one."""
+        c = r.config
         source, ext, table = c["source"], c.get("extraction") or {}, c["table"]
         inc, mode = ext.get("incremental") or {}, ext.get("mode", "full")
-        scn = inc.get("strategy") == "scn"
-        oracle = source["type"] == "oracle"
-        mark = ("ORA_ROWSCN" if oracle else "_version") if scn else inc.get("watermark_column")
-        names = ext.get("columns", "*")
-        columns = None if names == "*" else tuple(names) + ((mark,) if scn and mark not in names else ())
+        mark, names = mark_column(c), ext.get("columns", "*")
+        extra = (mark,) if inc.get("strategy") == "scn" and names != "*" and mark not in names else ()
+        columns = None if names == "*" else (*names, *extra)
         scan = Scan(columns, tuple(ext.get("exclude_columns") or ()), ext.get("filter"), None, ext.get("row_limit"))
-        inclusive = inc.get("bound_inclusive") is not False
         ceiling = until
-        if source["type"] == "parquet":
-            raw = self.spark.read.parquet(source["path"])
+        given = self.sources.get(r.table_fqn)
+        if given is not None or source["type"] == "parquet":
             if mode == "query":
-                raw = template(self.spark, (Path(self.root) / ext["query_file"]).read_text(), {"lower_bound": lower, "upper_bound": ceiling, "table_fqn": f"{table['domain']}.{table['name']}", "env": c["env"]}, {"source": raw})
-                return raw, ceiling
+                raw = given.read() if given is not None else self.spark.read.parquet(source["path"])
+                args = {"lower_bound": lower, "upper_bound": ceiling, "table_fqn": r.table_fqn, "env": c["env"]}
+                return template(self.spark, (Path(self.root) / ext["query_file"]).read_text(), args, {"source": raw}), ceiling
             test = w.predicate(mark, kind, lower, ceiling, inclusive) if mode == "incremental" else None
-            return Scan(scan.columns, scan.exclude, scan.filter, test, scan.limit).apply(raw), ceiling
+            scan = Scan(scan.columns, scan.exclude, scan.filter, test, scan.limit)
+            return given.read(scan) if given is not None else scan.apply(self.spark.read.parquet(source["path"])), ceiling
 
-        jdbc, read = source["jdbc"], source.get("read") or {}
-        ends = (read.get("lower_bound"), read.get("upper_bound"))
-        db = JdbcSource(
-            self.spark, jdbc["url"], f"{table['source_schema']}.{table['source_object']}", jdbc.get("driver"), source.get("fetch_size") or 10_000, read.get("partition_column"), read.get("num_partitions") or 1,
-            tuple(map(str, ends)) if None not in ends else None, jdbc.get("session_init_statement"), ", ".join(f"{k} {v}" for k, v in (source.get("custom_schema") or {}).items()) or None, source.get("secret_scope"), self.secrets, jdbc.get("options") or {},
-        )
+        oracle = source["type"] == "oracle"
+        db = self._jdbc(source, table)
         where = []
         if mode == "incremental":
             if ceiling is None and inc.get("use_upper_bound", True):
                 ceiling = self._clock(db, oracle, kind)
             for value, op in ((lower, ">=" if inclusive else ">"), (ceiling, "<")):
                 if value is not None:
-                    where.append(f"{mark} {op} {self._literal(value, kind)}")
+                    where.append(f"{mark} {op} {sql_literal(value, kind, oracle)}")
         if ext.get("filter"):
             where.append(ext["filter"])
         gone = {x.lower() for x in scan.exclude}
@@ -112,39 +146,66 @@ class Runner:
             df = df.select(*[x for x in df.columns if x.lower() not in gone])
         return (df.limit(scan.limit) if scan.limit else df), ceiling
 
-    @staticmethod
-    def _literal(value: str, kind: str) -> str:
-        """Canonical text only: it is parsed and printed again before it enters a statement."""
-        text = w.canonicalize(value, kind)
-        return text if kind in ("number", "version") else f"{'DATE' if kind == 'date' else 'TIMESTAMP'} '{text}'"
+    def _jdbc(self, source: dict, table: dict) -> JdbcSource:
+        jdbc, read, keys = source["jdbc"], source.get("read") or {}, source.get("secret_keys") or {}
+        ends = (read.get("lower_bound"), read.get("upper_bound"))
+        types = ", ".join(f"{k} {v}" for k, v in (source.get("custom_schema") or {}).items())
+        return JdbcSource(
+            self.spark, jdbc["url"], f"{table['source_schema']}.{table['source_object']}", jdbc.get("driver"), source.get("fetch_size") or 10_000,
+            read.get("partition_column"), read.get("num_partitions") or 1, tuple(map(str, ends)) if None not in ends else None,
+            jdbc.get("session_init_statement"), types or None, source.get("secret_scope"), self.secrets, jdbc.get("options") or {},
+            keys.get("username") or "user", keys.get("password") or "password",
+        )
 
     def _clock(self, db: JdbcSource, oracle: bool, kind: str) -> str | None:
+        """The source's own now, as a mark; None where it has none of the kind."""
         if kind == "number" or (kind == "version" and not oracle):
             return None
         what = {"version": "DBMS_FLASHBACK.GET_SYSTEM_CHANGE_NUMBER", "date": "TRUNC(SYSDATE)" if oracle else "CURRENT_DATE", "timestamp": "SYSTIMESTAMP" if oracle else "CURRENT_TIMESTAMP"}[kind]
         sql = f"SELECT {what} AS v FROM dual" if oracle else f"SELECT v FROM (VALUES {what}) x(v)"
         got = self.spark.read.format("jdbc").options(**db.options(sql, parallel=False)).load().first()[0]
-        return w.canonicalize(got, kind)
+        return w.text_of(got, kind)
+
+    def _window(self, c: dict, fqn: str, tracked: bool, kind: str) -> tuple[str | None, bool]:
+        """(lower bound, whether it is inclusive).
+
+        A mark that was a pinned exclusive ceiling must be read again, since
+        the run before left its rows out. One that was a batch's maximum has
+        been read: again for a merge, which loses nothing by it, and not for
+        an append, which would hold it twice.
+        """
+        if not tracked:
+            return None, True
+        ext = c.get("extraction") or {}
+        inc = ext.get("incremental") or {}
+        floor = inc.get("lower_bound_default")
+        if kind == "version" and str(floor).startswith("1900-01-01"):
+            floor = "0"  # the inherited floor is a timestamp
+        old = self.control.mark(fqn)
+        lower = w.window(old and old["watermark_value"], kind, parse_duration(inc.get("overlap") or "PT0S"), floor).lower
+        if inc.get("bound_inclusive") in (True, False):
+            return lower, inc["bound_inclusive"]
+        return lower, c["target"].get("write_mode", "merge") != "append" or old is None or bool(old.get("pinned"))
 
     def _attempt(self, r: Resolved, run_id: str, attempt: int, until: str | None) -> dict:
         c, fqn = r.config, r.table_fqn
         ext, target, quality = c.get("extraction") or {}, c["target"], c.get("quality") or {}
-        inc, mode, write = ext.get("incremental") or {}, ext.get("mode", "full"), target.get("write_mode", "merge")
-        kind = mark_kind(inc)
-        mark = inc.get("watermark_column") or (("ORA_ROWSCN" if c["source"]["type"] == "oracle" else "_version") if inc.get("strategy") == "scn" else None)
+        mode, write = ext.get("mode", "full"), target.get("write_mode", "merge")
+        kind, mark = mark_kind(ext.get("incremental") or {}), mark_column(c)
         tracked = mode != "full" and bool(mark)
-        floor = inc.get("lower_bound_default")
-        if kind == "version" and str(floor).startswith("1900-01-01"):
-            floor = "0"  # the inherited floor is a timestamp
-        old = self.control.mark(fqn) if tracked else None
-        win = w.compute_window(old and old["watermark_value"], kind, parse_duration(inc.get("overlap") or "PT0S"), None if floor is None else str(floor)) if tracked else w.Window(None, None, True)
+        lower, inclusive = self._window(c, fqn, tracked, kind)
 
-        self.control.audit("EXTRACT_STARTED", run_id, fqn, lower=win.lower)
-        raw, ceiling = self._extract(c, win.lower, kind, until)
-        raw = stage.column_case(raw, target.get("column_case") or "preserve").persist(StorageLevel.MEMORY_AND_DISK)
+        self.control.audit("EXTRACT_STARTED", run_id, fqn, lower=lower)
+        raw, ceiling = self._extract(r, lower, inclusive, kind, until)
+        root = target_root(self.spark, c)
+        staged = f"_staging/{run_id}-{attempt}"
+        stage.column_case(raw, target.get("column_case") or "preserve").write.mode("overwrite").parquet(f"{root}/{staged}")
         try:
-            keys, checks = target.get("merge_keys") or [], rules(c)
-            aggs = [F.count(F.lit(1)).alias("n"), (F.max(mark) if tracked and mark.lower() in {x.lower() for x in raw.columns} else F.lit(None)).alias("top")]
+            raw = self.spark.read.schema(stage.column_case(raw, target.get("column_case") or "preserve").schema).parquet(f"{root}/{staged}")
+            keys = all_found(raw, target.get("merge_keys") or [], "merge key") if write == "merge" else [k for k in (found(raw, x) for x in target.get("merge_keys") or []) if k]
+            at = found(raw, mark)
+            checks = [q.Rule(x.name, x.kind, all_found(raw, [x.column], "expectation")[0], x.argument, x.severity) for x in rules(c)]
+            aggs = [F.count(F.lit(1)).alias("n"), (F.max(at) if tracked and at else F.lit(None)).alias("top")]
             if keys:
                 gone = F.col(keys[0]).isNull()
                 for k in keys[1:]:
@@ -155,32 +216,37 @@ class Runner:
             twice = (stage.duplicates(raw, keys).first()[0] or 0) if write == "merge" else 0
             self.control.audit("EXTRACT_DONE", run_id, fqn, rows=seen["n"])
 
+            store = VersionedStore(self.spark, root)
             report = [("duplicates", "duplicates", q.duplicate_status(twice, mode == "incremental"), twice)]
             if keys and quality.get("null_check_keys", True):
                 report.append(("null_keys", "null_keys", "FAILED" if seen["null_keys"] else "PASSED", seen["null_keys"]))
+            if quality.get("fail_on_schema_drift"):
+                drift = q.drift(store, raw)
+                report.append(("schema_drift", "schema_drift", "FAILED" if drift else "PASSED", len(drift)))
             for i, x in enumerate(checks):
                 bad = seen[f"r{i}"] or 0
                 report.append(("expectation", x.name, "PASSED" if not bad else "WARNED" if x.severity == "warn" else "FAILED", bad))
-            if any(s == "FAILED" for _, _, s, _ in report):  # before the commit: bad rows never reach the target
+            lost = [(n, b) for _, n, s, b in report if s == "FAILED"]
+            if lost:  # before the commit: bad rows never reach the target
                 self._record(r, run_id, report, seen["n"], None)
-                raise ReconciliationFailure("; ".join(f"{n}: {b} rows" for _, n, s, b in report if s == "FAILED"))
+                raise ReconciliationFailure("; ".join(f"{n}: {b} rows" for n, b in lost), [n for n, _ in lost])
 
-            batch = raw
-            if write == "merge":
-                version = "ORA_ROWSCN" if "ORA_ROWSCN" in raw.columns else None
-                batch = stage.newest(raw, keys, mark if mark in raw.columns else None, version)
+            guard = None
+            if write == "merge" and target.get("merge_guard") == "watermark" and mark:
+                guard = all_found(raw, [mark], "the merge guard's column")[0]
+            batch = stage.newest(raw, keys, at, found(raw, ORACLE_VERSION)) if write == "merge" else raw
             if target.get("add_audit_columns", True):
                 batch = stage.stamp(batch, run_id, f"{run_id}-{attempt}", now())
-            guard = mark if write == "merge" and target.get("merge_guard") == "watermark" and mark in batch.columns else None
+            self._create(store, c, batch)
             self.control.audit("LOAD_STARTED", run_id, fqn, mode=write)
-            store = VersionedStore(self.spark, target_root(self.spark, c))
-            entry = store.write(batch, write, keys, guard, target.get("partition_by"), target.get("schema_evolution", True), run_id=run_id, config_hash=r.hash)
+            # newest has left one row a key
+            entry = store.write(batch, write, keys, guard, target.get("partition_by"), target.get("schema_evolution", True), unique=True, run_id=run_id, config_hash=r.hash)
             got = entry["metrics"]
             inserted = got.get("insert", got["rows_total"])
             updated, rejected = got.get("update", 0), got.get("reject", 0)
             self.control.audit("LOAD_DONE", run_id, fqn, **got)
         finally:
-            raw.unpersist()
+            Files(self.spark, root).delete(staged)
 
         if quality.get("row_count_reconciliation", True):
             status = q.row_count_status(seen["n"], twice, inserted, updated, rejected)
@@ -188,26 +254,69 @@ class Runner:
         self._record(r, run_id, report, seen["n"], inserted + updated)
         self.control.audit("RECONCILIATION_DONE", run_id, fqn)
         if report[-1][2] == "FAILED":
-            raise ReconciliationFailure(f"row_count is off by {report[-1][3]}")
+            raise ReconciliationFailure(f"row_count is off by {report[-1][3]}", ["row_count"])
 
         # an empty batch holds the mark, whatever the source's clock says
-        to = None if not tracked or not seen["n"] else ceiling or w.canonicalize(seen["top"], kind)
-        moved = bool(to) and self.control.advance(fqn, to, mark, kind, run_id)
+        to = None if not tracked or not seen["n"] else ceiling or w.text_of(seen["top"], kind)
+        moved = bool(to) and self.control.advance(fqn, to, mark, kind, run_id, bool(ceiling))
         if tracked:
             self.control.audit("WATERMARK_ADVANCED" if moved else "WATERMARK_HELD", run_id, fqn, value=to)
-        return {"source_count": seen["n"], "rows_read": seen["n"], "rows_written": inserted + updated, "rows_inserted": inserted, "rows_updated": updated, "rows_deleted": 0, "watermark_from": win.lower, "watermark_to": to if moved else None}
+        return {"source_count": seen["n"], "rows_read": seen["n"], "rows_written": inserted + updated, "rows_inserted": inserted, "rows_updated": updated, "rows_deleted": 0, "watermark_from": lower, "watermark_to": to if moved else None}
+
+    def _create(self, store: VersionedStore, c: dict, batch: DataFrame) -> None:
+        """The target with its comment, layout, properties and provenance, where it isn't there yet."""
+        t, own, s = c["target"], c["table"], c["source"]
+        source = ".".join(x for x in (own.get("source_schema"), own.get("source_object")) if x) or s.get("path") or own["name"]
+        properties = {"ingestion.source_table": source, "ingestion.managed_by": "tidewright"} | (t.get("table_properties") or {})
+        clusters = [x for x in t.get("cluster_by") or [] if found(batch, x)]
+        store.create(batch.schema, own.get("description"), t.get("partition_by"), clusters, properties, bool(t.get("enable_change_data_feed")))
 
     def _record(self, r: Resolved, run_id: str, report: list, source: int, written: int | None) -> None:
         at = now()
         rows = [{"run_id": run_id, "table_fqn": r.table_fqn, "env": r.env, "check_type": k, "check_name": n, "source_count": source, "target_count": written, "delta": b, "status": s, "details": None, "checked_at": at} for k, n, s, b in report]
         self.control.append("reconciliation", rows)
 
-    def _tell(self, r: Resolved, key: str, text: str) -> None:
-        for channel in (r.config.get("alerting") or {}).get(key) or []:
-            try:
-                self.alert(channel, text)
-            except Exception:
-                log.exception("alert to %s failed", channel)
+    def _tell(self, r: Resolved, alert: alerts.Alert) -> alerts.Told:
+        channels = (r.config.get("alerting") or {}).get(alerts.EVENTS[alert.event]) or []
+        return self.alerts.tell(alert, channels)
+
+    def _timed(self, minutes: float | None, work: Callable[[], dict]) -> dict:
+        """work, its Spark jobs cancelled when the minutes are over."""
+        if not minutes:
+            return work()
+        sc, group, late = self.spark.sparkContext, f"tw-{threading.get_ident()}-{time.time_ns()}", threading.Event()
+
+        def stop() -> None:
+            late.set()
+            sc.cancelJobGroup(group)
+
+        timer = threading.Timer(minutes * 60, stop)
+        sc.setJobGroup(group, "table", True)
+        timer.start()
+        try:
+            out = work()
+        except Exception as e:
+            if late.is_set():
+                raise TimedOut(f"not done after {minutes:g} minutes") from e
+            raise
+        finally:
+            timer.cancel()
+            sc.setJobGroup("", "", False)
+        return out
+
+    def stale(self, tables: list[Resolved], run_id: str, as_of: datetime | None = None) -> list[str]:
+        """Tables whose mark last moved longer ago than their freshness_sla_hours; their channels are told."""
+        out = []
+        for r in tables:
+            sla = (r.config.get("alerting") or {}).get("freshness_sla_hours")
+            mark = self.control.mark(r.table_fqn) if sla is not None else None
+            if mark is None:
+                continue
+            hours = ((as_of or now()) - datetime.fromisoformat(mark["updated_at"])).total_seconds() / 3600
+            if hours > sla:
+                out.append(r.table_fqn)
+                self._tell(r, alerts.stale(r.table_fqn, r.env, run_id, hours, sla))
+        return out
 
     def table(self, r: Resolved, run_id: str, until: str | None = None) -> Outcome:
         """All attempts of one table; failures are returned, not raised."""
@@ -222,7 +331,8 @@ class Runner:
             self.control.audit("TASK_STARTED", run_id, fqn, attempt=attempt)
             error: Exception | None = None
             try:
-                got, status = self._attempt(r, run_id, attempt, until), "SUCCEEDED"
+                work = lambda: self._attempt(r, run_id, attempt, until)  # noqa: E731, B023
+                got, status = self._timed(run.get("timeout_minutes"), work), "SUCCEEDED"
             except Exception as e:  # any failure of a table becomes its outcome
                 got, status, error = {}, "FAILED", e
             end = now()
@@ -235,7 +345,11 @@ class Runner:
             if attempt < most:
                 self.control.audit("TASK_RETRYING", run_id, fqn, attempt=attempt + 1)
                 time.sleep(run.get("retry_backoff_seconds") or 0)
-        self._tell(r, "on_reconciliation_mismatch" if isinstance(error, ReconciliationFailure) else "on_failure", f"{fqn} ({r.env}) failed in {run_id}: {text}")
+        self.log.error(f"{fqn} failed", table_fqn=fqn, run_id=run_id, error_type=type(error).__name__, reason=text)
+        if isinstance(error, ReconciliationFailure):
+            self._tell(r, alerts.mismatch(fqn, r.env, run_id, error.checks))
+        else:
+            self._tell(r, alerts.failure(fqn, r.env, run_id, error, most))
         return Outcome(fqn, "FAILED", most, text)
 
     def _skip(self, r: Resolved, run_id: str, why: str) -> Outcome:
@@ -272,6 +386,10 @@ class Runner:
                 done |= {o.table_fqn: o for o in got}
                 broken |= {o.table_fqn for o in got if o.status == "FAILED" or (o.error or "").startswith("depends on")}
             status = roll_up([o.status for o in done.values()])
+            try:
+                self.stale(tables, run_id)
+            except Exception as e:  # what is told about a run doesn't decide it
+                self.log.error(f"freshness was not checked: {e}", run_id=run_id)
         except Exception as e:
             error = str(e)[:MESSAGE]
             raise
@@ -281,3 +399,13 @@ class Runner:
             self.control.audit("RUN_FINISHED", run_id, status=status)
             self.control.flush()
         return run_id, status, done
+
+
+def sql_literal(value: str, kind: str, oracle: bool) -> str:
+    """A mark in a source's SQL: parsed and printed again before it enters a statement."""
+    text = w.text_of(value, kind)
+    if kind in ("number", "version"):
+        return text
+    if oracle:
+        return f"TO_DATE('{text}', '{ORACLE_DAY}')" if kind == "date" else f"TO_TIMESTAMP('{text}', '{ORACLE_MOMENT}')"
+    return f"{{d '{text}'}}" if kind == "date" else f"{{ts '{text}'}}"  # what every JDBC driver reads

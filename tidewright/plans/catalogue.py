@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import merge as m, monitoring as mon, quality as q, stage
+from ..operators.store import VersionedStore
 from ..sources import readers as r
-from .window import compute_window, predicate
+from .window import predicate, window
 
 LO, UP = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 QUERIES: dict = {}
@@ -63,7 +65,7 @@ def _(spark, d):
 
 @query("qi6_incremental_date", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1997-01-01' AND CAST(l_shipdate AS DATE) < DATE '1997-02-01'")
 def _(spark, d):
-    return src(spark, d, "lineitem", columns=("l_orderkey", "l_linenumber", "l_shipdate"), window=predicate("l_shipdate", "timestamp", "1997-01-01", "1997-02-01"))
+    return src(spark, d, "lineitem", columns=("l_orderkey", "l_linenumber", "l_shipdate"), window=predicate("l_shipdate", "date", "1997-01-01", "1997-02-01"))
 
 
 @query("qi7_incremental_number", "SELECT event_id, event_type FROM events WHERE event_id > 100 AND event_id < 900")
@@ -79,7 +81,7 @@ def _(spark, d):
 @query("qi9_overlap_window", "SELECT event_id, ts FROM events WHERE ts >= (SELECT MAX(ts) FROM events) - INTERVAL '6' HOUR")
 def _(spark, d):
     stored = src(spark, d, "events").agg(F.max("ts")).first()[0]
-    low = compute_window(None if stored is None else stored.strftime("%Y-%m-%d %H:%M:%S.%f"), "timestamp", timedelta(hours=6)).lower
+    low = window(stored, "timestamp", timedelta(hours=6)).lower
     return src(spark, d, "events", columns=("event_id", "ts"), window=predicate("ts", "timestamp", low))
 
 
@@ -100,6 +102,17 @@ def _(spark, d):
     return src(spark, d, "orders", columns=("o_orderkey", "o_totalprice")).orderBy("o_orderkey").limit(100)
 
 
+@query("qi13_scan_limit", "SELECT LEAST(COUNT(*), 100) AS n FROM orders")
+def _(spark, d):
+    return src(spark, d, "orders", columns=("o_orderkey",), limit=100).agg(F.count("*").alias("n"))
+
+
+@query("qi14_version_projected", "SELECT event_id AS _version, event_type FROM events WHERE event_id >= 100 AND event_id < 900")
+def _(spark, d):
+    versioned = src(spark, d, "events").withColumnRenamed("event_id", "_version")
+    return r.MemorySource(versioned).read(r.Scan(("_version", "event_type"), window=predicate("_version", "version", "100", "900")))
+
+
 # staging
 
 
@@ -111,7 +124,7 @@ def _(spark, d):
 @query("qw2_dedupe_latest", """SELECT event_id, user_id, ts, value, TIMESTAMP '2026-01-01 00:00:00' AS _ingested_at, DATE '2026-01-01' AS _ingested_date, 'run-1' AS _run_id, 'batch-1' AS _batch_id, 'I' AS _source_op, TIMESTAMP '2026-01-01 00:00:00' AS _first_ingested_at
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-09 18:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00' AND event_type <> 'error') q WHERE rn = 1""")
 def _(spark, d):
-    w = compute_window(LO, "timestamp", timedelta(hours=6))
+    w = window(LO, "timestamp", timedelta(hours=6))
     batch = src(spark, d, "events", columns=("event_id", "user_id", "ts", "value"), filter="event_type <> 'error'", window=predicate("ts", "timestamp", w.lower, UP))
     return stage.stamp(stage.newest(batch, ["user_id"], "ts", "event_id"), "run-1", "batch-1", datetime(2026, 1, 1))
 
@@ -134,6 +147,12 @@ def _(spark, d):
 
 # writes
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A new folder that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tw-{label}-{uuid.uuid4().hex}"
+
+
 _MERGE = """t AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE {tw}) q WHERE rn = 1),
 s AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE {sw}) q WHERE rn = 1),
 j AS (SELECT t.user_id AS tk, s.user_id AS sk, t.value AS tv, s.value AS sv, t.ts AS tts, s.ts AS sts FROM t FULL OUTER JOIN s ON t.user_id = s.user_id),
@@ -179,17 +198,79 @@ def _(spark, d):
 
 @query("qm7_overwrite", "SELECT p_partkey, p_name FROM part WHERE p_size > 20")
 def _(spark, d):
-    import uuid
-
-    from ..operators.store import VersionedStore
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    store = VersionedStore(spark, f"{root.rstrip('/')}/tw-part-{uuid.uuid4().hex}")
+    store = VersionedStore(spark, _scratch(spark, "part"))
     store.write(src(spark, d, "part", columns=("p_partkey", "p_name")), "overwrite")
     store.write(src(spark, d, "part", columns=("p_partkey", "p_name"), filter="p_size > 20"), "overwrite")
     return store.read()
 
 
+def _run(spark, d, config: dict, batches: list[DataFrame]) -> VersionedStore:
+    """Runs of one table, a batch as its source for each."""
+    from ..operators.control import Control
+    from ..operators.runner import Runner, target_root
+    from .config import Resolved
+
+    root = _scratch(spark, "runs")
+    config = {"env": "q", "table": {"domain": "q", "name": "t"}, "source": {"type": "parquet"}, **config}
+    config["target"] = {"root": root, "table_name": "t", "add_audit_columns": False, **config["target"]}
+    control = Control(spark, f"{root}/control", "q")
+    for batch in batches:
+        status = Runner(spark, control, sources={"q.t": r.MemorySource(batch)}).run([Resolved("q.t", "q", config, ())])[1]
+        if status != "SUCCEEDED":
+            raise RuntimeError(f"the run is {status}")
+    return VersionedStore(spark, target_root(spark, config))
+
+
+_KEPT = "SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY late DESC, ts DESC, event_id DESC) AS rn FROM (SELECT *, ts >= TIMESTAMP '2024-01-03 00:00:00' AS late FROM events)) q WHERE rn = 1"
+
+
+@query("qm9_guard_lower_case", _KEPT)
+def _(spark, d):
+    """An older replay loses, whatever the case of the mark in the configuration."""
+    rows = lambda where: src(spark, d, "events", columns=("user_id", "value", "ts"), filter=where.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")).toDF("USER_ID", "VALUE", "TS")
+    config = {"extraction": {"mode": "full", "incremental": {"watermark_column": "TS"}}, "target": {"write_mode": "merge", "merge_keys": ["User_Id"], "merge_guard": "watermark", "column_case": "lower"}}
+    return _run(spark, d, config, [rows(_LATE), rows(_EARLY)]).read()
+
+
+@query("qm10_append_rerun", "SELECT event_id, user_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-05 00:00:00'")
+def _(spark, d):
+    """Appends whose last mark was a batch's maximum: the same rows again add nothing."""
+    rows = lambda day: src(spark, d, "events", columns=("event_id", "user_id", "ts"), filter=f"ts < TIMESTAMP_NTZ '2024-01-{day} 00:00:00'")
+    config = {"extraction": {"mode": "incremental", "incremental": {"watermark_column": "ts"}}, "target": {"write_mode": "append"}}
+    return _run(spark, d, config, [rows("03"), rows("05"), rows("05")]).read()
+
+
+@query("qm11_partitioned_merge", "SELECT p_partkey, LPAD(CAST(p_size AS VARCHAR), 3, '0') AS size_code, CASE WHEN p_partkey % 3 = 0 THEN 'new' ELSE 'old' END AS state FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0")
+def _(spark, d):
+    """Partition values stay strings, leading zeros and all."""
+    rows = src(spark, d, "part").select("p_partkey", F.lpad(F.col("p_size").cast("string"), 3, "0").alias("size_code"))
+    store = VersionedStore(spark, _scratch(spark, "sizes"))
+    store.write(rows.where("p_partkey % 2 = 0").withColumn("state", F.lit("old")), "merge", ["p_partkey"], partition_by=["size_code"])
+    store.write(rows.where("p_partkey % 3 = 0").withColumn("state", F.lit("new")), "merge", ["p_partkey"], partition_by=["size_code"])
+    return store.read()
+
+
+@query("qm12_change_rows", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN k ELSE 'insert' END AS _change_type FROM part, (VALUES ('update_preimage'), ('update_postimage')) c(k) WHERE p_partkey % 3 = 0 AND (p_partkey % 2 = 0 OR k = 'update_preimage')")
+def _(spark, d):
+    """Change rows of a merge into a table that keeps them."""
+    rows = src(spark, d, "part", columns=("p_partkey", "p_size"))
+    store = VersionedStore(spark, _scratch(spark, "changes"))
+    store.create(rows.schema, "parts", cluster_by=["p_size"], changes=True)
+    store.write(rows.where("p_partkey % 2 = 0"), "merge", ["p_partkey"])
+    store.write(rows.where("p_partkey % 3 = 0"), "merge", ["p_partkey"])
+    return store.changes(2).select("p_partkey", "_change_type")
+
+
+@query("qm13_bucketed_merge", "SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders")
+def _(spark, d):
+    """A small batch rewrites the buckets that it touches and leaves the others."""
+    rows = src(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    store = VersionedStore(spark, _scratch(spark, "orders"))
+    store.write(rows, "merge", ["o_orderkey"])
+    store.write(rows.where("o_orderkey % 100 = 0").withColumn("price", F.col("price") + 1), "merge", ["o_orderkey"])
+    return store.read()
+
+
 _MET = f"{_EARLY} AND user_id % 7 <> 0", "ts < TIMESTAMP '2024-01-02 00:00:00' OR user_id % 2 = 0"
 
 
@@ -221,10 +302,18 @@ def _(spark, d):
     return q.null_keys(src(spark, d, "events").select(F.nullif("user_id", F.lit(3)).alias("k1"), F.col("event_id").alias("k2")), ["k1", "k2"])
 
 
-@query("qq9_row_count_identity", "SELECT CASE WHEN (SELECT COUNT(*) FROM lineitem) - (SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) a) FROM lineitem) = (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) b) THEN 'PASSED' ELSE 'FAILED' END AS status")
+@query("qq9_row_count_identity", """WITH l AS (SELECT l_orderkey AS k, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey)
+SELECT CAST(SUM(n) AS BIGINT) AS source_count, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicate_rows, CAST(SUM(CASE WHEN k % 2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS inserted, CAST(SUM(CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS updated, 'PASSED' AS status FROM l""")
 def _(spark, d):
-    keys = src(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
-    return keys.agg(F.sum("n").alias("source"), F.sum(F.col("n") - 1).alias("dups"), F.count("*").alias("written")).select(F.when(F.col("source") - F.col("dups") == F.col("written"), "PASSED").otherwise("FAILED").alias("status"))
+    """What a merge has written, by its log, against what was read."""
+    rows = src(spark, d, "lineitem", columns=("l_orderkey", "l_shipdate"))
+    seen, twice = rows.count(), stage.duplicates(rows, ["l_orderkey"]).first()[0]
+    batch = stage.newest(rows, ["l_orderkey"], "l_shipdate")
+    store = VersionedStore(spark, _scratch(spark, "lines"))
+    store.write(batch.where("l_orderkey % 2 = 0"), "merge", ["l_orderkey"], unique=True)
+    got = store.write(batch, "merge", ["l_orderkey"], unique=True)["metrics"]
+    status = q.row_count_status(seen, twice, got["insert"], got["update"], got["reject"])
+    return spark.createDataFrame([(seen, twice, got["insert"], got["update"], status)], "source_count long, duplicate_rows long, inserted long, updated long, status string")
 
 
 _REPORT = [q.Rule("orders_have_customer", "not_null", "o_custkey"), q.Rule("known_status", "in_set", "o_orderstatus", ("P", "F")), q.Rule("price_floor", "min", "o_totalprice", 1000.0, "warn"), q.Rule("priority_form", "regex", "o_orderpriority", "^[1-5]")]
@@ -253,7 +342,7 @@ def _(spark, d):
 # monitoring over control tables derived from events
 
 _TASKS = """tasks AS (SELECT event_type AS table_fqn, CASE WHEN user_id % 2 = 0 THEN 'prod' ELSE 'dev' END AS env, user_id AS run_id, event_id, CAST(ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS INT) AS attempt,
-CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, ts AS started_at, CAST(FLOOR(value) AS BIGINT) AS rows_written, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS watermark_to FROM events)"""
+CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, ts AS started_at, CAST(FLOOR(value) AS BIGINT) AS rows_written, CAST(FLOOR(value) AS BIGINT) + 1 AS source_count, CAST(FLOOR(value * 100) AS BIGINT) AS duration_ms, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS watermark_to FROM events)"""
 
 
 def tasks(spark, d) -> DataFrame:
@@ -264,23 +353,24 @@ def tasks(spark, d) -> DataFrame:
         F.col("event_type").alias("table_fqn"), F.when(F.col("user_id") % 2 == 0, "prod").otherwise("dev").alias("env"), F.col("user_id").alias("run_id"), "event_id",
         F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("event_id")).alias("attempt"),
         F.when(F.col("event_id") % 7 == 0, "FAILED").otherwise("SUCCEEDED").alias("status"), F.col("ts").alias("started_at"),
-        F.floor("value").cast("bigint").alias("rows_written"), F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("watermark_to"),
+        F.floor("value").cast("bigint").alias("rows_written"), (F.floor("value") + 1).cast("bigint").alias("source_count"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("duration_ms"), F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("watermark_to"),
     )
 
 
-@query("qr1_run_success_rate", f"WITH {_TASKS} SELECT CAST(started_at AS DATE) AS run_date, env, status, COUNT(*) AS runs, ROUND(CAST(AVG(rows_written) AS DOUBLE) / 10.0, 1) AS avg_tens FROM tasks GROUP BY CAST(started_at AS DATE), env, status")
+@query("qr1_run_success_rate", f"WITH {_TASKS} SELECT CAST(started_at AS DATE) AS run_date, env, status, COUNT(*) AS runs, ROUND(CAST(AVG(duration_ms) AS DOUBLE) / 1000.0, 1) AS avg_seconds FROM tasks GROUP BY CAST(started_at AS DATE), env, status")
 def _(spark, d):
     return mon.success_rate(tasks(spark, d))
 
 
 @query("qr2_table_health", f"""WITH {_TASKS}, fin AS (SELECT t.* FROM tasks t JOIN (SELECT run_id, table_fqn, MAX(attempt) AS attempt FROM tasks GROUP BY run_id, table_fqn) l ON t.run_id = l.run_id AND t.table_fqn = l.table_fqn AND t.attempt = l.attempt)
-SELECT table_fqn, env, COUNT(*) AS runs, CAST(SUM(CASE WHEN status = 'SUCCEEDED' THEN 1 ELSE 0 END) AS BIGINT) AS succeeded, ROUND(CAST(100.0 AS DOUBLE) * CAST(SUM(CASE WHEN status = 'SUCCEEDED' THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 1) AS success_pct, MAX(attempt) AS max_attempts FROM fin GROUP BY table_fqn, env""")
+SELECT table_fqn, env, COUNT(*) AS runs, CAST(SUM(CASE WHEN status = 'SUCCEEDED' THEN 1 ELSE 0 END) AS BIGINT) AS succeeded, ROUND(CAST(100.0 AS DOUBLE) * CAST(SUM(CASE WHEN status = 'SUCCEEDED' THEN 1 ELSE 0 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 1) AS success_pct, MAX(attempt) AS max_attempts, ROUND(CAST(AVG(duration_ms) AS DOUBLE) / 1000.0, 1) AS avg_seconds, CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed FROM fin GROUP BY table_fqn, env""")
 def _(spark, d):
     return mon.table_health(tasks(spark, d))
 
 
 @query("qr3_freshness", f"""WITH {_TASKS}, wm AS (SELECT table_fqn, env, MAX(watermark_to) AS updated_at FROM tasks GROUP BY table_fqn, env), sla AS (SELECT 'click' AS table_fqn, 'prod' AS env, CAST(4 AS DOUBLE) AS sla_hours UNION ALL SELECT 'view', 'dev', CAST(72 AS DOUBLE))
-SELECT w.table_fqn, w.env, w.updated_at, s.sla_hours, CASE WHEN s.sla_hours IS NULL THEN NULL WHEN w.updated_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL '1' HOUR * CAST(s.sla_hours AS INT) THEN TRUE ELSE FALSE END AS sla_breached FROM wm w LEFT JOIN sla s ON s.table_fqn = w.table_fqn AND s.env = w.env""")
+SELECT w.table_fqn, w.env, w.updated_at, CAST(FLOOR((DATE_DIFF('second', DATE_TRUNC('second', w.updated_at), TIMESTAMP '2024-01-31 00:00:00') + 18) / 36) AS DOUBLE) / 100 AS hours_since_advance, s.sla_hours, CASE WHEN s.sla_hours IS NULL THEN NULL WHEN w.updated_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL '1' HOUR * CAST(s.sla_hours AS INT) THEN TRUE ELSE FALSE END AS sla_breached FROM wm w LEFT JOIN sla s ON s.table_fqn = w.table_fqn AND s.env = w.env""")
 def _(spark, d):
     marks = tasks(spark, d).groupBy("table_fqn", "env").agg(F.max("watermark_to").alias("updated_at"))
     sla = spark.createDataFrame([("click", "prod", 4.0), ("view", "dev", 72.0)], "table_fqn string, env string, sla_hours double")
@@ -289,7 +379,7 @@ def _(spark, d):
 
 @query("qr4_recent_failures", f"WITH {_TASKS} SELECT started_at, env, table_fqn, run_id, attempt, SUBSTRING(status, 1, 4) AS st FROM tasks WHERE status = 'FAILED' ORDER BY started_at DESC, event_id LIMIT 50")
 def _(spark, d):
-    return mon.recent_failures(tasks(spark, d)).select("started_at", "env", "table_fqn", "run_id", "attempt", F.substring("status", 1, 4).alias("st"))
+    return mon.recent_failures(tasks(spark, d), tie="event_id").select("started_at", "env", "table_fqn", "run_id", "attempt", F.substring("status", 1, 4).alias("st"))
 
 
 @query("qr5_reconciliation_issues", f"WITH {_TASKS} SELECT run_id, table_fqn, event_id, st AS status FROM (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'FAILED' WHEN event_id % 5 = 0 THEN 'WARNED' ELSE 'PASSED' END AS st FROM tasks) x WHERE st IN ('FAILED', 'WARNED')")
@@ -298,23 +388,23 @@ def _(spark, d):
     return mon.reconciliation_issues(checks)
 
 
-@query("qr6_volume_trend", f"""WITH {_TASKS}, daily AS (SELECT table_fqn, env, CAST(started_at AS DATE) AS load_date, CAST(SUM(rows_written) AS BIGINT) AS rows_written FROM tasks WHERE status = 'SUCCEEDED' GROUP BY table_fqn, env, CAST(started_at AS DATE)),
+@query("qr6_volume_trend", f"""WITH {_TASKS}, daily AS (SELECT table_fqn, env, CAST(started_at AS DATE) AS load_date, CAST(SUM(rows_written) AS BIGINT) AS rows_written, CAST(SUM(source_count) AS BIGINT) AS source_count FROM tasks WHERE status = 'SUCCEEDED' GROUP BY table_fqn, env, CAST(started_at AS DATE)),
 b AS (SELECT table_fqn, env, QUANTILE_CONT(rows_written, 0.5) AS med FROM daily GROUP BY table_fqn, env)
-SELECT d.table_fqn, d.env, d.load_date, d.rows_written, CASE WHEN b.med IS NULL OR b.med = 0 THEN NULL ELSE ROUND(CAST(100.0 AS DOUBLE) * (CAST(d.rows_written AS DOUBLE) - b.med) / b.med, 1) END AS pct_vs_median FROM daily d LEFT JOIN b ON b.table_fqn = d.table_fqn AND b.env = d.env""")
+SELECT d.table_fqn, d.env, d.load_date, d.rows_written, d.source_count, ROUND(b.med, 0) AS median_rows, CASE WHEN b.med IS NULL OR b.med = 0 THEN NULL ELSE ROUND(CAST(100.0 AS DOUBLE) * (CAST(d.rows_written AS DOUBLE) - b.med) / b.med, 1) END AS pct_vs_median FROM daily d LEFT JOIN b ON b.table_fqn = d.table_fqn AND b.env = d.env""")
 def _(spark, d):
     return mon.volume_trend(tasks(spark, d))
 
 
 @query("qr7_watermark_stalls", f"""WITH {_TASKS}, r AS (SELECT run_id, table_fqn, watermark_to, started_at, ROW_NUMBER() OVER (PARTITION BY run_id, table_fqn ORDER BY started_at DESC, event_id DESC) AS rn FROM tasks WHERE status = 'SUCCEEDED')
-SELECT run_id, table_fqn, COUNT(*) AS successful_runs, MAX(started_at) AS last_run_at FROM r WHERE rn <= 2 GROUP BY run_id, table_fqn HAVING SUM(CASE WHEN watermark_to IS NULL THEN 1 ELSE 0 END) = COUNT(*) AND COUNT(*) = 2""")
+SELECT run_id, table_fqn, COUNT(*) AS successful_runs, CAST(2 AS BIGINT) AS runs_with_no_new_data, MAX(started_at) AS last_run_at FROM r WHERE rn <= 2 GROUP BY run_id, table_fqn HAVING SUM(CASE WHEN watermark_to IS NULL THEN 1 ELSE 0 END) = COUNT(*) AND COUNT(*) = 2""")
 def _(spark, d):
-    return mon.watermark_stalls(tasks(spark, d))
+    return mon.watermark_stalls(tasks(spark, d), 2, ("run_id", "table_fqn"), "event_id")
 
 
-@query("qr8_stuck_runs", f"WITH {_TASKS} SELECT run_id, event_id, started_at FROM tasks WHERE event_id % 13 = 0 AND started_at < TIMESTAMP '2024-01-28 18:00:00'")
+@query("qr8_stuck_runs", f"WITH {_TASKS} SELECT run_id, event_id, started_at, CAST(FLOOR((DATE_DIFF('second', DATE_TRUNC('second', started_at), TIMESTAMP '2024-01-29 00:00:00') + 18) / 36) AS DOUBLE) / 100 AS hours_open FROM tasks WHERE event_id % 13 = 0 AND started_at < TIMESTAMP '2024-01-28 18:00:00'")
 def _(spark, d):
     runs = tasks(spark, d).withColumn("status", F.when(F.col("event_id") % 13 == 0, "RUNNING").otherwise("SUCCEEDED"))
-    return mon.stuck_runs(runs, ts("2024-01-29 00:00:00"), 6).select("run_id", "event_id", "started_at")
+    return mon.stuck_runs(runs, ts("2024-01-29 00:00:00"), 6).select("run_id", "event_id", "started_at", "hours_open")
 
 
 @query("qr9_config_changes", "SELECT event_type AS table_fqn, user_id AS config_hash, MIN(ts) AS first_seen_at FROM events GROUP BY event_type, user_id HAVING MIN(ts) >= TIMESTAMP '2024-01-03 00:00:00'")
@@ -328,9 +418,9 @@ def _(spark, d):
     return mon.final_attempts(tasks(spark, d)).select("run_id", "table_fqn", "status")
 
 
-@query("qr11_run_status_rollup", f"WITH {_TASKS}, c AS (SELECT run_id, CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed, COUNT(*) AS n FROM tasks t WHERE attempt <= 1 GROUP BY run_id) SELECT run_id, CASE WHEN failed = 0 THEN 'SUCCEEDED' WHEN failed = n THEN 'FAILED' ELSE 'PARTIAL' END AS status FROM c")
+@query("qr11_run_status_rollup", f"WITH {_TASKS}, c AS (SELECT run_id, CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed, COUNT(*) AS n FROM (SELECT *, MAX(attempt) OVER (PARTITION BY run_id, table_fqn) AS last FROM tasks) t WHERE attempt = last GROUP BY run_id) SELECT run_id, CASE WHEN failed = 0 THEN 'SUCCEEDED' WHEN failed = n THEN 'FAILED' ELSE 'PARTIAL' END AS status FROM c")
 def _(spark, d):
-    return mon.run_status(tasks(spark, d).where("attempt <= 1"))
+    return mon.run_status(mon.final_attempts(tasks(spark, d)))
 
 
 @query("qr12_next_attempt", f"WITH {_TASKS} SELECT run_id, table_fqn, CAST(COALESCE(MAX(attempt), 0) + 1 AS INT) AS next_attempt FROM tasks GROUP BY run_id, table_fqn")

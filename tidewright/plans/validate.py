@@ -110,11 +110,12 @@ def validate(c: dict, root: str | Path = ".") -> list[Issue]:
     tracked = mode == "incremental" or (mode == "query" and (scn or mark))
     say(mode == "incremental" and not scn and not mark, "extraction.incremental.watermark_column", "is required")
     say(scn and mark, "extraction.incremental.watermark_column", "is set by the strategy")
+    say(overlap and write == "append", "extraction.incremental.overlap", "would append rows twice")
     say(overlap and not tracked, "extraction.incremental.overlap", "needs an incremental extraction")
     say(mode == "full" and mark, "extraction.incremental.watermark_column", "only breaks ties in a full load", "warning")
     if tracked and inc.get("lower_bound_default") is not None:
         try:
-            w.parse(str(inc["lower_bound_default"]), mark_kind(inc))
+            w.Mark.of(str(inc["lower_bound_default"]), mark_kind(inc))
         except ValueError as e:
             say(not (scn and str(inc["lower_bound_default"]).startswith("1900-01-01")), "extraction.incremental.lower_bound_default", str(e))
 
@@ -129,6 +130,18 @@ def validate(c: dict, root: str | Path = ".") -> list[Issue]:
 
     say(write == "merge" and not keys, "target.merge_keys", "are required")
     say(write == "merge" and target.get("merge_guard") == "watermark" and not (mark or scn), "target.merge_guard", "has no watermark to compare", "warning")
+    say(inc.get("bound_inclusive") is True and write == "append", "extraction.incremental.bound_inclusive", "appends the last mark's rows again", "warning")
+    say(target.get("partition_by") and target.get("cluster_by"), "target.cluster_by", "is not used beside partition_by", "warning")
+    say(target.get("enable_change_data_feed") and target.get("format") == "delta", "target.format", "is written as versioned Parquet, change rows too", "warning")
+    for key, channels in (c.get("alerting") or {}).items():
+        for text in channels if isinstance(channels, list) else []:
+            say(not re.fullmatch(r"[A-Za-z]+:.+", str(text)), f"alerting.{key}", f"{text} is no channel kind:target")
+    sla = (c.get("alerting") or {}).get("freshness_sla_hours")
+    say(sla is not None and not tracked, "alerting.freshness_sla_hours", "needs a watermark to age", "warning")
+    level = (c.get("logging") or {}).get("level")
+    say(level and level.upper() not in ("DEBUG", "INFO", "WARNING", "ERROR"), "logging.level", "must be DEBUG, INFO, WARNING or ERROR")
+    odd = sorted(set(source.get("secret_keys") or {}) - {"username", "password"})
+    say(odd, "source.secret_keys", f"has no use for {', '.join(odd)}")
     say(write == "merge" and target.get("partition_by"), "target.partition_by", "is of little use with merge", "warning")
     say(write == "overwrite" and keys, "target.merge_keys", "are not used by overwrite", "warning")
     say(write == "merge" and not table.get("business_key"), "table.business_key", "is not given", "warning")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -87,13 +88,15 @@ class JdbcSource:
     secret_scope: str | None = None
     secrets: Callable[[str, str], str] = env_secrets
     extra: dict = field(default_factory=dict)
+    user_key: str = "user"
+    password_key: str = "password"
 
     def options(self, sql: str, parallel: bool = True) -> dict[str, str]:
         out = {"url": self.url, "fetchsize": str(self.fetch_size)}
         optional = {"driver": self.driver, "sessionInitStatement": self.session_init, "customSchema": self.custom_schema}
         out |= {k: v for k, v in optional.items() if v}
         if self.secret_scope:
-            out |= {"user": self.secrets(self.secret_scope, "user"), "password": self.secrets(self.secret_scope, "password")}
+            out |= {"user": self.secrets(self.secret_scope, self.user_key), "password": self.secrets(self.secret_scope, self.password_key)}
         low, high = self.bounds or (None, None)
         if parallel and self.partition_column and self.partitions > 1 and low is not None and high is not None:
             out |= {"dbtable": f"({sql}) src", "partitionColumn": self.partition_column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(self.partitions)}
@@ -128,10 +131,22 @@ class JdbcSource:
 
 
 def template(spark: SparkSession, text: str, args: dict, views: dict[str, DataFrame]) -> DataFrame:
-    """A query file: one statement, parameters bound by name, never spliced."""
+    """A query file: one statement, parameters bound by name, never spliced.
+
+    Its relations are common table expressions over views of names that no
+    other query has; those are gone once the query is analysed, so parallel
+    runs never see each other's.
+    """
+    mine = {name: f"tw_{uuid.uuid4().hex}" for name in views}
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text.strip().removesuffix(";"), args=args)
+        df.createOrReplaceTempView(mine[name])
+    try:
+        with_ = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in mine.items())
+        body = text.strip().removesuffix(";")
+        return spark.sql(f"WITH {with_} SELECT * FROM (\n{body}\n)" if views else body, args=args)
+    finally:
+        for view in mine.values():
+            spark.catalog.dropTempView(view)
 
 
 def probe(df: DataFrame, watermark: str | None = None, partition: str | None = None) -> DataFrame:
