@@ -14,13 +14,17 @@ import tiktoken
 
 #: Fixed values of the tokenizer file: its pre-tokenizer pattern and the one special string it matches inside texts.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: The characters of the Unicode property White_Space, by which that pattern goes.
+WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 #: A space beside white space, or at an end: where cutting at every space could part a run. SINGLE: where it can't.
 LOOSE = regex.compile(r" (?:\p{White_Space}|$)|\p{White_Space} |^ ")
 SINGLE = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
-#: Entries of a cache before it starts anew; at about 0.3 KB an entry up to 80 MB. A worker has two caches for each use.
-CACHE = 1 << 18
+#: A step as two bytes, as they are stored.
+STEP = {n: array("h", [n]).tobytes() for n in range(-128, 128)}
+#: Entries of a cache before it starts anew; at about 0.3 KB an entry up to 160 MB. A worker has up to three that get so large.
+CACHE = 1 << 19
 
 
 @lru_cache(1)
@@ -99,7 +103,7 @@ class PrefixDP:
         core_bpe, self.ranks = core()
         self.encode = core_bpe.encode_single_piece
         self.longest = max(map(len, self.ranks))
-        self.memo: dict[bytes, tuple[int, bytes]] = {b"": (0, b"")}
+        self.memo: dict[bytes, tuple[int, bytes, bytes]] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
 
     def apart(self, last: bytes, t: bytes) -> bool:
@@ -110,40 +114,64 @@ class PrefixDP:
             got = self.pairs[last, t] = self.encode(last + t) == [self.ranks[last], self.ranks[t]]
         return got
 
-    def _step(self, tail: bytes, at: int, state) -> tuple[int, bytes]:
-        """tail: the last bytes before position at; state(k): the prefix k bytes shorter."""
-        for k in range(len(tail), 0, -1):
-            t = tail[-k:]
-            if t in self.ranks:
-                if k == at:
-                    return 1, t
-                n, last = state(k)
-                if self.apart(last, t):
-                    return n + 1, t
-        raise AssertionError("every byte is a token")
-
     def count(self, piece: bytes) -> int:
-        if len(piece) > self.LONG:
-            return self.all_counts(piece)[-1]
+        return self.known(piece)[0] if len(piece) <= self.LONG else self.all_counts(piece)[-1]
+
+    def known(self, piece: bytes) -> tuple[int, bytes, bytes, int, int]:
+        """Count, last token, the steps of the prefix counts at the ends of characters, the count at the last
+        such end, and the bytes that the character begun still needs. What pieces begin with is remembered."""
         memo = self.memo
-        if piece in memo:
-            return memo[piece][0]
+        got = memo.get(piece)
+        if got is not None:
+            return got
         if len(memo) >= CACHE:
             memo.clear()
-            memo[b""] = (0, b"")
-        i = len(piece) - 1
-        while piece[:i] not in memo:
+        i, now = len(piece) - 1, None
+        while i > 0 and (now := memo.get(piece[:i])) is None:
             i -= 1
-        for j in range(i + 1, len(piece) + 1):
-            p = piece[:j]
-            memo[p] = self._step(p, j, lambda k: memo[p[: j - k]])
-        return memo[piece][0]
+        _, _, steps, base, need = now or (0, b"", b"", 0, 0)
+        ranks, pairs = self.ranks, self.pairs
+        for at in range(i + 1, len(piece) + 1):
+            p, byte = piece[:at], piece[at - 1]
+            if p in ranks:
+                n, t = 1, p
+            else:
+                for cut in range(1, at):
+                    t = p[cut:]
+                    if t in ranks:
+                        before = memo[p[:cut]]
+                        fits = pairs.get((before[1], t))
+                        if fits is None:
+                            fits = self.apart(before[1], t)
+                        if fits:
+                            n = before[0] + 1
+                            break
+            if byte >= 0x80:
+                need = need - 1 if byte < 0xC0 else 1 if byte < 0xE0 else 2 if byte < 0xF0 else 3
+            if not need:
+                steps += STEP[n - base]
+                base = n
+            now = memo[p] = (n, t, steps, base, need)
+        return now
+
+    def steps(self, piece: str) -> bytes:
+        """Steps of a piece's prefix counts, one for each code point."""
+        raw = piece.encode()
+        if len(raw) <= self.LONG:
+            return self.known(raw)[2]
+        counts = self.all_counts(raw)
+        ends = [counts[end - 1] for end in itertools.accumulate(len(ch.encode()) for ch in piece)]
+        return array("h", map(operator.sub, ends, [0, *ends])).tobytes()
 
     def all_counts(self, piece: bytes) -> list[int]:
         """Counts of piece[:1], piece[:2], ..., piece."""
         states = [(0, b"")]
-        for j in range(1, len(piece) + 1):
-            states.append(self._step(piece[max(0, j - self.longest) : j], j, lambda k: states[j - k]))
+        for at in range(1, len(piece) + 1):
+            for cut in range(max(0, at - self.longest), at):
+                t = piece[cut:at]
+                if t in self.ranks and (not cut or self.apart(states[cut][1], t)):
+                    states.append((states[cut][0] + 1, t))
+                    break
         return [n for n, _ in states[1:]]
 
 
@@ -153,8 +181,10 @@ def prefix_dp() -> tuple[PrefixDP, Cutter]:
     dp = PrefixDP()
 
     def steps(pieces: list[str]) -> bytes:
-        counts = [0, *_plain(dp, "".join(pieces))]
-        return array("h", map(operator.sub, counts[1:], counts)).tobytes()
+        if _parted(pieces):
+            return dp.steps(pieces[0]) if len(pieces) == 1 else b"".join(map(dp.steps, pieces))
+        counts = _plain(dp, "".join(pieces))
+        return array("h", map(operator.sub, counts, [0, *counts])).tobytes()
 
     return dp, Cutter(steps)
 
@@ -184,6 +214,22 @@ def prefix_counts(text: str) -> array:
     return array("i", itertools.accumulate(array("h", prefix_steps(text)), initial=0))
 
 
+def _parted(pieces: list[str]) -> bool:
+    """Whether each prefix is cut as the whole is: no run of white space, and no contraction."""
+    run = False
+    for i, p in enumerate(pieces):
+        c = p[0]
+        if c in WHITE:
+            if run or len(p) > 1 and (i or p[-1] in WHITE):
+                return False
+            run = len(p) == 1
+        elif c == "'" and len(p) > 1:
+            return False
+        else:
+            run = False
+    return True
+
+
 def _plain(dp: PrefixDP, text: str) -> list[int]:
     out, base, at = [], 0, 0
     pieces = PATTERN.findall(text)
@@ -198,15 +244,15 @@ def _plain(dp: PrefixDP, text: str) -> list[int]:
         if piece in ("'re", "'ve", "'ll"):
             ends[1] = ends[0] + dp.count(raw[1:2])
         total = ends[-1]
-        lead = len(piece) - len(piece.lstrip()) if piece[0] == " " or piece.isspace() else 0
-        if lead and piece[0].isspace():
+        white = piece[-1] in WHITE  # then all of it is
+        if piece[0] in WHITE:
             if run is None:
                 run = (at, base)
             # a prefix that ends inside a run holds all of the run as one piece
-            for k in range(1, (len(piece) if piece.isspace() else 1) + 1):
+            for k in range(1, (len(piece) if white else 1) + 1):
                 whole = text[run[0] : at + k].encode()
                 ends[k - 1] = run[1] - base + dp.count(whole)
-        if not piece.isspace():
+        if not white:
             run = None
         out.extend(base + x for x in ends)
         base += total
