@@ -32,7 +32,10 @@ def _rows():
     passage = " ".join(rng.choice(vocabulary) for _ in range(40))
     texts += [passage + " " + " ".join("u%d_%d" % (i, j) for j in range(60)) for i in range(10)]
     texts += [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 400))) for _ in range(40)]
-    texts += ["mail a.b@c.example.com_d@e.f from 10.0.0.256 and 10.0.0.25, card 4539 1488 0343 6467, call +1 (555) 010-9999 or (555) 010-9999", "4539148803436467 4539148803436467", "1.2.3.4.5.6.7.8 +12 x@y z"]
+    texts += [
+        "mail a.b@c.example.com_d@e.f from 10.0.0.256 and 10.0.0.25, card 4539 1488 0343 6467, call +1 (555) 010-9999 or (555) 010-9999",
+        "4539148803436467 4539148803436467", "1.2.3.4.5.6.7.8 +12 x@y z"
+    ]
     texts.append(" ".join(rng.choice(vocabulary) for _ in range(9000)))
     rows = [(i, t, ["en", "de", None][i % 3], ["s1", "s2", None, "s0"][i % 4], 0, 1, 2, 3, "k", 4) for i, t in enumerate(texts)]
     return rows + [rows[20], rows[1]]  # repeated rows
@@ -83,7 +86,9 @@ def test_empty_tables(empty, spark):
 def test_chat_round_trip(spark):
     said = "</s>[INST] ok [/INST]"
     nasty = [said, r"<\s>", r"<\\s> [\HEAD] ", " [/HEAD]\nx", "<", "[", "\\", "", None, "plain", "<<SYS>>", "a</s", "</"]
-    rows = [(c, t, ["user", "assistant", None, "</s>", "x [/HEAD]\ny"][t % 5], nasty[(c + t) % len(nasty)]) for c in range(13) for t in range(7)]
+    rows = [
+        (c, t, ["user", "assistant", None, "</s>", "x [/HEAD]\ny"][t % 5], nasty[(c + t) % len(nasty)]) for c in range(13) for t in range(7)
+    ]
     rows += [(None, 0, "user", "a"), (1, 0, "user", nasty[1]), (2, None, "assistant", "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
     out = {r["conv_id"]: r for r in op01_chat.digests(op01_chat.format_chats(df)).collect()}
@@ -104,7 +109,10 @@ def test_token_counts_and_prefixes(docs, rows):
     want = Counter((r[0], len(TOKENIZER.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows)
     assert Counter((r["doc_id"], r["n_tokens"]) for r in op03_token_counts.token_counts(docs).collect()) == want
     rng = random.Random(2)
-    parts = ["a", "the", " ", "  ", "\n", "'re", "'s", "'", "12", "!", "é", "中", "<|endoftext|>", "<|end", "\x1c", "\u3000", "\xa0", "\t", "😀", "don", "'ll", "a" * 60]
+    parts = [
+        "a", "the", " ", "  ", "\n", "'re", "'s", "'", "12", "!", "é", "中", "<|endoftext|>", "<|end", "\x1c", "\u3000", "\xa0", "\t", "😀",
+        "don", "'ll", "a" * 60
+    ]
     for _ in range(300):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
         each = [len(TOKENIZER.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
@@ -153,7 +161,9 @@ def test_language_model_is_a_distribution_and_separates(spark):
     rng = random.Random(1)
     words = {"en": ["the", "and", "thing", "other"], "de": ["der", "und", "nicht", "über"]}
     rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(30)), lang) for i in range(120) for lang in [("en", "de")[i % 2]]]
-    df = spark.createDataFrame(rows + [(900, None, "en"), (901, "12 !?", "de"), (902, "xqzj qzxj kkqz wqxz", None)], "doc_id long, text string, lang string")
+    df = spark.createDataFrame(
+        rows + [(900, None, "en"), (901, "12 !?", "de"), (902, "xqzj qzxj kkqz wqxz", None)], "doc_id long, text string, lang string"
+    )
     model = op04_language_id.train(df)
     context = op04_language_id.grams(op04_language_id.letters("the"))[-2] & np.uint64((1 << 48) - 1)
     symbols = np.arange(1 << 12, dtype=np.uint64)
@@ -182,7 +192,10 @@ def test_few_training_documents_reject_no_clean_one(spark):
 
 
 def test_pii_base_spans(docs, rows):
-    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+    patterns = [
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",
+        r"\+[0-9][\x20().0-9-]+[0-9]"
+    ]
 
     def luhn(d):
         return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
@@ -192,7 +205,9 @@ def test_pii_base_spans(docs, rows):
         for k, p in enumerate(patterns):
             for m in re.finditer(p, text or ""):
                 d = re.sub("[^0-9]", "", m.group())
-                ok = [True, k != 1 or all(int(x) <= 255 for x in m.group().split(".")), 12 <= len(d) <= 19 and luhn(d), 9 <= len(d) <= 15][k]
+                ok = [
+                    True, k != 1 or all(int(x) <= 255 for x in m.group().split(".")), 12 <= len(d) <= 19 and luhn(d), 9 <= len(d) <= 15
+                ][k]
                 if ok:
                     out.append((m.start(), k, m.end()))
         return sorted(out)
@@ -206,7 +221,10 @@ def test_pii_base_spans(docs, rows):
 
 
 def _pii_base(text):
-    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+    patterns = [
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",
+        r"\+[0-9][\x20().0-9-]+[0-9]"
+    ]
     luhn = lambda d: sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
     out = []
     for k, p in enumerate(patterns):
@@ -219,13 +237,18 @@ def _pii_base(text):
 
 def test_pii_base_spans_of_random_strings(spark):
     rng = random.Random(11)
-    parts = ["a", "Z", "@", ".", "-", "+", "+1", " ", "  ", "(", ")", "0", "7", "25", "255", "256", "4539", "1488", "0343", "6467", "é", "😀", "_", "%", "a@b.c", "10.0.0.1"]
+    parts = [
+        "a", "Z", "@", ".", "-", "+", "+1", " ", "  ", "(", ")", "0", "7", "25", "255", "256", "4539", "1488", "0343", "6467", "é", "😀",
+        "_", "%", "a@b.c", "10.0.0.1"
+    ]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 60))) for _ in range(3000)]
     out = op05_pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     for r in out:
         assert [(s["start"], s["k"], s["end"]) for s in r["base"]] == _pii_base(texts[r["doc_id"]]), texts[r["doc_id"]]
         for e in r["extra"]:
-            assert not [b for b in r["base"] if b["start"] < e["end"] and e["start"] < b["end"]] and texts[r["doc_id"]][e["start"] : e["end"]] == e["hit"]
+            assert not [
+                b for b in r["base"] if b["start"] < e["end"] and e["start"] < b["end"]
+            ] and texts[r["doc_id"]][e["start"] : e["end"]] == e["hit"]
 
 
 def test_pii_extras_are_found_and_decoys_left(spark):
@@ -244,10 +267,19 @@ def test_pii_extras_are_found_and_decoys_left(spark):
         lambda: f"{word()} (at) {word()} (dot) com", lambda: f"{word()} [at] {word()}.org", lambda: f"{word()}.{word()} at {word()} dot net", lambda: card(True, "."), lambda: card(True, "/"),
         lambda: f"({rng.randrange(200, 999)}) 555-{digits(4)}", lambda: f"{rng.randrange(200, 999)}-555-{digits(4)}", lambda: f"10[.]0[.]{rng.randrange(255)}[.]3",
     ]
-    bad = [lambda: card(False, "."), lambda: card(False, "/"), lambda: f"order 055-123-{digits(4)}", lambda: f"310[.]400[.]{rng.randrange(255)}[.]3", lambda: f"{word()} at noon dot {word()}"]
-    rows = [(f"{some()} {f()} {some()}", True) for f in good for _ in range(25)] + [(f"{some()} {f()} {some()}", False) for f in bad for _ in range(25)]
+    bad = [
+        lambda: card(False, "."), lambda: card(False, "/"), lambda: f"order 055-123-{digits(4)}",
+        lambda: f"310[.]400[.]{rng.randrange(255)}[.]3", lambda: f"{word()} at noon dot {word()}"
+    ]
+    rows = [
+        (f"{some()} {f()} {some()}", True) for f in good for _ in range(25)
+    ] + [(f"{some()} {f()} {some()}", False) for f in bad for _ in range(25)]
     rows += [(f"mail {word()}@{word()}.com or call +1 (555) 010-{digits(4)} card {card(i % 2 == 0, ' ')}", None) for i in range(50)]
-    out = {r["doc_id"]: r for r in op05_pii.find_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()}
+    out = {
+        r["doc_id"]: r for r in op05_pii.find_pii(
+            spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+        ).collect()
+    }
     hit = Counter((want, bool(out[i]["extra"])) for i, (_, want) in enumerate(rows) if want is not None)
     assert hit[True, True] >= 0.9 * (hit[True, True] + hit[True, False]) and hit[True, True] >= 0.9 * (hit[True, True] + hit[False, True])
 
@@ -255,7 +287,9 @@ def test_pii_extras_are_found_and_decoys_left(spark):
 def test_pii_of_a_long_text(spark):
     rng = random.Random(2)
     text = " ".join(f"{rng.randrange(10**5)}x (555) 010-{j % 10000:04d};" for j in range(30_000))
-    out = op05_pii.find_pii(spark.createDataFrame([(1, text), (2, "1" * 200_000), (3, "1 " * 100_000), (4, "a@b." * 20_000)], "doc_id long, text string")).collect()
+    out = op05_pii.find_pii(
+        spark.createDataFrame([(1, text), (2, "1" * 200_000), (3, "1 " * 100_000), (4, "a@b." * 20_000)], "doc_id long, text string")
+    ).collect()
     got = {r["doc_id"]: r for r in out}
     assert len(got[1]["extra"]) == 30_000 and not got[2]["base"] and not got[3]["base"]
     assert [(s["start"], s["k"], s["end"]) for s in got[4]["base"]] == _pii_base("a@b." * 20_000)
@@ -293,7 +327,9 @@ def test_exact_dedup_of_a_hot_text(spark, monkeypatch):
         for i, t in rows:
             groups[t].append(i)
         text = dict(rows)
-        assert len(out) == 600 and all((r["keep_id"], r["group_size"]) == (max(groups[text[r["doc_id"]]]), len(groups[text[r["doc_id"]]])) for r in out)
+        assert len(out) == 600 and all(
+            (r["keep_id"], r["group_size"]) == (max(groups[text[r["doc_id"]]]), len(groups[text[r["doc_id"]]])) for r in out
+        )
         assert sorted(r["doc_id"] for r in out if r["kept"]) == sorted(max(g) for g in groups.values())
 
 
@@ -350,7 +386,11 @@ def _kd(rows, levels, tolerance):
 
 def test_sharding_cuts_the_widest_dimension_at_the_median(spark):
     rng = random.Random(4)
-    rows = [(i, " ".join("".join(rng.choice("abcé語") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 80)))) for i in range(2000)]
+    rows = [
+        (
+            i, " ".join("".join(rng.choice("abcé語") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 80)))
+        ) for i in range(2000)
+    ]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     meta = op08_sharding._scaled(op08_sharding._metadata(df, "doc_id", "text")).collect()
     first = _kd([([r[d] for d in op08_sharding.DIMS], r["hashes"], r["size"]) for r in meta], 1, op08_sharding.TOLERANCE / 2)
@@ -369,12 +409,16 @@ def test_sharding_cuts_the_widest_dimension_at_the_median(spark):
 
 def test_sharding_keeps_equal_texts_together_and_cuts_a_hot_group(spark):
     rng = random.Random(6)
-    rows = [(i, f"copy {i % 150} " * 4) for i in range(600)] + [(1000 + i, "".join(rng.choice("abc ") for _ in range(200))) for i in range(3000)]
+    rows = [(i, f"copy {i % 150} " * 4) for i in range(600)] + [
+        (1000 + i, "".join(rng.choice("abc ") for _ in range(200))) for i in range(3000)
+    ]
     hot = [(9000 + i, "hot " * 40) for i in range(2000)]
     odd = [(None, "null id"), (None, "null id"), (5, rows[5][1]), (7777, None), (7778, "")]
     df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows + hot + odd], "doc_id long, text string, size long, node string, hashes int")
     out = op08_sharding.shard(df).collect()
-    assert len(out) == len(rows + hot + odd) and out[0].asDict().keys() == {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    assert len(out) == len(rows + hot + odd) and out[0].asDict().keys() == {
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    }
     text, home, total = dict(rows + hot), defaultdict(set), Counter()
     for r in out:
         total[r["shard"]] += r["size"]
@@ -386,7 +430,11 @@ def test_sharding_keeps_equal_texts_together_and_cuts_a_hot_group(spark):
 
 def test_sharding(spark):
     rng = random.Random(8)
-    rows = [(i, None if i == 3 else "copy " * 50 if i % 3 == 0 else "".join(rng.choice("abc é") for _ in range(rng.randrange(0, 400)))) for i in range(3000)]
+    rows = [
+        (
+            i, None if i == 3 else "copy " * 50 if i % 3 == 0 else "".join(rng.choice("abc é") for _ in range(rng.randrange(0, 400)))
+        ) for i in range(3000)
+    ]
     out = op08_sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     text = dict(rows)
     total, slots = Counter(), defaultdict(list)
@@ -409,7 +457,9 @@ def test_jaccard_components(docs, rows):
     links = [(a, b) for a in ids for b in ids if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
     want = roots(ids, links)
     out = op09_jaccard_join.jaccard_components(docs).collect()
-    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == Counter((r[0], len(sets[r[0]]), want[r[0]]) for r in rows)
+    assert Counter(
+        (r["doc_id"], r["n_shingles"], r["component_id"]) for r in out
+    ) == Counter((r[0], len(sets[r[0]]), want[r[0]]) for r in rows)
 
 
 def _sets(text):
@@ -445,7 +495,9 @@ def test_jaccard_with_heavy_tokens_and_busy_leaders(spark, monkeypatch):
     sets = {i: _sets(t) for i, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
     want = roots(sorted(sets), links)
-    df = spark.createDataFrame([(*r, 1, "b", 2, 3) for r in rows], "doc_id long, text string, n long, sig string, run long, cid int").repartition(3)
+    df = spark.createDataFrame(
+        [(*r, 1, "b", 2, 3) for r in rows], "doc_id long, text string, n long, sig string, run long, cid int"
+    ).repartition(3)
     out = op09_jaccard_join.jaccard_components(df).collect()
     assert {r["doc_id"]: r["component_id"] for r in out} == want
 
@@ -457,8 +509,12 @@ def test_embedding_blocks_of_a_hot_bucket(spark, monkeypatch):
     rng = np.random.default_rng(8)
     center = rng.normal(size=24)
     rows = [(i, [float(np.float32(x)) for x in center + rng.normal(size=24) * 0.11], "a") for i in range(300)]
-    rows += [(1000 + i, [float(np.float32(x)) for x in rng.normal(size=24)], "a") for i in range(100)] + [(5, rows[5][1], "a"), (None, rows[6][1], "a")]
-    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "vec_id long, embedding array<float>, label string, band long, key string, n long")
+    rows += [
+        (1000 + i, [float(np.float32(x)) for x in rng.normal(size=24)], "a") for i in range(100)
+    ] + [(5, rows[5][1], "a"), (None, rows[6][1], "a")]
+    df = spark.createDataFrame(
+        [(*r, 1, "x", 2) for r in rows], "vec_id long, embedding array<float>, label string, band long, key string, n long"
+    )
     out = Counter((r["vec_id"], r["n_links"]) for r in op10_embedding_dedup.embedding_dedup(df.repartition(3)).collect())
     x = np.array([r[1] for r in rows])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -474,10 +530,20 @@ def test_embedding_dedup(spark):
         v = base[i % 30] + rng.normal(size=16) * (0.08 if i % 2 else 0.3)
         rows.append((i, [float(np.float32(x)) for x in v], i % 3))
     rows += [(500 + i, rows[7][1], rows[7][2]) for i in range(50)]
-    rows += [(600, None, 0), (601, [0.0] * 16, 0), (602, [1.0, None] * 8, 0), (603, [float("nan")] * 16, 0), (604, rows[7][1], None), (605, [1.0, 2.0], 0), (606, [], 0), (607, [2.0, 4.0], 0)]
-    out = {r["vec_id"]: r for r in op10_embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(5)).collect()}
+    rows += [
+        (600, None, 0), (601, [0.0] * 16, 0), (602, [1.0, None] * 8, 0), (603, [float("nan")] * 16, 0), (604, rows[7][1], None),
+        (605, [1.0, 2.0], 0), (606, [], 0), (607, [2.0, 4.0], 0)
+    ]
+    out = {
+        r["vec_id"]: r for r in op10_embedding_dedup.embedding_dedup(
+            spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(5)
+        ).collect()
+    }
     ok = [(i, np.array(v, float), k) for i, v, k in rows if k is not None and v and None not in v and np.isfinite(v).all() and any(v)]
-    links = [(a, b) for a, x, k in ok for b, y, m in ok if a != b and k == m and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98]
+    links = [
+        (a, b) for a, x, k in ok for b, y,
+        m in ok if a != b and k == m and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98
+    ]
     n, want = Counter(a for a, _ in links), roots([r[0] for r in rows], links)
     assert len(out) == len(rows)
     found = sum(r["n_links"] for r in out.values())
@@ -499,7 +565,9 @@ def test_jaccard_shingles_equal_word_tuples():
         words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
         return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
-    texts = [row[1] for row in _rows()] + ["a\x0bB\x1fc  d", "é É x y z w", "x" * 300_000 + " y z", ("w " * 5 + "q") * 60_000, "A" * 33 + " b c d e", "a" * 33 + " b c d e"]
+    texts = [row[1] for row in _rows()] + [
+        "a\x0bB\x1fc  d", "é É x y z w", "x" * 300_000 + " y z", ("w " * 5 + "q") * 60_000, "A" * 33 + " b c d e", "a" * 33 + " b c d e"
+    ]
     for text in texts:
         assert len(op09_jaccard_join.shingles(text)) == len(brute(text))
     for a in texts:
@@ -520,7 +588,9 @@ def test_jaccard_parities_never_exclude_a_link():
     rng = np.random.default_rng(3)
     for _ in range(1500):
         a = np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, 900)), dtype=np.uint64))
-        b = np.unique(np.concatenate([a[: int(rng.integers(1, len(a) + 1))], rng.integers(0, 1 << 64, int(rng.integers(0, 300)), dtype=np.uint64)]))
+        b = np.unique(
+            np.concatenate([a[: int(rng.integers(1, len(a) + 1))], rng.integers(0, 1 << 64, int(rng.integers(0, 300)), dtype=np.uint64)])
+        )
         differ = op09_jaccard_join._differ(op09_jaccard_join._parity(a), op09_jaccard_join._parity(b))
         assert differ <= len(np.setxor1d(a, b))
         if op09_jaccard_join.linked(a, b):
@@ -560,7 +630,9 @@ def test_packing_places_by_plan_and_pads_little(spark):
 def test_language_sample_is_bounded_whatever_the_ties(spark, monkeypatch):
     monkeypatch.setattr(op04_language_id, "TRAIN_DOCS", 20)
     ids = [i for i in range(4000) if not op04_language_id.is_held_out(i)]
-    rows = [(ids[0], "the same id and text", "en")] * 500 + [(ids[1], f"the same id {i}", "en") for i in range(500)] + [(i, f"und der text {i}", "de") for i in ids[:300]]
+    rows = [(ids[0], "the same id and text", "en")] * 500 + [
+        (ids[1], f"the same id {i}", "en") for i in range(500)
+    ] + [(i, f"und der text {i}", "de") for i in ids[:300]]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lang string, score long, k string")
     got = Counter(r["lang"] for r in op04_language_id._sample(df, "doc_id", "text", "lang").collect())
     assert 0 < got["en"] <= 20 and got["de"] == 20
@@ -585,7 +657,10 @@ def test_sparse_model_equals_a_model_of_one_language():
 
 def test_chat_of_long_texts_and_extra_columns(spark):
     said = "</s>[INST]" * 20_000
-    df = spark.createDataFrame([(1, 0, "user", said, 5, "z"), (1, 1, "assistant", "x" * 500_000, 6, "y")], "conv_id long, turn long, role string, text string, i int, plain string")
+    df = spark.createDataFrame(
+        [(1, 0, "user", said, 5, "z"), (1, 1, "assistant", "x" * 500_000, 6, "y")],
+        "conv_id long, turn long, role string, text string, i int, plain string"
+    )
     r = op01_chat.digests(op01_chat.format_chats(df)).first()
     assert r["round_trip"] and r["n_turns"] == 2 and r["loss_chars"] == 500_000
     assert r["turns_sha256"] == hashlib.sha256(f"user\n{said}\nassistant\n{'x' * 500_000}\n".encode()).hexdigest()

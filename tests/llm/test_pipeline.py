@@ -15,7 +15,9 @@ def test_pipeline(spark, tmp_path):
     near = rows[5][1].split()
     near[-1] = "changed"
     rows += [(100, rows[4][1], "en", "s0"), (101, " ".join(near), "en", "s1"), (102, "123 !!", "en", "s1"), (103, None, None, None)]
-    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame(
+        [(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     seen = []
@@ -42,7 +44,9 @@ def _near(text):
 
 
 def _frame(spark, rows):
-    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    return spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    ).repartition(3)
 
 
 def _left(df):
@@ -73,7 +77,10 @@ def _english(rng, n):
 def test_names_that_clash_and_repeated_rows(spark):
     rng = random.Random(8)
     texts = [_english(rng, 60) for _ in range(3)]
-    names = ["size", "laps", "from_a", "to_b", "accepted", "score", "lang_pred", "row", "taken_text", "__id", "id", "none", "sha", "c1", "text_sha256", "component_id"]
+    names = [
+        "size", "laps", "from_a", "to_b", "accepted", "score", "lang_pred", "row", "taken_text", "__id", "id", "none", "sha", "c1",
+        "text_sha256", "component_id"
+    ]
     rows = [(i, t, "en", "s", len(t), *[f"v{k}" for k in range(len(names))]) for i, t in enumerate(texts)] * 2
     schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
     docs = spark.createDataFrame(rows, schema).repartition(2)
@@ -106,10 +113,14 @@ def test_cut_texts_are_runs_of_the_original(spark):
 
 def test_stages_of_an_empty_table_and_of_odd_rows(spark):
     rng = random.Random(3)
-    odd = [(None, None), (None, ""), (1, " \t"), (2, "123 !"), (3, _english(rng, 30_000)), (3, _english(rng, 20)), (None, _english(rng, 30))]
+    odd = [
+        (None, None), (None, ""), (1, " \t"), (2, "123 !"), (3, _english(rng, 30_000)), (3, _english(rng, 20)), (None, _english(rng, 30))
+    ]
     clean = [(10 + i, _english(rng, 50)) for i in range(30)]
     for rows in ([], odd + clean):
-        docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        docs = spark.createDataFrame(
+            [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+        )
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.materialize(stage(spark, docs, ""), "test")
         assert docs.count() >= len(rows and clean)
@@ -127,9 +138,14 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
 
     rng = random.Random(21)
     texts = [_english(rng, rng.randrange(40, 120)) for _ in range(50)]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i]) for i in range(10)] + [(200 + i, _near(texts[i].strip())) for i in range(10, 20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i]) for i in range(10)] + [
+        (200 + i, _near(texts[i].strip())) for i in range(10, 20)
+    ]
     rows += [(300, "123"), (301, "qxzj kqqz wxqj zzxq " * 10), (None, texts[30]), (None, _english(rng, 60))]
-    docs = spark.createDataFrame([(i, t, "en" if i is None or i < 300 else None, f"s{(i or 0) % 3}", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    docs = spark.createDataFrame(
+        [(i, t, "en" if i is None or i < 300 else None, f"s{(i or 0) % 3}", len(t)) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long"
+    ).repartition(3)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     docs, out = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
     for _, stage in corpus_pipeline.STAGES:
@@ -138,10 +154,14 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         out.append((before.collect(), docs.collect()))
 
     was, now = out[0]
-    model = op04_language_id.train(docs if not was else spark.createDataFrame(was, "doc_id long, text string, lang string, source string, n_chars long"))
+    model = op04_language_id.train(
+        docs if not was else spark.createDataFrame(was, "doc_id long, text string, lang string, source string, n_chars long")
+    )
     ce, n = model.cross_entropy([r["text"] for r in was])
     best = ce.argmin(axis=1)
-    assert Counter((r["doc_id"], r["text"]) for r in now) == Counter((r["doc_id"], r["text"]) for r, k, b, c in zip(was, n, best, ce) if k and c[b] <= model.limit[b])
+    assert Counter((r["doc_id"], r["text"]) for r in now) == Counter(
+        (r["doc_id"], r["text"]) for r, k, b, c in zip(was, n, best, ce) if k and c[b] <= model.limit[b]
+    )
 
     was, now = out[1]
     keep = {}

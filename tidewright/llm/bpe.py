@@ -13,9 +13,13 @@ import regex
 import tiktoken
 
 #: Fixed values of the tokenizer file: its pre-tokenizer pattern and the one special string it matches inside texts.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+PATTERN = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+)
 #: The characters of the Unicode property White_Space, by which that pattern goes.
-WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+WHITE = frozenset(
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 #: A space beside white space, or at an end: where cutting at every space could part a run. SINGLE: where it can't.

@@ -41,10 +41,15 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                     for col, x in zip(rows, (uid, doc, at, len(part) // 4, zlib.crc32(part), total)):
                         col.append(x)
                     uid += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, b.schema.field(0).type if i == 1 else pa.int64()) for i, c in enumerate(rows)], names=["uid", "k", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, b.schema.field(0).type if i == 1 else pa.int64()) for i, c in enumerate(rows)],
+                names=["uid", "k", "start", "length", "ids_crc32", "doc_tokens"]
+            )
 
     src = df.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
-    return src.mapInArrow(work, f"uid long, k {src.schema['k'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long").withColumnRenamed("k", id_col)
+    return src.mapInArrow(
+        work, f"uid long, k {src.schema['k'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long"
+    ).withColumnRenamed("k", id_col)
 
 
 def combinations(total: int, depth: int) -> list[tuple[int, ...]]:
@@ -137,7 +142,9 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[int]:
     return out
 
 
-def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, unit: int = UNIT, depth: int = DEPTH) -> DataFrame:
+def pack(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, unit: int = UNIT, depth: int = DEPTH
+) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text is one piece holding only EOS. Repeated rows are
@@ -158,8 +165,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
     buckets = min(65536, max(1, -(-sum(histogram.values()) // 512)))
     rest = rest.withColumn("bucket", F.pmod(F.xxhash64("uid"), F.lit(buckets)))
     before = rest.groupBy("bin", "bucket").agg(F.count("*").alias("n"))
-    before = before.withColumn("before", F.sum("n").over(Window.partitionBy("bin").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
-    ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("bin", "bucket").orderBy("uid")) - 1).join(before, ["bin", "bucket"])
+    before = before.withColumn(
+        "before", F.sum("n").over(Window.partitionBy("bin").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    ).drop("n")
+    ranked = rest.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("bin", "bucket").orderBy("uid")) - 1
+    ).join(before, ["bin", "bucket"])
     ranked = ranked.withColumn("rank", (F.col("rank") + F.coalesce("before", F.lit(0))).cast("long")).drop("before", "bucket")
 
     ends: dict[int, list[int]] = {}
@@ -191,7 +202,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields)
     placed = materialize(ranked.mapInArrow(place, f"{kind}, seq long, slot int"), "placed")
     inside = Window.partitionBy("seq").orderBy("slot")
-    by_plan = placed.where("seq >= 0").withColumn("offset", F.coalesce(F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    by_plan = placed.where("seq >= 0").withColumn(
+        "offset", F.coalesce(F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
     by_plan = by_plan.withColumn("sequence_id", F.col("seq") * 4 + 1).select(cols)
 
     left = placed.where("seq < 0").select("uid", id_col, "start", "length", "ids_crc32", "doc_tokens")
@@ -205,7 +218,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
         return f[cols]
 
     kind = left.schema[id_col].dataType.simpleString()
-    by_fit = left.groupBy("g").applyInPandas(greedy, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    by_fit = left.groupBy("g").applyInPandas(
+        greedy, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    )
     return whole.unionByName(by_plan).unionByName(by_fit)
 
 

@@ -86,7 +86,10 @@ def answers(store: DataFrame, limit: int = LIMIT, id_col: str = "doc_id") -> Dat
             blobs = b.column(2).to_pylist()
             n = [total(x) for x in blobs]
             within = [longest_within(x, limit) if k > limit else len(_stored_steps(x)) for x, k in zip(blobs, n)]
-            cols = [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_()), pa.array(within, pa.int64())]
+            cols = [
+                b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_()),
+                pa.array(within, pa.int64())
+            ]
             yield pa.RecordBatch.from_arrays(cols, names=["k", "n_bytes", "n_tokens", "over_limit", "chars_within"])
 
     src = store.select(F.col(id_col).alias("k"), "n_bytes", "prefix_counts")

@@ -203,7 +203,10 @@ def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
     carry more than TRAIN_DOCS.
     """
     rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col, text_col, F.lit(SEED)).alias("h"))
+    rows = rows.select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+        F.xxhash64(id_col, text_col, F.lit(SEED)).alias("h")
+    )
     per = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
     if not per:
         return rows.select("lang", F.lit(0).alias("i"), F.lit(0).alias("many"), "text").limit(0)
@@ -248,7 +251,9 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         np.add.at(c, at, np.concatenate([np.frombuffer(x, "<i8") for x in f["c"]]))
         return pd.DataFrame([(f["lang"][0], *pack(k, c))], columns=["lang", "k", "c"])
 
-    counts = picked.mapInArrow(count, "lang string, k binary, c binary").groupBy("lang").applyInPandas(merge, "lang string, k binary, c binary")
+    counts = picked.mapInArrow(
+        count, "lang string, k binary, c binary"
+    ).groupBy("lang").applyInPandas(merge, "lang string, k binary, c binary")
     got = counts.collect()
     if not got:
         return Model({"und": (np.zeros(0, np.uint64), np.zeros(0))})
@@ -268,7 +273,9 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         got = [Model({lang: gram_counts(others)}).cross_entropy([t]) for t, others in rest if others]
         return pd.DataFrame({"lang": lang, "ce": [float(ce[0, 0]) for ce, n in got if n[0]]})
 
-    many = picked.where((F.col("many") >= FEW) & (F.col("i") % 5 == 0)).select("lang", "text").mapInArrow(held_back, "lang string, ce double")
+    many = picked.where(
+        (F.col("many") >= FEW) & (F.col("i") % 5 == 0)
+    ).select("lang", "text").mapInArrow(held_back, "lang string, ce double")
     few = picked.where(F.col("many") < FEW).groupBy("lang").applyInPandas(left_out, "lang string, ce double")
     levels: dict[str, list[float]] = {}
     for r in many.union(few).collect():
@@ -300,10 +307,14 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             lang = [model.langs[i] if k else "und" for i, k in zip(best, n)]
             more = [pa.array(lang, pa.string()), pa.array(np.where(n > 0, score, 0.0)), pa.array(np.where(n > 0, low, 0.0)), pa.array(ok)]
             own = len(b.columns) if keep else 1
-            yield pa.RecordBatch.from_arrays([*b.columns[:own], *more], names=[*b.schema.names[:own], "lang_pred", "score", "cross_entropy", "accepted"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:own], *more], names=[*b.schema.names[:own], "lang_pred", "score", "cross_entropy", "accepted"]
+            )
 
     src = df if keep else df.select(F.col(id_col).alias("k"), F.col(text_col))
-    out = StructType(src.schema.fields[: None if keep else 1]).add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("accepted", "boolean")
+    out = StructType(
+        src.schema.fields[: None if keep else 1]
+    ).add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("accepted", "boolean")
     found = src.mapInArrow(work, out)
     return found if keep else found.withColumnRenamed("k", id_col)
 

@@ -51,7 +51,8 @@ WIDE_NEEDS = {
 }
 #: Fixed values of the gazetteers: endings of addresses, first digits of card issuers, private networks, dial codes.
 ENDINGS = (
-    "com org net edu gov mil int info biz name pro app dev io ai co me tv cc eu uk de fr es it nl be at ch lu ie pt dk se no fi is pl cz sk hu ro bg gr "
+    "com org net edu gov mil int info biz name pro app dev io ai co me tv cc eu uk de fr es it nl be at ch lu ie pt dk se no fi is pl "
+    "cz sk hu ro bg gr "
     "tr ru ua us ca mx br ar cl au nz jp cn kr in sg hk za il ae example test"
 ).split()
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6(011|5))"
@@ -200,7 +201,9 @@ def votes(s: Column) -> list[Column]:
     abroad = hit.startswith("+") | hit.startswith("00")
     known = F.lit(False)
     for size in (1, 2, 3):
-        known = known | F.substring(digits, F.when(hit.startswith("00"), 3).otherwise(1), F.lit(size)).isin(*[d for d in DIAL if len(d) == size])
+        known = known | F.substring(
+            digits, F.when(hit.startswith("00"), 3).otherwise(1), F.lit(size)
+        ).isin(*[d for d in DIAL if len(d) == size])
     parts = lambda p: hit.rlike(p)
     even = r"^[0-9]{4}([^0-9]+)[0-9]{4}\1[0-9]{4}\1[0-9]{4}$|^[0-9]{12,19}$|^[0-9]{4}(?:[ -]?[0-9]+)+$"
     shape = _pick(k, {
@@ -288,18 +291,25 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def accepted(s: Column) -> Column:
         v, z = votes(s), F.lit(0.0)
-        terms = [F.lit(1.0), *[(x == 1).cast("double") for x in v], *[(x == -1).cast("double") for x in v], *[x.cast("double") for x in features(s)]]
+        terms = [
+            F.lit(1.0), *[(x == 1).cast("double") for x in v], *[(x == -1).cast("double") for x in v],
+            *[x.cast("double") for x in features(s)]
+        ]
         for i, term in enumerate(terms):
             z = z + term * _pick(s["k"], {name: F.lit(weights[j][i]) for j, name in enumerate(KINDS)}, F.lit(0.0))
         return (z > 0) & (v[3] >= 0)
 
-    slim = lambda a: F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), s["hit"].alias("hit")))
+    slim = lambda a: F.transform(
+        a, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), s["hit"].alias("hit"))
+    )
     return found.select(F.col("k").alias(id_col), slim(F.col("base")).alias("base"), slim(F.filter("wide", accepted)).alias("extra"))
 
 
 def render(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -92,7 +92,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     # compaction by digest: sizes and identifiers only, combined before the shuffle
     hits = index.groupBy("digest").agg(F.count("*").alias("entries"), *merged).where("entries > 1")
     hits = materialize(hits, "hits")
-    opened = maybe_in(index.select(*key, "rep_id", "n", "text"), "digest", hits.select("digest")).join(hits.select("digest", "entries"), "digest")
+    opened = maybe_in(
+        index.select(*key, "rep_id", "n", "text"), "digest", hits.select("digest")
+    ).join(hits.select("digest", "entries"), "digest")
     several = _digests_of_several_texts(opened)
 
     # of those digests, which none has unless SHA-256 fails, the texts are the groups
@@ -110,7 +112,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     )
     first = F.when(F.col("keep_id").isNull(), F.lit(0)).otherwise(F.array_position("members", F.col("keep_id")) - 1)
     out = out.withColumn("first", first).select("*", F.posexplode("members").alias("at", "__id"))
-    return out.select(F.col("__id").alias(id_col), "keep_id", "group_size", (F.col("here") & (F.col("at") == F.col("first"))).alias("kept"), F.lower("digest").alias("text_sha256"))
+    return out.select(
+        F.col("__id").alias(id_col), "keep_id", "group_size", (F.col("here") & (F.col("at") == F.col("first"))).alias("kept"),
+        F.lower("digest").alias("text_sha256")
+    )
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -69,7 +69,10 @@ def targets(sizes: list[int], weights=WEIGHTS, share=SHARE, most=MOST) -> list[f
     return out
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share=SHARE, most=MOST, block=BLOCK, seed=SEED, order_by: tuple[str, ...] = ()) -> DataFrame:
+def mix(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share=SHARE, most=MOST,
+    block=BLOCK, seed=SEED, order_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Per row: id, source, size, source_size, target, taken, and what is taken of it:
     laps (whole copies) and words [from_a, to_a) and [from_b, to_b) once more.
 
@@ -84,10 +87,14 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     def work(batches):
         for b in slices(batches):
             n = [len(x.encode().split()) if x else 0 for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), b.column(3)], names=["k", "source", "size", "h"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), b.column(3)], names=["k", "source", "size", "h"]
+            )
 
     h = F.xxhash64(*(order_by or (id_col,)), F.lit(seed))
-    src = df.select(F.col(id_col).alias("k"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("t"), h.alias("h"))
+    src = df.select(
+        F.col(id_col).alias("k"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("t"), h.alias("h")
+    )
     sized = materialize(src.mapInArrow(work, f"k {src.schema['k'].dataType.simpleString()}, source string, size long, h long"), "sizes")
     sized = sized.withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     per = {r["src"]: r["n"] for r in sized.groupBy("src").agg(F.sum("size").alias("n")).collect()}
@@ -95,7 +102,10 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     goals = targets([per[s] for s in names], weights, share, most)
     blocks = sainte_lague(goals, round(sum(goals) / block))
     spark = df.sparkSession
-    table = spark.createDataFrame([(s, per[s], float(t), q, shard_count(per[s])) for s, t, q in zip(names, goals, blocks)], "src string, source_size long, target double, blocks long, shards long")
+    table = spark.createDataFrame(
+        [(s, per[s], float(t), q, shard_count(per[s])) for s, t, q in zip(names, goals, blocks)],
+        "src string, source_size long, target double, blocks long, shards long"
+    )
     dealt = sized.join(F.broadcast(table), "src").withColumn("shard", F.pmod("h", "shards"))
 
     def quotas(f: pd.DataFrame) -> pd.DataFrame:
@@ -104,16 +114,26 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         f["take"] = np.minimum(n * block, most * f["shard_size"])
         return f[["src", "shard", "shard_size", "take"]]
 
-    quota = dealt.groupBy("src", "shard", "blocks").agg(F.sum("size").alias("shard_size")).groupBy("src").applyInPandas(quotas, "src string, shard long, shard_size long, take long")
+    quota = dealt.groupBy("src", "shard", "blocks").agg(F.sum("size").alias("shard_size")).groupBy("src").applyInPandas(
+        quotas, "src string, shard long, shard_size long, take long"
+    )
     order = Window.partitionBy("src", "shard").orderBy("h", "k", "size").rowsBetween(Window.unboundedPreceding, 0)
     out = dealt.withColumn("at", F.sum("size").over(order) - F.col("size")).join(quota, ["src", "shard"])
     some = F.greatest(F.col("shard_size"), F.lit(1))
-    out = out.withColumns({"laps": F.floor(F.col("take") / some), "extra": F.col("take") % some, "begin": F.pmod(F.xxhash64("src", "shard", F.lit(seed)), F.ceil(some / block)) * block})
+    out = out.withColumns({
+        "laps": F.floor(F.col("take") / some), "extra": F.col("take") % some,
+        "begin": F.pmod(F.xxhash64("src", "shard", F.lit(seed)), F.ceil(some / block)) * block
+    })
     end, size = F.col("begin") + F.col("extra"), F.col("size")
     clip = lambda x: F.greatest(F.lit(0), F.least(size, x - F.col("at"))).cast("long")
-    out = out.withColumns({"from_a": clip(F.col("begin")), "to_a": clip(end), "from_b": F.lit(0).cast("long"), "to_b": clip(end - F.col("shard_size"))})
+    out = out.withColumns({
+        "from_a": clip(F.col("begin")), "to_a": clip(end), "from_b": F.lit(0).cast("long"), "to_b": clip(end - F.col("shard_size"))
+    })
     taken = F.col("laps") * size + F.col("to_a") - F.col("from_a") + F.col("to_b")
-    return out.select(F.col("k").alias(id_col), "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "laps", "from_a", "to_a", "from_b", "to_b")
+    return out.select(
+        F.col("k").alias(id_col), "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "laps", "from_a", "to_a",
+        "from_b", "to_b"
+    )
 
 
 def query(spark, sf_dir: str) -> DataFrame:

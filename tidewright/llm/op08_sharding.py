@@ -58,7 +58,9 @@ def _beyond(dim: str, cut: str) -> Column:
     return (F.col(dim) > at) | ((F.col(dim) == at) & (F.col("hashes") >= cut[DIM:]))
 
 
-def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels: int = LEVELS, target_bytes: int | None = None) -> DataFrame:
+def shard(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels: int = LEVELS, target_bytes: int | None = None
+) -> DataFrame:
     """Per row: id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
     2 ** levels shards of nearly equal bytes; with target_bytes as many levels
@@ -82,7 +84,9 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels:
         for n, d in widest.items():
             value = F.when(F.col("node") == n, F.col(d)).otherwise(value)
         key = F.concat(F.lpad(F.lower(F.hex(value.cast("long"))), DIM, "0"), "hashes")
-        cuts = _medians(rows.select("node", "size", key.alias("key")), {n: r["weight"] for n, r in info.items()}, TOLERANCE * total / leaves)
+        cuts = _medians(
+            rows.select("node", "size", key.alias("key")), {n: r["weight"] for n, r in info.items()}, TOLERANCE * total / leaves
+        )
         right = F.lit(0)
         for n, cut in cuts.items():
             right = F.when(F.col("node") == n, _beyond(widest[n], cut).cast("int")).otherwise(right)
@@ -97,7 +101,10 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels:
     inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("hashes", "k", "size"))
     out = rows.withColumn("inside", inside).join(before, ["shard", "bucket"])
     slot = (F.col("before") + F.col("inside") - 1).cast("long")
-    return out.select(F.col("k").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(
+        F.col("k").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard")
+    )
 
 
 def _medians(at: DataFrame, weight: dict[int, int], tolerance: float) -> dict[int, str]:

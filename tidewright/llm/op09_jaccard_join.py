@@ -202,14 +202,20 @@ def _classes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _stars(classes: DataFrame, count: int) -> DataFrame:
     """(a, b): each class and the leader of its salted band, and those leaders and the band's; sizes allow a link."""
     salts = max(64, -(-count // BAND_ROWS))
-    rows = classes.where("n > 0").select("cid", "n", F.posexplode("sigs").alias("band", "sig")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)))
+    rows = classes.where("n > 0").select(
+        "cid", "n", F.posexplode("sigs").alias("band", "sig")
+    ).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)))
     least = F.min(F.struct("cid", "n"))
     lead = rows.groupBy("band", "sig", "salt").agg(least.alias("lead"), F.count("*").alias("size"))
     top = lead.groupBy("band", "sig").agg(F.min("lead").alias("top"), F.count("*").alias("size"))
-    inner = rows.join(lead.where("size > 1").drop("size"), ["band", "sig", "salt"]).select(F.struct("cid", "n").alias("a"), F.col("lead").alias("b"))
+    inner = rows.join(
+        lead.where("size > 1").drop("size"), ["band", "sig", "salt"]
+    ).select(F.struct("cid", "n").alias("a"), F.col("lead").alias("b"))
     outer = lead.drop("size").join(top.where("size > 1"), ["band", "sig"]).select(F.col("lead").alias("a"), F.col("top").alias("b"))
     fits = NUM * F.greatest("a.n", "b.n") <= DEN * F.least("a.n", "b.n")
-    return inner.union(outer).where((F.col("a.cid") != F.col("b.cid")) & fits).select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
+    return inner.union(outer).where((F.col("a.cid") != F.col("b.cid")) & fits).select(
+        F.col("a.cid").alias("a"), F.col("b.cid").alias("b")
+    ).distinct()
 
 
 def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -229,10 +235,14 @@ def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def check(batches):
         for batch in slices(batches, 4096):
             n, x, m, y = (batch.column(c).to_pylist() for c in ("n", "x", "m", "y"))
-            yield batch.select(["a", "b", "salt", "run", "lead_run"]).filter(pa.array([(NUM + DEN) * _differ(x[i], y[i]) <= n[i] + m[i] for i in range(len(n))], pa.bool_()))
+            yield batch.select(["a", "b", "salt", "run", "lead_run"]).filter(
+                pa.array([(NUM + DEN) * _differ(x[i], y[i]) <= n[i] + m[i] for i in range(len(n))], pa.bool_())
+            )
 
     runs = [F.col("x.run").alias("run"), F.col("y.run").alias("lead_run")]
-    both = both.select("a", "b", "salt", *runs, F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y"))
+    both = both.select(
+        "a", "b", "salt", *runs, F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y")
+    )
     return materialize(both.mapInArrow(check, "a long, b long, salt long, run long, lead_run long"), "close")
 
 
@@ -243,7 +253,9 @@ def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFra
     text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes)
     lead = pairs.select(F.col("b").alias("cid"), F.col("lead_run").alias("run"), "salt").distinct().join(text, ["cid", "run"])
     lead = lead.select(F.col("cid").alias("b"), "salt", F.lit(None).cast("long").alias("a"), "text")
-    rest = pairs.select(F.col("a").alias("cid"), "run", "b", "salt").join(text, ["cid", "run"]).select("b", "salt", F.col("cid").alias("a"), "text")
+    rest = pairs.select(F.col("a").alias("cid"), "run", "b", "salt").join(text, ["cid", "run"]).select(
+        "b", "salt", F.col("cid").alias("a"), "text"
+    )
     both = lead.union(rest).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
 
     def check(batches):
@@ -315,7 +327,9 @@ def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
                 if len(o):
                     u = np.unique(i[o])
                     width = "<u2" if len(u) < 65536 else "<u4"
-                    out.append((shard, t[o].tobytes(), np.searchsorted(u, i[o]).astype(width).tobytes(), ids[u].tobytes(), int(len(u) < 65536)))
+                    out.append((
+                        shard, t[o].tobytes(), np.searchsorted(u, i[o]).astype(width).tobytes(), ids[u].tobytes(), int(len(u) < 65536)
+                    ))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["shard", "tokens", "at", "cids", "narrow"])
 
     def meet(table: pa.Table) -> pa.Table:
@@ -351,11 +365,15 @@ def _leaders(posts: DataFrame) -> DataFrame:
     other classes too: in a group of edited copies, the text they were made
     of. One leader a token keeps this linear; it only forms larger groups.
     """
-    lead = posts.groupBy("token").agg(F.max(F.struct("score", "cid", "n", "grp")).alias("b"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+    lead = posts.groupBy("token").agg(
+        F.max(F.struct("score", "cid", "n", "grp")).alias("b"), F.min("grp").alias("low"), F.max("grp").alias("high")
+    )
     lead = lead.where("low != high").select("token", "b")
     fits = NUM * F.greatest("n", "b.n") <= DEN * F.least("n", "b.n")
     met = posts.join(lead, "token").where((F.col("grp") != F.col("b.grp")) & fits)
-    met = met.groupBy(F.col("cid").alias("a"), F.col("b.cid").alias("b")).agg(F.count("*").alias("c"), F.first(F.col("n") + F.col("b.n")).alias("least"), F.first(F.greatest("n", "b.n")).alias("most"))
+    met = met.groupBy(F.col("cid").alias("a"), F.col("b.cid").alias("b")).agg(
+        F.count("*").alias("c"), F.first(F.col("n") + F.col("b.n")).alias("least"), F.first(F.greatest("n", "b.n")).alias("most")
+    )
     return met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))).select("a", "b")
 
 
@@ -370,7 +388,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     components is verified: links within a group are not enumerated.
     """
     entries, classes = _classes(materialize(_entries(df, id_col, text_col, digest), "sets"))
-    heavy = entries.where("cid is null").select(F.explode(F.arrays_zip("sigs", "ids")).alias("x")).groupBy("x.sigs").agg(F.sum("x.ids").alias("c"))
+    heavy = entries.where("cid is null").select(
+        F.explode(F.arrays_zip("sigs", "ids")).alias("x")
+    ).groupBy("x.sigs").agg(F.sum("x.ids").alias("c"))
     heavy = [r[0] for r in heavy.orderBy(F.desc("c"), "sigs").limit(HEAVY_MOST).collect()]
     count, total = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
@@ -389,9 +409,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     span = sized.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("members"))
     matrix = materialize(matrix.join(shared, "token", "left_semi").join(span, "grp"), "matrix")
     x, y = matrix.alias("x"), matrix.alias("y")
-    near = (F.col("x.grp") < F.col("y.grp")) & (NUM * F.col("x.low") <= DEN * F.col("y.high")) & (NUM * F.col("y.low") <= DEN * F.col("x.high"))
+    near = (F.col("x.grp") < F.col("y.grp")) & (
+        NUM * F.col("x.low") <= DEN * F.col("y.high")
+    ) & (NUM * F.col("y.low") <= DEN * F.col("x.high"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & near).groupBy(F.col("x.grp").alias("g"), F.col("y.grp").alias("h"))
-    met = met.agg(F.count("*").alias("c"), F.first(F.col("x.low") + F.col("y.low")).alias("least"), F.first(F.greatest("x.high", "y.high")).alias("most"), F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"), F.first(F.col("x.members") + F.col("y.members")).alias("members"))
+    met = met.agg(
+        F.count("*").alias("c"), F.first(F.col("x.low") + F.col("y.low")).alias("least"),
+        F.first(F.greatest("x.high", "y.high")).alias("most"),
+        F.min(F.struct(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).alias("p"),
+        F.first(F.col("x.members") + F.col("y.members")).alias("members")
+    )
     open_ = materialize(met.where(_may_link(F.col("c"), F.col("least"), F.col("most"))), "open")
     first = open_.select("p.a", "p.b")
     links = materialize(links.union(_verify(first, entries, classes)), "links")
@@ -399,13 +426,20 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # groups that the first pair did not join, unless it was their only pair: every pair of theirs that shares a token
     comp = merged.withColumnRenamed("node", "g")
-    left = open_.join(comp.select("g", F.col("component").alias("cg")), "g", "left").join(comp.select(F.col("g").alias("h"), F.col("component").alias("ch")), "h", "left")
+    left = open_.join(comp.select("g", F.col("component").alias("cg")), "g", "left").join(
+        comp.select(F.col("g").alias("h"), F.col("component").alias("ch")), "h", "left"
+    )
     left = left.where((F.coalesce("cg", "g") != F.coalesce("ch", "h")) & (F.col("members") > 2)).select("g", "h")
     inside = posts.join(left.select(F.col("g").alias("grp")).union(left.select(F.col("h").alias("grp"))).distinct(), "grp", "left_semi")
     p, q = inside.alias("p"), inside.alias("q")
     fits = (F.col("p.grp") < F.col("q.grp")) & (NUM * F.col("p.n") <= DEN * F.col("q.n")) & (NUM * F.col("q.n") <= DEN * F.col("p.n"))
-    rest = p.join(q, (F.col("p.token") == F.col("q.token")) & fits).select(F.col("p.grp").alias("g"), F.col("q.grp").alias("h"), F.col("p.cid").alias("a"), F.col("q.cid").alias("b"), (F.col("p.n") + F.col("q.n")).alias("least"), F.greatest("p.n", "q.n").alias("most"))
-    rest = rest.groupBy("g", "h", "a", "b").agg(F.count("*").alias("c"), F.first("least").alias("least"), F.first("most").alias("most")).where(_may_link(F.col("c"), F.col("least"), F.col("most")))
+    rest = p.join(q, (F.col("p.token") == F.col("q.token")) & fits).select(
+        F.col("p.grp").alias("g"), F.col("q.grp").alias("h"), F.col("p.cid").alias("a"), F.col("q.cid").alias("b"),
+        (F.col("p.n") + F.col("q.n")).alias("least"), F.greatest("p.n", "q.n").alias("most")
+    )
+    rest = rest.groupBy("g", "h", "a", "b").agg(
+        F.count("*").alias("c"), F.first("least").alias("least"), F.first("most").alias("most")
+    ).where(_may_link(F.col("c"), F.col("least"), F.col("most")))
     rest = rest.join(left, ["g", "h"], "left_semi").select("a", "b").join(first, ["a", "b"], "left_anti")
     links = links.union(_verify(materialize(rest, "rest"), entries, classes))
 
@@ -413,7 +447,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     info = classes.select("cid", "n", "rep").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = info.groupBy("component").agg(F.min("rep").alias("least"))
     info = info.join(least, "component").select("cid", "least")
-    out = entries.where("cid is not null").select("cid", "n", "ids").join(info, "cid").select(F.explode("ids").alias(id_col), F.col("n").alias("n_shingles"), "least")
+    out = entries.where("cid is not null").select("cid", "n", "ids").join(info, "cid").select(
+        F.explode("ids").alias(id_col), F.col("n").alias("n_shingles"), "least"
+    )
     return out.select(id_col, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col(id_col)).alias("component_id"))
 
 

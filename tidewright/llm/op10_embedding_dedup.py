@@ -80,7 +80,9 @@ def _entries(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFr
         def flush():
             cols = [[run] * len(table), range(len(table)), *zip(*table), list(table.values())]
             kinds = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["run", "slot", "label", "vec", "ids"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["run", "slot", "label", "vec", "ids"]
+            )
 
         for b in slices(batches):
             for k, v, label in zip(*(c.to_pylist() for c in b.columns)):
@@ -135,7 +137,9 @@ def _blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
     joined = rows.join(big, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     joined = joined.withColumn("t", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
     other = F.sequence(F.lit(0), F.col("tiles") - 1)
-    pair = F.transform(other, lambda o: F.struct(F.least("t", o).alias("i"), F.greatest("t", o).alias("j"), (F.col("t") > o).cast("int").alias("side")))
+    pair = F.transform(
+        other, lambda o: F.struct(F.least("t", o).alias("i"), F.greatest("t", o).alias("j"), (F.col("t") > o).cast("int").alias("side"))
+    )
     dealt = joined.withColumn("to", F.explode(pair)).select(*rows.columns, "to.i", "to.j", "to.side")
     return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
 
@@ -302,13 +306,17 @@ def _links(classes: DataFrame, codes: DataFrame, hopeful: DataFrame, bits: int,
                     root = _forest(len(n), u, v, root)
             some = np.flatnonzero((far > 0) | (root != np.arange(len(n))))
             if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(cid[root[some]]), pa.array(far[some])], names=["a", "b", "far"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cid[some]), pa.array(cid[root[some]]), pa.array(far[some])], names=["a", "b", "far"]
+                )
 
     found = materialize(placed.mapInArrow(work, "a long, b long, far long"), "links")
     return found.groupBy(F.col("a").alias("cid")).agg(F.sum("far").alias("far")), found.where("a != b").select("a", "b").distinct()
 
 
-def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, miss: float = MISS) -> DataFrame:
+def embedding_dedup(
+    df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, miss: float = MISS
+) -> DataFrame:
     """Per row: id, n_links, component_id, kept.
 
     Vectors of different length never link, nor do those that are null, empty
@@ -322,7 +330,10 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     entries = materialize(_entries(df, id_col, vec_col, label_col), "vectors")
     keyed = entries.where("label is not null").withColumns({"h": F.xxhash64("label", "vec"), "g": F.xxhash64("vec", "label", F.lit(SEED))})
     least = F.min(F.struct("run", "slot")).alias("at")
-    classes = keyed.groupBy("h", "g").agg(least, F.first("label").alias("label"), F.first("vec").alias("vec"), F.min(F.array_min("ids")).alias("rep"), F.sum(F.size("ids")).alias("n"))
+    classes = keyed.groupBy("h", "g").agg(
+        least, F.first("label").alias("label"), F.first("vec").alias("vec"), F.min(F.array_min("ids")).alias("rep"),
+        F.sum(F.size("ids")).alias("n")
+    )
     # a class is named by its first entry, which no other class has
     classes = materialize(classes.withColumn("cid", F.col("at.run") * MEMTABLE_ROWS + F.col("at.slot")).drop("at"), "classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
@@ -331,9 +342,13 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     hopeful = materialize(_hopeful(codes, bits, count, cosine), "hope")
     far, edges = _links(classes, codes, hopeful, bits, count, cosine)
     comp = components(edges).withColumnRenamed("node", "cid")
-    info = classes.select("cid", "h", "g", "rep", "n").join(far, "cid", "left").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    info = classes.select("cid", "h", "g", "rep", "n").join(far, "cid", "left").join(comp, "cid", "left").withColumn(
+        "component", F.coalesce("component", "cid")
+    )
     least = info.groupBy("component").agg(F.min("rep").alias("component_id"))
-    info = info.join(least, "component").select("h", "g", "component_id", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
+    info = info.join(least, "component").select(
+        "h", "g", "component_id", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links")
+    )
     linked = keyed.select("h", "g", "ids").join(info, ["h", "g"]).select(F.explode("ids").alias(id_col), "n_links", "component_id")
     alone = entries.where("label is null").select(F.explode("ids").alias(id_col))
     alone = alone.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
