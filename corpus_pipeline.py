@@ -54,9 +54,13 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     p = Plain(docs)
     # null never equals null in a join, but the pair (0, true) equals itself
-    one = {"id": F.coalesce(p["doc_id"], F.lit(0)), "none": F.col(p["doc_id"]).isNull(), "sha": F.sha2(F.coalesce(p["text"], F.lit("")), 256)}
+    one = {
+        "id": F.coalesce(p["doc_id"], F.lit(0)), "none": F.col(p["doc_id"]).isNull(), "sha": F.sha2(F.coalesce(p["text"], F.lit("")), 256)
+    }
     kept = op06_exact_dedup.exact_dedup(p.df, p["doc_id"], p["text"]).where("kept")
-    kept = kept.select(F.coalesce(p["doc_id"], F.lit(0)).alias("id"), F.col(p["doc_id"]).isNull().alias("none"), F.col("text_sha256").alias("sha"))
+    kept = kept.select(
+        F.coalesce(p["doc_id"], F.lit(0)).alias("id"), F.col(p["doc_id"]).isNull().alias("none"), F.col("text_sha256").alias("sha")
+    )
     rows = p.df.withColumns(one).join(kept, [*one], "left_semi")
     return p.back(rows.dropDuplicates([*one]))
 
@@ -71,7 +75,9 @@ def distinct_near_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     p = Plain(docs)
     rows = p.numbered()
     linked = op09_jaccard_join.jaccard_components(rows, "row", p["text"]).select("row", "component_id")
-    order = F.struct(F.col(p["doc_id"]).isNull().alias("none"), p["doc_id"], F.sha2(F.coalesce(p["text"], F.lit("")), 256).alias("sha"), "row")
+    order = F.struct(
+        F.col(p["doc_id"]).isNull().alias("none"), p["doc_id"], F.sha2(F.coalesce(p["text"], F.lit("")), 256).alias("sha"), "row"
+    )
     best = linked.join(rows.select("row", order.alias("own")), "row").groupBy("component_id").agg(F.min("own").alias("own"))
     return p.back(rows.join(best.select("own.row"), "row", "left_semi"))
 
@@ -95,7 +101,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     runs = F.filter(F.array(cut(F.col("from_b"), F.col("to_b")), cut(F.col("from_a"), F.col("to_a"))), lambda x: x != "")
     some = F.array_join(F.transform(runs, lambda x: F.regexp_replace(x, ends, "")), " ")
     none = F.array().cast("array<string>")
-    copies = F.concat(F.array_repeat(p["text"], whole.cast("int")), F.when((part > 0) & (part < F.col("size")), F.array(some)).otherwise(none))
+    copies = F.concat(
+        F.array_repeat(p["text"], whole.cast("int")), F.when((part > 0) & (part < F.col("size")), F.array(some)).otherwise(none)
+    )
     out = rows.join(plan, "row").withColumn("taken_text", F.explode(copies))
     new = {p["text"]: F.col("taken_text")}
     if "n_chars" in p.names:
