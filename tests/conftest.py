@@ -13,7 +13,9 @@ def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     s = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(root / "checkpoint")).config("spark.sql.warehouse.dir", str(root / "warehouse")).config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.checkpoint.dir", str(root / "checkpoint")).config(
+            "spark.sql.warehouse.dir", str(root / "warehouse")
+        ).config("spark.driver.memory", "4g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -21,6 +21,13 @@ def rows(df):
     return sorted((r["id"] is None, r["id"] or 0, r["amount"], r["mark"] or "") for r in df.collect())
 
 
+def test_framework_identifiers_are_plain(spark):
+    df = spark.range(1)
+    assert stage.stamp(df, "dev-2024:1+a.b", "b-1", datetime(2024, 1, 1)).first()["_run_id"] == "dev-2024:1+a.b"
+    with pytest.raises(ValueError):
+        stage.stamp(df, "x'; --", "b", datetime(2024, 1, 1))
+
+
 def test_durations_and_windows():
     assert parse_duration("P1DT6H") == timedelta(days=1, hours=6)
     assert format_duration(timedelta(hours=30)) == "P1DT6H"
@@ -29,7 +36,9 @@ def test_durations_and_windows():
     assert w.window(None, "timestamp").first and w.window(None, "timestamp").lower is None
     assert w.window(None, "date", None, "2024-01-02").lower == "2024-01-02"
     assert w.window("2024-01-02 03:00:00.000000", "timestamp", timedelta(hours=6)).lower == "2024-01-01 21:00:00.000000"
-    assert w.window("2024-01-02", "date", timedelta(hours=6)).lower == "2024-01-01" and w.window("2024-01-02", "date", timedelta(days=2)).lower == "2023-12-31"
+    assert w.window(
+        "2024-01-02", "date", timedelta(hours=6)
+    ).lower == "2024-01-01" and w.window("2024-01-02", "date", timedelta(days=2)).lower == "2023-12-31"
     assert w.window("12", "number", timedelta(hours=6)).lower == "12" and w.text_of("1E+3", "number") == "1000"
     assert w.ahead("1.4", "1.2", "number") and not w.ahead("9", "10", "number") and not w.ahead(None, "1", "number") and w.ahead("9", None, "number")
     for bad in ("NaN", "Infinity", "x"):
@@ -45,7 +54,9 @@ def test_guarded_merge(spark):
     target = spark.createDataFrame([(1, 30, "11"), (2, 1, None), (3, 5, "09"), (None, 9, "01")], SCHEMA)
     batch = spark.createDataFrame([(1, 10, "09"), (2, 2, "05"), (3, 6, None), (4, 7, "02"), (None, 8, "02")], SCHEMA)
     got = m.merge(target, batch, ["id"], "mark")
-    assert rows(got) == [(False, 1, 30, "11"), (False, 2, 2, "05"), (False, 3, 5, "09"), (False, 4, 7, "02"), (True, 0, 8, "02"), (True, 0, 9, "01")]
+    assert rows(got) == [
+        (False, 1, 30, "11"), (False, 2, 2, "05"), (False, 3, 5, "09"), (False, 4, 7, "02"), (True, 0, 8, "02"), (True, 0, 9, "01")
+    ]
     assert tuple(m.metrics(target, batch, ["id"], "mark").first()) == (2, 1, 2)
     whole = batch.na.drop(subset=["id"])
     once = m.merge(target, whole, ["id"], "mark")
@@ -78,7 +89,9 @@ def test_store_merges_evolves_and_refuses_a_lost_race(spark, tmp_path):
 def test_jdbc_on_derby(spark):
     url = "jdbc:derby:memory:tw;create=true"
     driver = "org.apache.derby.jdbc.EmbeddedDriver"
-    spark.range(100).selectExpr("cast(id as int) AS ID", "cast(id * 2 as int) AS V").write.format("jdbc").options(url=url, driver=driver, dbtable="T").mode("overwrite").save()
+    spark.range(100).selectExpr(
+        "cast(id as int) AS ID", "cast(id * 2 as int) AS V"
+    ).write.format("jdbc").options(url=url, driver=driver, dbtable="T").mode("overwrite").save()
     one = JdbcSource(spark, url, "T", driver)
     assert one.read(("ID",), ("V >= 100",)).count() == 50
     many = JdbcSource(spark, url, "T", driver, partition_column="ID", partitions=4)
@@ -94,11 +107,17 @@ def test_jdbc_literals_and_a_run_on_derby(spark, tmp_path):
     with pytest.raises(ValueError):
         sql_literal("1 OR 1=1", "number", False)
     url, driver = "jdbc:derby:memory:run;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
-    put = lambda ids, day: spark.createDataFrame([(i, datetime(2024, 1, day)) for i in ids], "ID int, SEEN timestamp").write.format("jdbc").options(url=url, driver=driver, dbtable="APP.T", createTableColumnTypes="SEEN TIMESTAMP").mode("append").save()
+    put = lambda ids, day: spark.createDataFrame([(i, datetime(2024, 1, day)) for i in ids], "ID int, SEEN timestamp").write.format("jdbc").options(
+        url=url, driver=driver, dbtable="APP.T", createTableColumnTypes="SEEN TIMESTAMP"
+    ).mode("append").save()
     put([1, 2], 1)
     config = {
-        "env": "d", "table": {"domain": "d", "name": "t", "source_schema": "APP", "source_object": "T"}, "source": {"type": "jdbc", "jdbc": {"url": url, "driver": driver}, "secret_scope": "s", "secret_keys": {"username": "u", "password": "p"}},
-        "extraction": {"mode": "incremental", "columns": ["ID", "SEEN"], "incremental": {"watermark_column": "SEEN", "use_upper_bound": True}}, "target": {"write_mode": "append", "table_name": "t", "root": str(tmp_path), "column_case": "lower"},
+        "env": "d", "table": {"domain": "d", "name": "t", "source_schema": "APP", "source_object": "T"}, "source": {
+            "type": "jdbc", "jdbc": {"url": url, "driver": driver}, "secret_scope": "s", "secret_keys": {"username": "u", "password": "p"}
+        },
+        "extraction": {
+            "mode": "incremental", "columns": ["ID", "SEEN"], "incremental": {"watermark_column": "SEEN", "use_upper_bound": True}
+        }, "target": {"write_mode": "append", "table_name": "t", "root": str(tmp_path), "column_case": "lower"},
     }
     asked = []
     control = Control(spark, str(tmp_path / "c"), "d")
@@ -113,7 +132,10 @@ def test_jdbc_literals_and_a_run_on_derby(spark, tmp_path):
     got = VersionedStore(spark, str(tmp_path / "t")).read()
     assert sorted(r["id"] for r in got.collect()) == [1, 2, 3]
     assert Runner._jdbc(runner, config["source"], config["table"]).redacted("x")["password"] == "***"
-    one = JdbcSource(spark, url, "APP.T", driver, session_init="VALUES 1", fetch_size=7, extra={"fetchsize": "9"}, custom_schema="ID string", bounds=("1", "3"), partition_column="ID", partitions=2)
+    one = JdbcSource(
+        spark, url, "APP.T", driver, session_init="VALUES 1", fetch_size=7, extra={"fetchsize": "9"}, custom_schema="ID string",
+        bounds=("1", "3"), partition_column="ID", partitions=2
+    )
     o = one.options(one.sql())
     assert o["fetchsize"] == "9" and o["sessionInitStatement"] == "VALUES 1" and o["lowerBound"] == "1" and o["numPartitions"] == "2"
 
@@ -133,7 +155,9 @@ def test_merges_touch_only_their_buckets_and_grow(spark, tmp_path, monkeypatch):
     s = VersionedStore(spark, str(tmp_path / "t"))
     first = s.write(spark.range(1000).selectExpr("id", "id AS v"), "merge", ["id"])
     entry = s.write(spark.range(1).selectExpr("id", "-1L AS v"), "merge", ["id"])
-    assert entry["metrics"] == {"rows_total": entry["metrics"]["rows_total"], "insert": 0, "update": 1, "reject": 0} and entry["metrics"]["rows_total"] < 300
+    assert entry["metrics"] == {
+        "rows_total": entry["metrics"]["rows_total"], "insert": 0, "update": 1, "reject": 0
+    } and entry["metrics"]["rows_total"] < 300
     assert len(entry["parts"]) == 2 and entry["parts"][0]["path"] == first["written"] and len(entry["parts"][0]["buckets"]) == 7
     monkeypatch.setattr(store_module, "BUCKET_ROWS", 50)
     for i in range(3):
@@ -146,7 +170,9 @@ def test_two_writers_lose_nothing(spark, tmp_path):
     one = lambda i: VersionedStore(spark, root).write(spark.createDataFrame([(i, i)], "id int, v int"), "merge", ["id"])
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(one, range(6)))
-    assert sorted(r["id"] for r in VersionedStore(spark, root).read().collect()) == list(range(6)) and VersionedStore(spark, root).version() == 5
+    assert sorted(
+        r["id"] for r in VersionedStore(spark, root).read().collect()
+    ) == list(range(6)) and VersionedStore(spark, root).version() == 5
 
 
 def test_create_history_and_changes(spark, tmp_path):
@@ -165,7 +191,10 @@ def test_create_history_and_changes(spark, tmp_path):
         (1, "a", "insert", 1), (2, "b", "insert", 1), (2, "b", "update_preimage", 2), (2, "c", "update_postimage", 2), (3, "d", "insert", 2), (4, "e", "insert", 3), (9, "z", "insert", 4),
         *((i, v, "delete", 4) for i, v in ((1, "a"), (2, "c"), (3, "d"), (4, "e"))),
     }
-    assert [h["mode"] for h in s.history()] == ["overwrite", "append", "merge", "merge", "create"] and s.entry()["table"]["properties"] == {"a": "1"}
+    assert s.entry()["bytes"] > 0 and s.entry()["added"] == []
+    assert [h["mode"] for h in s.history()] == [
+        "overwrite", "append", "merge", "merge", "create"
+    ] and s.entry()["table"]["properties"] == {"a": "1"}
 
 
 def test_missing_columns_are_refused(spark, tmp_path):
@@ -174,3 +203,13 @@ def test_missing_columns_are_refused(spark, tmp_path):
         s.write(spark.createDataFrame([(1,)], "id int"), "merge", ["id"], "mark")
     with pytest.raises(ValueError, match="key"):
         s.write(spark.createDataFrame([(1,)], "id int"), "merge", ["key"])
+
+
+def test_vacuum_keeps_what_late_versions_name(spark, tmp_path):
+    s = VersionedStore(spark, str(tmp_path / "t"))
+    for i in range(5):
+        s.write(spark.range(50).selectExpr("id", f"{i} AS v"), "merge", ["id"])
+    before = {tuple(r) for r in s.read().collect()}
+    assert len(s.vacuum(2)) == 3 and s.vacuum(2) == [] and {tuple(r) for r in s.read().collect()} == before and s.read(3).count() == 50
+    s.write(spark.range(1).selectExpr("id", "9 AS v", "'x' AS note"), "merge", ["id"])
+    assert s.entry()["added"] == ["note"] and s.read().where("note IS NOT NULL").count() == 1

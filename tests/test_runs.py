@@ -21,10 +21,23 @@ yaml = pytest.importorskip("yaml")
 @pytest.fixture
 def tree(tmp_path):
     files = {
-        "defaults.yaml": {"source": {"type": "parquet"}, "extraction": {"mode": "full", "columns": "*"}, "target": {"write_mode": "merge", "merge_guard": "watermark"}, "runtime": {"retries": 1, "retry_backoff_seconds": 0}},
-        "environments/dev.yaml": {"env": "dev", "target": {"root": f"{tmp_path}/lake"}, "control": {"root": f"{tmp_path}/control"}, "overrides": {"fin.acc": {"table": {"owner": "${env}-${table_fqn}"}}}},
-        "tables/fin/acc.yaml": {"table": {"source_object": "ACC", "business_key": ["id"]}, "source": {"path": f"{tmp_path}/in/acc"}, "extraction": {"mode": "incremental", "incremental": {"watermark_column": "mark", "overlap": "PT1H"}}, "quality": {"expectations": [{"column": "amount", "rule": "min", "value": 0}]}},
-        "tables/fin/sub.yaml": {"table": {"business_key": ["id"], "depends_on": ["fin.acc"]}, "source": {"path": f"{tmp_path}/in/acc"}, "target": {"write_mode": "append"}},
+        "defaults.yaml": {
+            "source": {"type": "parquet"}, "extraction": {"mode": "full", "columns": "*"},
+            "target": {"write_mode": "merge", "merge_guard": "watermark"}, "runtime": {"retries": 1, "retry_backoff_seconds": 0}
+        },
+        "environments/dev.yaml": {
+            "env": "dev", "target": {"root": f"{tmp_path}/lake"}, "control": {"root": f"{tmp_path}/control"},
+            "overrides": {"fin.acc": {"table": {"owner": "${env}-${table_fqn}"}}}
+        },
+        "tables/fin/acc.yaml": {
+            "table": {"source_object": "ACC", "business_key": ["id"]}, "source": {"path": f"{tmp_path}/in/acc"},
+            "extraction": {"mode": "incremental", "incremental": {"watermark_column": "mark", "overlap": "PT1H"}},
+            "quality": {"expectations": [{"column": "amount", "rule": "min", "value": 0}]}
+        },
+        "tables/fin/sub.yaml": {
+            "table": {"business_key": ["id"], "depends_on": ["fin.acc"]}, "source": {"path": f"{tmp_path}/in/acc"},
+            "target": {"write_mode": "append"}
+        },
     }
     for name, body in files.items():
         p = tmp_path / "config" / name
@@ -47,7 +60,9 @@ def test_layers(tree):
     assert not [i for i in validate.validate(r.config, root) if i.severity == "error"]
     p = tree / "x.yaml"
     p.write_text("a: !append [3]\nb: !merge_by:k [{k: 1, v: 9}, {k: 3}]")
-    assert config.merge({"a": [1], "b": [{"k": 1, "v": 1, "w": 2}, {"k": 2}]}, config.load(p)) == {"a": [1, 3], "b": [{"k": 1, "v": 9, "w": 2}, {"k": 2}, {"k": 3}]}
+    assert config.merge(
+        {"a": [1], "b": [{"k": 1, "v": 1, "w": 2}, {"k": 2}]}, config.load(p)
+    ) == {"a": [1, 3], "b": [{"k": 1, "v": 9, "w": 2}, {"k": 2}, {"k": 3}]}
     p.write_text("a: 1\na: 2")
     with pytest.raises(config.ConfigError, match="twice"):
         config.load(p)
@@ -62,10 +77,18 @@ def test_layers(tree):
 @pytest.mark.parametrize(
     "patch, path",
     [
-        ({"nope": 1}, "nope"), ({"target": {"write_mode": "upsert"}}, "target.write_mode"), ({"target": {"merge_keys": []}}, "target.merge_keys"), ({"extraction": {"filter": "1=1; --"}}, "extraction.filter"),
-        ({"extraction": {"incremental": {"overlap": "P1M"}}}, "extraction.incremental.overlap"), ({"extraction": {"columns": ["amount", "mark"]}}, "target.merge_keys"), ({"extraction": {"mode": "query"}}, "extraction.query_file"),
-        ({"extraction": {"incremental": {"strategy": "scn"}}}, "extraction.incremental.watermark_column"), ({"quality": {"expectations": [{"column": "id", "rule": "regex"}]}}, "quality.expectations[0]"), ({"source": {"read": {"lower_bound": 1}}}, "source.read"),
-        ({"extraction": {"incremental": {"lower_bound_default": "soon"}}}, "extraction.incremental.lower_bound_default"), ({"source": {"type": "jdbc", "jdbc": {"url": "jdbc:x://u:p@h"}}, "table": {"source_schema": "S"}}, "source.jdbc.url"),
+        ({"nope": 1}, "nope"), ({"target": {"write_mode": "upsert"}}, "target.write_mode"), ({"target": {"merge_keys": []}}, "target.merge_keys"), (
+            {"extraction": {"filter": "1=1; --"}}, "extraction.filter"
+        ),
+        (
+            {"extraction": {"incremental": {"overlap": "P1M"}}}, "extraction.incremental.overlap"
+        ), ({"extraction": {"columns": ["amount", "mark"]}}, "target.merge_keys"), ({"extraction": {"mode": "query"}}, "extraction.query_file"),
+        (
+            {"extraction": {"incremental": {"strategy": "scn"}}}, "extraction.incremental.watermark_column"
+        ), ({"quality": {"expectations": [{"column": "id", "rule": "regex"}]}}, "quality.expectations[0]"), ({"source": {"read": {"lower_bound": 1}}}, "source.read"),
+        ({"extraction": {"incremental": {"lower_bound_default": "soon"}}}, "extraction.incremental.lower_bound_default"), (
+            {"source": {"type": "jdbc", "jdbc": {"url": "jdbc:x://u:p@h"}}, "table": {"source_schema": "S"}}, "source.jdbc.url"
+        ),
     ],
 )
 def test_validation(tree, patch, path):
@@ -77,7 +100,9 @@ def test_levels_and_statuses():
     assert levels({"c": ["b"], "b": ["a", "elsewhere"], "a": []}) == [["a"], ["b"], ["c"]]
     with pytest.raises(ValueError):
         levels({"a": ["b"], "b": ["a"]})
-    assert [roll_up(x) for x in ([], ["SKIPPED"], ["FAILED"], ["FAILED", "SUCCEEDED"], ["RUNNING", "FAILED"])] == ["SUCCEEDED", "SUCCEEDED", "FAILED", "PARTIAL", "RUNNING"]
+    assert [
+        roll_up(x) for x in ([], ["SKIPPED"], ["FAILED"], ["FAILED", "SUCCEEDED"], ["RUNNING", "FAILED"])
+    ] == ["SUCCEEDED", "SUCCEEDED", "FAILED", "PARTIAL", "RUNNING"]
 
 
 def test_runs_advance_gate_and_skip(spark, tree):
@@ -85,7 +110,11 @@ def test_runs_advance_gate_and_skip(spark, tree):
     control = Control(spark, f"{tree}/control", "dev")
     told = []
     both = [config.resolve(root, t, "dev") for t in config.tables(root)]
-    both = [config.Resolved(r.table_fqn, r.env, config.merge(r.config, {"alerting": {"on_reconciliation_mismatch": ["mail:x"]}}), r.sources) for r in both]
+    both = [
+        config.Resolved(
+            r.table_fqn, r.env, config.merge(r.config, {"alerting": {"on_reconciliation_mismatch": ["mail:x"]}}), r.sources
+        ) for r in both
+    ]
     runner = Runner(spark, control, root, senders={"mail": lambda target, alert: told.append((target, alert))})
     put(spark, tree, [(1, 10, "2024-01-01 09:00"), (1, 20, "2024-01-01 10:00"), (2, 5, "2024-01-01 08:00")])
     _, status, done = runner.run(both)
@@ -148,13 +177,19 @@ def _table(tree, name="fin.acc", **patch):
 
 def test_guard_follows_the_casing_policy(spark, tree):
     put(spark, tree, [(1, 30, "2024-01-03 00:00")])
-    t = _table(tree, target={"column_case": "lower", "merge_keys": ["ID"]}, extraction={"mode": "full", "incremental": {"watermark_column": "MARK", "overlap": None}}, quality={"expectations": []})
+    t = _table(
+        tree, target={"column_case": "lower", "merge_keys": ["ID"]},
+        extraction={"mode": "full", "incremental": {"watermark_column": "MARK", "overlap": None}}, quality={"expectations": []}
+    )
     runner = Runner(spark, Control(spark, f"{tree}/control", "dev"))
     assert runner.run([t])[1] == "SUCCEEDED"
     put(spark, tree, [(1, 10, "2024-01-02 00:00")], "overwrite")
     assert runner.run([t])[1] == "SUCCEEDED"
     assert [(r["id"], r["amount"]) for r in VersionedStore(spark, f"{tree}/lake/acc").read().collect()] == [(1, 30)]
-    lost = _table(tree, target={"merge_keys": ["id"]}, extraction={"mode": "full", "exclude_columns": ["mark"]}, runtime={"retries": 0}, quality={"expectations": []})
+    lost = _table(
+        tree, target={"merge_keys": ["id"]}, extraction={"mode": "full", "exclude_columns": ["mark"]}, runtime={"retries": 0},
+        quality={"expectations": []}
+    )
     _, status, done = runner.run([lost])
     assert status == "FAILED" and "guard" in done["fin.acc"].error
 
@@ -167,7 +202,9 @@ def test_appends_hold_rows_once(spark, tree):
     for _ in range(3):
         assert runner.run([t])[1] == "SUCCEEDED"
     assert VersionedStore(spark, f"{tree}/lake/acc").read().count() == 2
-    assert "extraction.incremental.overlap" in {i.path for i in validate.validate(_table(tree, target={"write_mode": "append"}).config) if i.severity == "error"}
+    assert "extraction.incremental.overlap" in {
+        i.path for i in validate.validate(_table(tree, target={"write_mode": "append"}).config) if i.severity == "error"
+    }
     # up to a given end the end's own rows are left for the next run
     put(spark, tree, [(3, 3, "2024-01-03 00:00"), (4, 4, "2024-01-04 00:00")])
     assert runner.run([t], until="2024-01-04")[1] == "SUCCEEDED" and control.mark("fin.acc")["pinned"]
@@ -203,12 +240,17 @@ def test_schema_drift_staleness_and_timeouts(spark, tree):
     told = []
     control = Control(spark, f"{tree}/control", "dev")
     runner = Runner(spark, control, senders={"mail": lambda target, alert: told.append(alert.event)})
-    t = _table(tree, quality={"fail_on_schema_drift": True}, runtime={"retries": 0, "timeout_minutes": 30}, alerting={"freshness_sla_hours": 1, "on_freshness_breach": ["mail:y", "nobody"], "on_reconciliation_mismatch": ["mail:y"]})
+    t = _table(
+        tree, quality={"fail_on_schema_drift": True}, runtime={"retries": 0, "timeout_minutes": 30},
+        alerting={"freshness_sla_hours": 1, "on_freshness_breach": ["mail:y", "nobody"], "on_reconciliation_mismatch": ["mail:y"]}
+    )
     assert runner.run([t])[1] == "SUCCEEDED" and not told
     entry = VersionedStore(spark, f"{tree}/lake/acc").history()[-1]
     assert entry["mode"] == "create" and entry["table"]["properties"]["ingestion.managed_by"] == "tidewright" and entry["table"]["cluster_by"] == ["id"]
     assert runner.stale([t], "r", datetime(2100, 1, 1)) == ["fin.acc"] and told == ["freshness_breach"]
-    spark.createDataFrame([(2, 2, datetime(2024, 1, 2), "x")], "id int, amount int, mark timestamp_ntz, note string").write.mode("overwrite").parquet(f"{tree}/in/acc")
+    spark.createDataFrame(
+        [(2, 2, datetime(2024, 1, 2), "x")], "id int, amount int, mark timestamp_ntz, note string"
+    ).write.mode("overwrite").parquet(f"{tree}/in/acc")
     _, status, done = runner.run([t])
     assert status == "FAILED" and "schema_drift" in done["fin.acc"].error and told[-1] == "reconciliation_mismatch"
     def forever():
@@ -232,7 +274,10 @@ def test_alerts_and_logs():
 
 
 def test_jobs(tree):
-    a = _table(tree, schedule={"group": "g", "cron": "0 0 * * * ?", "job_retries": 1}, alerting={"on_failure": ["email:a@b.c", "slack:#x"]}, runtime={"timeout_minutes": 5})
+    a = _table(
+        tree, schedule={"group": "g", "cron": "0 0 * * * ?", "job_retries": 1}, alerting={"on_failure": ["email:a@b.c", "slack:#x"]},
+        runtime={"timeout_minutes": 5}
+    )
     b = _table(tree, "fin.sub", schedule={"group": "g"})
     other = config.Resolved("x.z", "dev", config.merge(b.config, {"schedule": {"group": "h"}}), ())
     made = jobs.jobs([b, a, other])
@@ -249,7 +294,12 @@ def test_jobs(tree):
 
 def test_templates_do_not_meet(spark):
     df = spark.range(3)
-    got = [template(spark, "WITH big AS (SELECT * FROM source WHERE id >= :least) SELECT id FROM big;", {"least": i}, {"source": df.where(f"id <> {i}")}) for i in range(2)]
+    got = [
+        template(
+            spark, "WITH big AS (SELECT * FROM source WHERE id >= :least) SELECT id FROM big;", {"least": i},
+            {"source": df.where(f"id <> {i}")}
+        ) for i in range(2)
+    ]
     assert [sorted(r["id"] for r in x.collect()) for x in got] == [[1, 2], [2]]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("tw_")]
 

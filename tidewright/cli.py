@@ -62,6 +62,33 @@ def _resolved(root: str, env: str, names: list[str] | None) -> tuple[list[config
     return out, bad
 
 
+def plan(r: config.Resolved) -> dict:
+    """What a run would do: read, make the target, load. Nothing is asked of the source."""
+    c = r.config
+    ext, target, inc = c.get("extraction") or {}, c["target"], (c.get("extraction") or {}).get("incremental") or {}
+    mark = validate.mark_name(c)
+    tests = [
+        f"{mark} {'>' if inc.get('bound_inclusive') is False else '>='} :lower", f"{mark} < :upper"
+    ] if ext.get("mode") == "incremental" else []
+    read = {
+        "mode": ext.get("mode", "full"), "columns": ext.get("columns", "*"), "where": tests + [ext["filter"]] * bool(ext.get("filter")),
+        "query_file": ext.get("query_file"), "limit": ext.get("row_limit")
+    }
+    make = {
+        k: target.get(k) for k in ("table_name", "partition_by", "cluster_by", "table_properties", "enable_change_data_feed")
+    } | {"comment": c["table"].get("description")}
+    guard = mark if target.get("write_mode") == "merge" and target.get("merge_guard") == "watermark" else None
+    load = {
+        "mode": target.get("write_mode", "merge"), "keys": target.get("merge_keys"),
+        "guard": guard and f"target.{guard} IS NULL OR batch.{guard} >= target.{guard}"
+    }
+    checks = [e.get("name") or f"{e['rule']}({e['column']})" for e in (c.get("quality") or {}).get("expectations") or []]
+    return {
+        "table": r.table_fqn, "env": r.env, "hash": r.hash, "source": c["source"].get("type"), "read": read, "make": make, "load": load,
+        "checks": checks, "extraction": ext, "target": target
+    }
+
+
 def _look(spark, control, tables: list[config.Resolved], a) -> int:
     """What the control plane holds, one JSON object a row."""
     from pyspark.sql import functions as F
@@ -80,7 +107,9 @@ def _look(spark, control, tables: list[config.Resolved], a) -> int:
         tasks = control.latest("ingestion_tasks").where(F.col("run_id").isin(ids)).orderBy("table_fqn", "attempt")
         print("\n".join([*shown, *tasks.toJSON().collect()]))
         return 0 if shown else 1
-    rows = [(r.table_fqn, r.env, float(x)) for r in tables if (x := (r.config.get("alerting") or {}).get("freshness_sla_hours")) is not None]
+    rows = [
+        (r.table_fqn, r.env, float(x)) for r in tables if (x := (r.config.get("alerting") or {}).get("freshness_sla_hours")) is not None
+    ]
     sla = spark.createDataFrame(rows, "table_fqn string, env string, sla_hours double")
     every = monitoring.dashboard(control, sla, F.lit(now().isoformat(sep=" ")).cast("timestamp_ntz"), a.days)
     unknown = set(a.query or ()) - set(every)
@@ -109,8 +138,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.command == "show-plan" or getattr(a, "dry_run", False):
         for r in tables:
-            c = r.config
-            print(json.dumps({"table": r.table_fqn, "env": r.env, "hash": r.hash, "source": c["source"].get("type"), "extraction": c.get("extraction"), "target": c["target"]}, default=str))
+            print(json.dumps(plan(r), default=str))
         return 0
 
     if a.command == "backfill":
@@ -133,7 +161,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     place = next((r.config.get("control") or {} for r in tables), {})
-    base = place.get("root") or "/".join(x for x in (spark.conf.get("spark.sql.warehouse.dir"), place.get("catalog"), place.get("schema")) if x)
+    base = place.get("root") or "/".join(
+        x for x in (spark.conf.get("spark.sql.warehouse.dir"), place.get("catalog"), place.get("schema")) if x
+    )
     control = Control(spark, base, a.env)
     if a.command == "init-control":
         control.create()
@@ -147,7 +177,9 @@ def main(argv: list[str] | None = None) -> int:
             control.force(r.table_fqn, a.start, inc.get("watermark_column"), validate.mark_kind(inc), mark)
             control.audit("WATERMARK_FORCED", mark, r.table_fqn, value=a.start)
         control.flush()
-    run_id, status, done = Runner(spark, control, root).run(tables, "backfill" if a.command == "backfill" else a.trigger, a.max_workers, getattr(a, "to", None))
+    run_id, status, done = Runner(spark, control, root).run(
+        tables, "backfill" if a.command == "backfill" else a.trigger, a.max_workers, getattr(a, "to", None)
+    )
     print(json.dumps({"run_id": run_id, "status": status, "tables": {t: o.status for t, o in done.items()}}))
     return 0 if status == "SUCCEEDED" else 1
 

@@ -90,13 +90,20 @@ class Dispatcher:
 
 def failure(table_fqn: str, env: str, run_id: str, error: BaseException, attempt: int) -> Alert:
     kind = type(error).__name__
-    return Alert("task_failed", f"[{env}] {table_fqn} failed", f"{kind}: {error}", table_fqn, env, run_id, {"attempt": attempt, "error_type": kind})
+    return Alert(
+        "task_failed", f"[{env}] {table_fqn} failed", f"{kind}: {error}", table_fqn, env, run_id, {"attempt": attempt, "error_type": kind}
+    )
 
 
 def mismatch(table_fqn: str, env: str, run_id: str, checks: list[str]) -> Alert:
-    return Alert("reconciliation_mismatch", f"[{env}] {table_fqn} does not reconcile", f"{len(checks)} failed: {', '.join(checks)}", table_fqn, env, run_id, {"failed_checks": checks})
+    return Alert(
+        "reconciliation_mismatch", f"[{env}] {table_fqn} does not reconcile", f"{len(checks)} failed: {', '.join(checks)}", table_fqn, env,
+        run_id, {"failed_checks": checks}
+    )
 
 
 def stale(table_fqn: str, env: str, run_id: str, hours: float, sla: float) -> Alert:
     text = f"last advanced {hours:.2f} hours ago, {sla:g} are allowed"
-    return Alert("freshness_breach", f"[{env}] {table_fqn} is stale", text, table_fqn, env, run_id, {"hours_since_advance": hours, "sla_hours": sla})
+    return Alert(
+        "freshness_breach", f"[{env}] {table_fqn} is stale", text, table_fqn, env, run_id, {"hours_since_advance": hours, "sla_hours": sla}
+    )

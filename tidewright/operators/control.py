@@ -21,17 +21,38 @@ from .files import Files
 
 #: Columns and keys of the control tables.
 TABLES = {
-    "config_registry": ("config_hash string, table_fqn string, env string, resolved_json string, config_sources array<string>, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, last_run_id string", ["config_hash", "table_fqn", "env"]),
-    "ingestion_runs": ("run_id string, env string, status string, trigger string, triggered_by string, job_id string, job_run_id string, table_count int, started_at timestamp_ntz, ended_at timestamp_ntz, duration_ms long, error_message string", ["run_id"]),
+    "config_registry": (
+        "config_hash string, table_fqn string, env string, resolved_json string, config_sources array<string>, first_seen_at "
+        "timestamp_ntz, last_seen_at timestamp_ntz, last_run_id string",
+        ["config_hash", "table_fqn", "env"]
+    ),
+    "ingestion_runs": (
+        "run_id string, env string, status string, trigger string, triggered_by string, job_id string, job_run_id string, table_count "
+        "int, started_at timestamp_ntz, ended_at timestamp_ntz, duration_ms long, error_message string",
+        ["run_id"]
+    ),
     "ingestion_tasks": (
-        "run_id string, table_fqn string, env string, attempt int, status string, extraction_mode string, write_mode string, watermark_from string, watermark_to string, source_count long, rows_read long, rows_written long, rows_inserted long, "
-        "rows_updated long, rows_deleted long, bytes_written long, config_hash string, started_at timestamp_ntz, ended_at timestamp_ntz, duration_ms long, error_type string, error_message string",
+        "run_id string, table_fqn string, env string, attempt int, status string, extraction_mode string, write_mode string, "
+        "watermark_from string, watermark_to string, source_count long, rows_read long, rows_written long, rows_inserted long, "
+        "rows_updated long, rows_deleted long, bytes_written long, config_hash string, started_at timestamp_ntz, ended_at "
+        "timestamp_ntz, duration_ms long, error_type string, error_message string",
         ["run_id", "table_fqn", "attempt"],
     ),
-    "audit_log": ("event_id string, run_id string, table_fqn string, env string, event_type string, event_ts timestamp_ntz, sequence int, actor string, payload string", ["event_id"]),
-    "reconciliation": ("run_id string, table_fqn string, env string, check_type string, check_name string, source_count long, target_count long, delta long, status string, details string, checked_at timestamp_ntz", ["run_id", "table_fqn", "check_name", "checked_at"]),
+    "audit_log": (
+        "event_id string, run_id string, table_fqn string, env string, event_type string, event_ts timestamp_ntz, sequence int, actor "
+        "string, payload string",
+        ["event_id"]
+    ),
+    "reconciliation": (
+        "run_id string, table_fqn string, env string, check_type string, check_name string, source_count long, target_count long, "
+        "delta long, status string, details string, checked_at timestamp_ntz",
+        ["run_id", "table_fqn", "check_name", "checked_at"]
+    ),
 }
-MARK = "table_fqn string, env string, watermark_column string, watermark_type string, watermark_value string, previous_value string, run_id string, updated_at string, version long, pinned boolean"
+MARK = (
+    "table_fqn string, env string, watermark_column string, watermark_type string, watermark_value string, previous_value string, "
+    "run_id string, updated_at string, version long, pinned boolean"
+)
 OPEN, CLOSED = ("PENDING", "RUNNING"), ("SUCCEEDED", "FAILED", "SKIPPED")
 BUFFER, MESSAGE = 100, 8000
 
@@ -108,16 +129,28 @@ class Control:
         return len(old)
 
     def register_config(self, config_hash: str, table_fqn: str, text: str, sources: list[str], run_id: str) -> None:
-        seen = self.latest("config_registry").where((F.col("config_hash") == config_hash) & (F.col("table_fqn") == table_fqn) & (F.col("env") == self.env)).first()
+        seen = self.latest("config_registry").where(
+            (F.col("config_hash") == config_hash) & (F.col("table_fqn") == table_fqn) & (F.col("env") == self.env)
+        ).first()
         at = now()
         first = seen["first_seen_at"] if seen else at
-        self.append("config_registry", [{"config_hash": config_hash, "table_fqn": table_fqn, "env": self.env, "resolved_json": text, "config_sources": sources, "first_seen_at": first, "last_seen_at": at, "last_run_id": run_id}])
+        self.append(
+            "config_registry",
+            [{
+                "config_hash": config_hash, "table_fqn": table_fqn, "env": self.env, "resolved_json": text, "config_sources": sources,
+                "first_seen_at": first, "last_seen_at": at, "last_run_id": run_id
+            }]
+        )
 
     def audit(self, event: str, run_id: str, table_fqn: str | None = None, **payload) -> None:
         """Buffered; flushed when full, at the end of a task and of a run."""
         with self.lock:
             self.count += 1
-            row = {"event_id": uuid.uuid4().hex, "run_id": run_id, "table_fqn": table_fqn, "env": self.env, "event_type": event, "event_ts": now(), "sequence": self.count, "actor": self.spark.sparkContext.sparkUser(), "payload": json.dumps(payload, default=str)}
+            row = {
+                "event_id": uuid.uuid4().hex, "run_id": run_id, "table_fqn": table_fqn, "env": self.env, "event_type": event,
+                "event_ts": now(), "sequence": self.count, "actor": self.spark.sparkContext.sparkUser(),
+                "payload": json.dumps(payload, default=str)
+            }
             self.events.append(row)
             full = len(self.events) >= BUFFER
         if full:
@@ -138,9 +171,15 @@ class Control:
         names = [n for n in self.files.names(self._marks(table_fqn)) if n.endswith(".json")]
         return json.loads(self.files.read(f"{self._marks(table_fqn)}/{names[-1]}")) if names else None
 
-    def _put(self, table_fqn: str, old: dict | None, value: str | None, column: str | None, kind: str, run_id: str, pinned: bool = False) -> bool:
+    def _put(
+        self, table_fqn: str, old: dict | None, value: str | None, column: str | None, kind: str, run_id: str, pinned: bool = False
+    ) -> bool:
         version = old["version"] + 1 if old else 0
-        row = {"table_fqn": table_fqn, "env": self.env, "watermark_column": column, "watermark_type": kind, "watermark_value": value, "previous_value": old and old["watermark_value"], "run_id": run_id, "updated_at": now().isoformat(sep=" "), "version": version, "pinned": pinned}
+        row = {
+            "table_fqn": table_fqn, "env": self.env, "watermark_column": column, "watermark_type": kind, "watermark_value": value,
+            "previous_value": old and old["watermark_value"], "run_id": run_id, "updated_at": now().isoformat(sep=" "), "version": version,
+            "pinned": pinned
+        }
         return self.files.put(f"{self._marks(table_fqn)}/{version:020d}.json", json.dumps(row))
 
     def advance(self, table_fqn: str, value: str | None, column: str | None, kind: str, run_id: str, pinned: bool = False) -> bool:

@@ -77,5 +77,9 @@ class Files:
             return False
         return True
 
+    def size(self, name: str) -> int:
+        """Bytes of a file, or of all files of a folder."""
+        return self.fs.getContentSummary(self._path(name)).getLength()
+
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)

@@ -12,7 +12,10 @@ OWN = ("ts", "level", "message", "logger", "error")
 
 class JsonLines(logging.Formatter):
     def format(self, record: logging.LogRecord) -> str:
-        line = {"ts": datetime.fromtimestamp(record.created, timezone.utc).isoformat(), "level": record.levelname, "logger": record.name, "message": record.getMessage()}
+        line = {
+            "ts": datetime.fromtimestamp(record.created, timezone.utc).isoformat(), "level": record.levelname, "logger": record.name,
+            "message": record.getMessage()
+        }
         for k, v in (getattr(record, "bound", None) or {}).items():
             line[f"field_{k}" if k in OWN else k] = v
         if record.exc_info:

@@ -24,7 +24,9 @@ def classify(target: DataFrame, batch: DataFrame, keys: list[str], guard: str |
     s = batch.select(F.struct(*batch.columns).alias("s"), *[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)])
     on = [F.col(f"__t{i}") == F.col(f"__s{i}") for i in range(len(keys))]
     j = t.join(s, on, "full_outer").select("t", "s")
-    newer = F.lit(True) if guard is None else F.coalesce(F.col(f"t.`{guard}`").isNull() | (F.col(f"s.`{guard}`") >= F.col(f"t.`{guard}`")), F.lit(False))
+    newer = F.lit(True) if guard is None else F.coalesce(
+        F.col(f"t.`{guard}`").isNull() | (F.col(f"s.`{guard}`") >= F.col(f"t.`{guard}`")), F.lit(False)
+    )
     both = F.col("t").isNotNull() & F.col("s").isNotNull()
     return j.withColumns({"__insert": F.col("t").isNull(), "__update": both & newer, "__reject": both & ~newer})
 
@@ -58,7 +60,9 @@ def merge(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | Non
 
 def metrics(target: DataFrame, batch: DataFrame, keys: list[str], guard: str | None = None) -> DataFrame:
     n = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0).cast("long"))
-    return classify(target, batch, keys, guard).agg(n("__insert").alias("rows_inserted"), n("__update").alias("rows_updated"), n("__reject").alias("rows_rejected"))
+    return classify(target, batch, keys, guard).agg(
+        n("__insert").alias("rows_inserted"), n("__update").alias("rows_updated"), n("__reject").alias("rows_rejected")
+    )
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:

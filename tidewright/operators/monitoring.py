@@ -28,7 +28,9 @@ def _since(df: DataFrame, column: str, since: Column | None) -> DataFrame:
 
 def success_rate(runs: DataFrame, since: Column | None = None) -> DataFrame:
     g = _since(runs, "started_at", since).groupBy(F.to_date("started_at").alias("run_date"), "env", "status")
-    return g.agg(F.count("*").alias("runs"), _seconds(F.col("duration_ms")).alias("avg_seconds")).orderBy(F.desc("run_date"), "env", "status")
+    return g.agg(
+        F.count("*").alias("runs"), _seconds(F.col("duration_ms")).alias("avg_seconds")
+    ).orderBy(F.desc("run_date"), "env", "status")
 
 
 def final_attempts(tasks: DataFrame) -> DataFrame:
@@ -48,22 +50,32 @@ def table_health(tasks: DataFrame, since: Column | None = None) -> DataFrame:
 
 
 def freshness(marks: DataFrame, sla: DataFrame, as_of: Column) -> DataFrame:
-    """sla: configuration, a row per table and environment. Breaches first, then tables without an SLA last."""
-    j = marks.join(sla, ["table_fqn", "env"], "left")
+    """sla: configuration, a row per table and environment. Breaches first, then the others, tables without an answer last.
+
+    A table with an SLA whose mark never moved is there too, without an age.
+    """
+    j = marks.join(sla, ["table_fqn", "env"], "full_outer")
     age = seconds_between(F.col("updated_at"), as_of) / F.lit(3600.0)
-    breached = F.when(F.col("sla_hours").isNotNull(), F.coalesce(age > F.col("sla_hours"), F.lit(False)))
+    breached = F.when(F.col("sla_hours").isNotNull(), age > F.col("sla_hours"))
     value = ["watermark_value"] if "watermark_value" in marks.columns else []
-    out = j.select("table_fqn", "env", *value, "updated_at", rounded_hours(F.col("updated_at"), as_of).alias("hours_since_advance"), "sla_hours", breached.alias("sla_breached"))
+    out = j.select(
+        "table_fqn", "env", *value, "updated_at", rounded_hours(F.col("updated_at"), as_of).alias("hours_since_advance"), "sla_hours",
+        breached.alias("sla_breached")
+    )
     return out.orderBy(F.desc_nulls_last("sla_breached"), F.desc("hours_since_advance"), "table_fqn", "env")
 
 
 def volume_trend(tasks: DataFrame, since: Column | None = None) -> DataFrame:
     good = _since(tasks, "started_at", since).where(F.col("status") == GOOD)
-    daily = good.groupBy("table_fqn", "env", F.to_date("started_at").alias("load_date")).agg(F.sum("rows_written").alias("rows_written"), F.sum("source_count").alias("source_count"))
+    daily = good.groupBy("table_fqn", "env", F.to_date("started_at").alias("load_date")).agg(
+        F.sum("rows_written").alias("rows_written"), F.sum("source_count").alias("source_count")
+    )
     base = daily.groupBy("table_fqn", "env").agg(F.percentile("rows_written", F.lit(0.5)).alias("med"))
     j = daily.join(base, ["table_fqn", "env"], "left")
     off = F.when(F.col("med") != 0, F.round(100.0 * (F.col("rows_written") - F.col("med")) / F.col("med"), 1))
-    out = j.select("table_fqn", "env", "load_date", "rows_written", "source_count", F.round("med", 0).alias("median_rows"), off.alias("pct_vs_median"))
+    out = j.select(
+        "table_fqn", "env", "load_date", "rows_written", "source_count", F.round("med", 0).alias("median_rows"), off.alias("pct_vs_median")
+    )
     return out.orderBy(F.desc("load_date"), "table_fqn", "env")
 
 
@@ -75,7 +87,9 @@ def watermark_stalls(tasks: DataFrame, last: int = 5, keys: tuple[str, ...] = ("
     w = Window.partitionBy(*keys).orderBy(F.desc("started_at"), F.desc(tie))
     r = tasks.where(F.col("status") == GOOD).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= last)
     still = F.count_if(F.col("watermark_to").isNull())
-    g = r.groupBy(*keys).agg(F.count("*").alias("successful_runs"), still.alias("runs_with_no_new_data"), F.max("started_at").alias("last_run_at"))
+    g = r.groupBy(*keys).agg(
+        F.count("*").alias("successful_runs"), still.alias("runs_with_no_new_data"), F.max("started_at").alias("last_run_at")
+    )
     return g.where((F.col("runs_with_no_new_data") == last) & (F.col("successful_runs") == last)).orderBy(*keys)
 
 
@@ -113,5 +127,7 @@ def dashboard(control, sla: DataFrame, as_of: Column, days: int = 7) -> dict[str
         "run_success_rate": success_rate(runs, since), "table_health": table_health(tasks, since), "freshness": freshness(control.watermarks(), sla, as_of),
         "volume_trend": volume_trend(tasks, as_of - F.make_dt_interval(days=F.lit(30))), "recent_failures": recent_failures(tasks),
         "reconciliation_issues": reconciliation_issues(control.latest("reconciliation"), since), "stuck_runs": stuck_runs(runs, as_of, 6),
-        "config_changes": config_changes(control.latest("config_registry"), as_of - F.make_dt_interval(days=F.lit(30))), "watermark_stalls": watermark_stalls(tasks),
+        "config_changes": config_changes(
+            control.latest("config_registry"), as_of - F.make_dt_interval(days=F.lit(30))
+        ), "watermark_stalls": watermark_stalls(tasks),
     }

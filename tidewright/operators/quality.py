@@ -42,7 +42,13 @@ class Rule:
 def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """(check_name, violations, status) per rule, from one pass over df."""
     one = df.agg(*[r.violations().alias(f"r{i}") for i, r in enumerate(rules)])
-    rows = [F.struct(F.lit(r.name).alias("check_name"), F.col(f"r{i}").cast("long").alias("violations"), F.when(F.col(f"r{i}") == 0, "PASSED").otherwise("WARNED" if r.severity == "warn" else "FAILED").alias("status")) for i, r in enumerate(rules)]
+    rows = [
+        F.struct(
+            F.lit(r.name).alias("check_name"), F.col(f"r{i}").cast("long").alias("violations"),
+            F.when(F.col(f"r{i}") == 0, "PASSED").otherwise("WARNED" if r.severity == "warn" else "FAILED").alias("status")
+        ) for i,
+        r in enumerate(rules)
+    ]
     return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 

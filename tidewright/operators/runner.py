@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.durations import parse_duration
 from ..plans import window as w
 from ..plans.config import Resolved
-from ..plans.validate import RULES, mark_kind
+from ..plans.validate import RULES, VERSION, mark_kind, mark_name
 from ..sources.readers import JdbcSource, Scan, env_secrets, template
 from . import alerts, quality as q, stage
 from .control import MESSAGE, Control, new_run_id, now, roll_up
@@ -28,8 +28,8 @@ from .files import Files
 from .logs import Log
 from .store import VersionedStore
 
-#: The pseudo column of a source's version, and how it writes moments.
-ORACLE_VERSION, ORACLE_MOMENT, ORACLE_DAY = "ORA_ROWSCN", "YYYY-MM-DD HH24:MI:SS.FF6", "YYYY-MM-DD"
+#: How a source of that type writes moments.
+ORACLE_MOMENT, ORACLE_DAY = "YYYY-MM-DD HH24:MI:SS.FF6", "YYYY-MM-DD"
 
 
 class ReconciliationFailure(RuntimeError):
@@ -90,13 +90,6 @@ def all_found(df: DataFrame, names: list[str], what: str) -> list[str]:
     return out
 
 
-def mark_column(c: dict) -> str | None:
-    inc = (c.get("extraction") or {}).get("incremental") or {}
-    if inc.get("strategy") == "scn":
-        return ORACLE_VERSION if c["source"]["type"] == "oracle" else "_version"
-    return inc.get("watermark_column")
-
-
 class Runner:
     """One environment's tables.
 
@@ -104,7 +97,10 @@ class Runner:
     with read(Scan), instead of what the configuration names) are pluggable.
     """
 
-    def __init__(self, spark: SparkSession, control: Control, config_root: str = ".", secrets: Callable[[str, str], str] = env_secrets, senders: dict | None = None, sources: dict | None = None):
+    def __init__(
+        self, spark: SparkSession, control: Control, config_root: str = ".", secrets: Callable[[str, str], str] = env_secrets,
+        senders: dict | None = None, sources: dict | None = None
+    ):
         self.spark, self.control, self.root, self.secrets = spark, control, config_root, secrets
         self.log, self.sources = Log(env=control.env), sources or {}
         self.alerts = alerts.Dispatcher(self.log, senders)
@@ -114,7 +110,7 @@ class Runner:
         c = r.config
         source, ext, table = c["source"], c.get("extraction") or {}, c["table"]
         inc, mode = ext.get("incremental") or {}, ext.get("mode", "full")
-        mark, names = mark_column(c), ext.get("columns", "*")
+        mark, names = mark_name(c), ext.get("columns", "*")
         extra = (mark,) if inc.get("strategy") == "scn" and names != "*" and mark not in names else ()
         columns = None if names == "*" else (*names, *extra)
         scan = Scan(columns, tuple(ext.get("exclude_columns") or ()), ext.get("filter"), None, ext.get("row_limit"))
@@ -161,7 +157,10 @@ class Runner:
         """The source's own now, as a mark; None where it has none of the kind."""
         if kind == "number" or (kind == "version" and not oracle):
             return None
-        what = {"version": "DBMS_FLASHBACK.GET_SYSTEM_CHANGE_NUMBER", "date": "TRUNC(SYSDATE)" if oracle else "CURRENT_DATE", "timestamp": "SYSTIMESTAMP" if oracle else "CURRENT_TIMESTAMP"}[kind]
+        what = {
+            "version": "DBMS_FLASHBACK.GET_SYSTEM_CHANGE_NUMBER", "date": "TRUNC(SYSDATE)" if oracle else "CURRENT_DATE",
+            "timestamp": "SYSTIMESTAMP" if oracle else "CURRENT_TIMESTAMP"
+        }[kind]
         sql = f"SELECT {what} AS v FROM dual" if oracle else f"SELECT v FROM (VALUES {what}) x(v)"
         got = self.spark.read.format("jdbc").options(**db.options(sql, parallel=False)).load().first()[0]
         return w.text_of(got, kind)
@@ -191,7 +190,7 @@ class Runner:
         c, fqn = r.config, r.table_fqn
         ext, target, quality = c.get("extraction") or {}, c["target"], c.get("quality") or {}
         mode, write = ext.get("mode", "full"), target.get("write_mode", "merge")
-        kind, mark = mark_kind(ext.get("incremental") or {}), mark_column(c)
+        kind, mark = mark_kind(ext.get("incremental") or {}), mark_name(c)
         tracked = mode != "full" and bool(mark)
         lower, inclusive = self._window(c, fqn, tracked, kind)
 
@@ -202,7 +201,9 @@ class Runner:
         stage.column_case(raw, target.get("column_case") or "preserve").write.mode("overwrite").parquet(f"{root}/{staged}")
         try:
             raw = self.spark.read.schema(stage.column_case(raw, target.get("column_case") or "preserve").schema).parquet(f"{root}/{staged}")
-            keys = all_found(raw, target.get("merge_keys") or [], "merge key") if write == "merge" else [k for k in (found(raw, x) for x in target.get("merge_keys") or []) if k]
+            keys = all_found(raw, target.get("merge_keys") or [], "merge key") if write == "merge" else [
+                k for k in (found(raw, x) for x in target.get("merge_keys") or []) if k
+            ]
             at = found(raw, mark)
             checks = [q.Rule(x.name, x.kind, all_found(raw, [x.column], "expectation")[0], x.argument, x.severity) for x in rules(c)]
             aggs = [F.count(F.lit(1)).alias("n"), (F.max(at) if tracked and at else F.lit(None)).alias("top")]
@@ -234,14 +235,19 @@ class Runner:
             guard = None
             if write == "merge" and target.get("merge_guard") == "watermark" and mark:
                 guard = all_found(raw, [mark], "the merge guard's column")[0]
-            batch = stage.newest(raw, keys, at, found(raw, ORACLE_VERSION)) if write == "merge" else raw
+            batch = stage.newest(raw, keys, at, found(raw, VERSION)) if write == "merge" else raw
             if target.get("add_audit_columns", True):
                 batch = stage.stamp(batch, run_id, f"{run_id}-{attempt}", now())
             self._create(store, c, batch)
             self.control.audit("LOAD_STARTED", run_id, fqn, mode=write)
             # newest has left one row a key
-            entry = store.write(batch, write, keys, guard, target.get("partition_by"), target.get("schema_evolution", True), unique=True, run_id=run_id, config_hash=r.hash)
+            entry = store.write(
+                batch, write, keys, guard, target.get("partition_by"), target.get("schema_evolution", True), unique=True, run_id=run_id,
+                config_hash=r.hash
+            )
             got = entry["metrics"]
+            if entry["added"]:
+                self.control.audit("SCHEMA_EVOLVED", run_id, fqn, columns=entry["added"])
             inserted = got.get("insert", got["rows_total"])
             updated, rejected = got.get("update", 0), got.get("reject", 0)
             self.control.audit("LOAD_DONE", run_id, fqn, **got)
@@ -261,7 +267,11 @@ class Runner:
         moved = bool(to) and self.control.advance(fqn, to, mark, kind, run_id, bool(ceiling))
         if tracked:
             self.control.audit("WATERMARK_ADVANCED" if moved else "WATERMARK_HELD", run_id, fqn, value=to)
-        return {"source_count": seen["n"], "rows_read": seen["n"], "rows_written": inserted + updated, "rows_inserted": inserted, "rows_updated": updated, "rows_deleted": 0, "watermark_from": lower, "watermark_to": to if moved else None}
+        return {
+            "source_count": seen["n"], "rows_read": seen["n"], "rows_written": inserted + updated, "rows_inserted": inserted,
+            "rows_updated": updated, "rows_deleted": 0, "bytes_written": entry["bytes"], "watermark_from": lower,
+            "watermark_to": to if moved else None
+        }
 
     def _create(self, store: VersionedStore, c: dict, batch: DataFrame) -> None:
         """The target with its comment, layout, properties and provenance, where it isn't there yet."""
@@ -269,11 +279,19 @@ class Runner:
         source = ".".join(x for x in (own.get("source_schema"), own.get("source_object")) if x) or s.get("path") or own["name"]
         properties = {"ingestion.source_table": source, "ingestion.managed_by": "tidewright"} | (t.get("table_properties") or {})
         clusters = [x for x in t.get("cluster_by") or [] if found(batch, x)]
-        store.create(batch.schema, own.get("description"), t.get("partition_by"), clusters, properties, bool(t.get("enable_change_data_feed")))
+        store.create(
+            batch.schema, own.get("description"), t.get("partition_by"), clusters, properties, bool(t.get("enable_change_data_feed"))
+        )
 
     def _record(self, r: Resolved, run_id: str, report: list, source: int, written: int | None) -> None:
         at = now()
-        rows = [{"run_id": run_id, "table_fqn": r.table_fqn, "env": r.env, "check_type": k, "check_name": n, "source_count": source, "target_count": written, "delta": b, "status": s, "details": None, "checked_at": at} for k, n, s, b in report]
+        rows = [
+            {
+                "run_id": run_id, "table_fqn": r.table_fqn, "env": r.env, "check_type": k, "check_name": n, "source_count": source,
+                "target_count": written, "delta": b, "status": s, "details": None, "checked_at": at
+            } for k,
+            n, s, b in report
+        ]
         self.control.append("reconciliation", rows)
 
     def _tell(self, r: Resolved, alert: alerts.Alert) -> alerts.Told:
@@ -321,8 +339,12 @@ class Runner:
     def table(self, r: Resolved, run_id: str, until: str | None = None) -> Outcome:
         """All attempts of one table; failures are returned, not raised."""
         c, fqn, run = r.config, r.table_fqn, r.config.get("runtime") or {}
-        base = {"run_id": run_id, "table_fqn": fqn, "env": r.env, "extraction_mode": (c.get("extraction") or {}).get("mode", "full"), "write_mode": c["target"].get("write_mode", "merge"), "config_hash": r.hash}
+        base = {
+            "run_id": run_id, "table_fqn": fqn, "env": r.env, "extraction_mode": (c.get("extraction") or {}).get("mode", "full"),
+            "write_mode": c["target"].get("write_mode", "merge"), "config_hash": r.hash
+        }
         self.control.register_config(r.hash, fqn, r.json, list(r.sources), run_id)
+        self.control.audit("CONFIG_RESOLVED", run_id, fqn, config_hash=r.hash, sources=list(r.sources))
         most = 1 + (run.get("retries") or 0)
         for attempt in range(1, most + 1):
             began = now()
@@ -337,7 +359,13 @@ class Runner:
                 got, status, error = {}, "FAILED", e
             end = now()
             text = str(error)[:MESSAGE] if error else None
-            self.control.append("ingestion_tasks", [{**row, **got, "status": status, "ended_at": end, "duration_ms": int((end - began).total_seconds() * 1000), "error_type": type(error).__name__ if error else None, "error_message": text}])
+            self.control.append(
+                "ingestion_tasks",
+                [{
+                    **row, **got, "status": status, "ended_at": end, "duration_ms": int((end - began).total_seconds() * 1000),
+                    "error_type": type(error).__name__ if error else None, "error_message": text
+                }]
+            )
             self.control.audit(f"TASK_{status}", run_id, fqn, error=text)
             self.control.flush()
             if error is None:
@@ -354,17 +382,28 @@ class Runner:
 
     def _skip(self, r: Resolved, run_id: str, why: str) -> Outcome:
         at = now()
-        self.control.append("ingestion_tasks", [{"run_id": run_id, "table_fqn": r.table_fqn, "env": r.env, "attempt": 1, "status": "SKIPPED", "config_hash": r.hash, "started_at": at, "ended_at": at, "error_message": why}])
+        self.control.append(
+            "ingestion_tasks",
+            [{
+                "run_id": run_id, "table_fqn": r.table_fqn, "env": r.env, "attempt": 1, "status": "SKIPPED", "config_hash": r.hash,
+                "started_at": at, "ended_at": at, "error_message": why
+            }]
+        )
         self.control.audit("TASK_SKIPPED", run_id, r.table_fqn, why=why)
         return Outcome(r.table_fqn, "SKIPPED", 0, why)
 
-    def run(self, tables: list[Resolved], trigger: str = "manual", max_workers: int = 1, until: str | None = None) -> tuple[str, str, dict[str, Outcome]]:
+    def run(
+        self, tables: list[Resolved], trigger: str = "manual", max_workers: int = 1, until: str | None = None
+    ) -> tuple[str, str, dict[str, Outcome]]:
         """(run id, status, outcomes): levels in order; dependents of a failed or so skipped table are skipped."""
         env, by_name = self.control.env, {r.table_fqn: r for r in tables}
         order = levels({t: (r.config["table"].get("depends_on") or []) for t, r in by_name.items()})
         self.control.create()
         run_id, began, done = new_run_id(env), now(), {}
-        row = {"run_id": run_id, "env": env, "trigger": trigger, "triggered_by": self.spark.sparkContext.sparkUser(), "table_count": len(tables), "started_at": began}
+        row = {
+            "run_id": run_id, "env": env, "trigger": trigger, "triggered_by": self.spark.sparkContext.sparkUser(),
+            "table_count": len(tables), "started_at": began
+        }
         self.control.append("ingestion_runs", [{**row, "status": "RUNNING"}])
         self.control.audit("RUN_STARTED", run_id)
         broken: set[str] = set()
@@ -395,7 +434,13 @@ class Runner:
             raise
         finally:
             end = now()
-            self.control.append("ingestion_runs", [{**row, "status": status, "ended_at": end, "duration_ms": int((end - began).total_seconds() * 1000), "error_message": error}])
+            self.control.append(
+                "ingestion_runs",
+                [{
+                    **row, "status": status, "ended_at": end, "duration_ms": int((end - began).total_seconds() * 1000),
+                    "error_message": error
+                }]
+            )
             self.control.audit("RUN_FINISHED", run_id, status=status)
             self.control.flush()
         return run_id, status, done

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 #: Fixed names and order of the technical columns.
 AUDIT = ("_ingested_at", "_ingested_date", "_run_id", "_batch_id", "_source_op", "_first_ingested_at")
 INSERT_ONLY = ("_first_ingested_at",)
+_ID = re.compile(r"[A-Za-z0-9_.:+-]*")
 
 
 def column_case(df: DataFrame, policy: str = "preserve") -> DataFrame:
@@ -20,13 +22,23 @@ def column_case(df: DataFrame, policy: str = "preserve") -> DataFrame:
     return df.toDF(*names)
 
 
+def plain_id(text: str) -> str:
+    """An identifier of the framework's own making, of plain characters only."""
+    if not _ID.fullmatch(text):
+        raise ValueError(f"not an identifier: {text!r}")
+    return text
+
+
 def stamp(df: DataFrame, run_id: str, batch_id: str, at: datetime) -> DataFrame:
+    """The technical columns, as typed literals."""
     when = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
-    values = (when, when.cast("date"), F.lit(run_id), F.lit(batch_id), F.lit("I"), when)
+    values = (when, when.cast("date"), F.lit(plain_id(run_id)), F.lit(plain_id(batch_id)), F.lit("I"), when)
     return df.withColumns(dict(zip(AUDIT, values)))
 
 
-def newest(df: DataFrame, keys: list[str], watermark: str | None = None, version: str | None = None, n: int = 1, rank: str | None = None) -> DataFrame:
+def newest(
+    df: DataFrame, keys: list[str], watermark: str | None = None, version: str | None = None, n: int = 1, rank: str | None = None
+) -> DataFrame:
     """The n newest rows per key under a total order, so reruns agree.
 
     Watermark, then version, descending with nulls last; ties by a hash and

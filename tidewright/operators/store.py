@@ -91,12 +91,27 @@ class VersionedStore:
                 out.append(tag(self.read(v), "insert"))
                 if v and (old := self.read(v - 1)) is not None:
                     out.append(tag(old, "delete"))
-        empty = self.spark.createDataFrame([], self.schema(self.entry(last))).withColumns({CHANGE: F.lit(""), COMMIT: F.lit(0).cast("long")})
+        empty = self.spark.createDataFrame([], self.schema(self.entry(last))).withColumns({
+            CHANGE: F.lit(""), COMMIT: F.lit(0).cast("long")
+        })
         return reduce(m.append, out, empty)
 
+    def vacuum(self, keep: int = 10) -> list[str]:
+        """Delete data that only versions before the last keep ones name, and their log entries; what no entry names is left alone."""
+        versions = [int(n[:-5]) for n in self.files.names("_log") if n.endswith(".json")]
+        old, new = versions[: -keep or None], versions[-keep:] if keep else []
+        paths = lambda v: {x for e in [self.entry(v)] for x in (*e["data"], e.get("change_rows")) if x}
+        gone = set().union(*map(paths, old)) - set().union(*map(paths, new))
+        for name in (*(f"_log/{v:020d}.json" for v in old), *sorted(gone)):  # the log first: no entry ever names what is gone
+            self.files.delete(name)
+        return sorted(gone)
+
     # writing
 
-    def create(self, schema: StructType, comment: str | None = None, partition_by: list[str] | None = None, cluster_by: list[str] | None = None, properties: dict | None = None, changes: bool = False, buckets: int = BUCKETS) -> bool:
+    def create(
+        self, schema: StructType, comment: str | None = None, partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
+        properties: dict | None = None, changes: bool = False, buckets: int = BUCKETS
+    ) -> bool:
         """Make the table if there is none; False if there is one. Partitioning and clustering exclude each other: the first wins."""
         if self.version() is not None:
             return False
@@ -112,12 +127,17 @@ class VersionedStore:
             "properties": {k: str(v) for k, v in sorted((properties or {}).items())}, "changes": changes, "buckets": buckets,
         }
         nothing = {"rows_total": 0}
-        return self._log(0, {"mode": "create", "parts": [], "data": [], "schema": json.loads(schema.json()), "metrics": nothing, "table": table})
+        return self._log(
+            0, {"mode": "create", "parts": [], "data": [], "schema": json.loads(schema.json()), "metrics": nothing, "table": table}
+        )
 
     def _log(self, version: int, entry: dict) -> bool:
         return self.files.put(f"_log/{version:020d}.json", json.dumps(entry))
 
-    def _commit(self, df: DataFrame, base: int | None, partition_by: list[str], note: dict, before: tuple = (), buckets: int | None = None, table: dict | None = None, schema: StructType | None = None) -> dict:
+    def _commit(
+        self, df: DataFrame, base: int | None, partition_by: list[str], note: dict, before: tuple = (), buckets: int | None = None,
+        table: dict | None = None, schema: StructType | None = None
+    ) -> dict:
         """Write df, then the log entry after base; with buckets df has the column BUCKET and is laid out by it."""
         data = f"data/{uuid.uuid4().hex}"
         seen = Observation()
@@ -137,13 +157,19 @@ class VersionedStore:
         part = {"path": data, "schema": json.loads(own.json()), "buckets": note.pop("live", None), "of": buckets}
         parts = [*before, part]
         whole = schema or own
-        entry = {"parts": parts, "data": [p["path"] for p in parts], "written": data, "schema": json.loads(whole.json()), "metrics": got, "table": table or {}, **note}
+        entry = {
+            "parts": parts, "data": [p["path"] for p in parts], "written": data, "bytes": self.files.size(data),
+            "schema": json.loads(whole.json()), "metrics": got, "table": table or {}, **note
+        }
         if not self._log((-1 if base is None else base) + 1, entry):
             self.files.delete(data)
             raise LostRace(f"a version after {base} exists already")
         return entry
 
-    def write(self, batch: DataFrame, mode: str, keys: list[str] | None = None, guard: str | None = None, partition_by: list[str] | None = None, evolve: bool = True, unique: bool = False, **note) -> dict:
+    def write(
+        self, batch: DataFrame, mode: str, keys: list[str] | None = None, guard: str | None = None, partition_by: list[str] | None = None,
+        evolve: bool = True, unique: bool = False, **note
+    ) -> dict:
         """merge, append or overwrite; returns the log entry with its metrics.
 
         unique: the caller vouches that the batch holds each key once. Names
@@ -175,7 +201,7 @@ class VersionedStore:
         last = None if base is None else self.entry(base)
         table = dict(last["table"]) if last else {}
         partition_by = partition_by or table.get("partition_by") or []
-        note = {"mode": mode, **note}
+        note = {"mode": mode, "added": [], **note}
         if last is None:
             schema = batch.schema
         else:
@@ -184,6 +210,7 @@ class VersionedStore:
             keys, partition_by = ([have.get(c.lower(), c) for c in x] for x in (keys, partition_by))
             guard = have.get(guard.lower(), guard) if guard else None
             schema = _evolved(self.schema(last), batch.schema)
+            note["added"] = [f.name for f in schema.fields[len(self.schema(last).fields) :]]
             if not evolve and _plain(self.schema(last)) != _plain(batch.schema):
                 raise ValueError("the batch's schema differs from the table's")
         if mode == "merge":
@@ -194,7 +221,9 @@ class VersionedStore:
         before = tuple(last["parts"]) if last else ()
         if len(before) < FOLDERS:
             return self._commit(_fitted(batch, schema, missing=False), base, partition_by, note, before, None, table, schema)
-        df = self._parts(before, schema).withColumn("__insert", F.lit(False)).unionByName(_fitted(batch, schema).withColumn("__insert", F.lit(True)))
+        df = self._parts(before, schema).withColumn("__insert", F.lit(False)).unionByName(
+            _fitted(batch, schema).withColumn("__insert", F.lit(True))
+        )
         written = self._commit(df, base, partition_by, {**note, "compacted": True}, (), None, table, schema)
         return {**written, "metrics": {**written["metrics"], "rows_total": written["metrics"]["insert"]}}
 
@@ -243,7 +272,9 @@ def _plain(schema: StructType) -> dict:
 def _evolved(old: StructType, new: StructType) -> StructType:
     """Columns of the table, then those that only the batch has; nullable."""
     have = _plain(old)
-    return StructType([StructField(f.name, f.dataType, True) for f in (*old.fields, *(g for g in new.fields if g.name.lower() not in have))])
+    return StructType([
+        StructField(f.name, f.dataType, True) for f in (*old.fields, *(g for g in new.fields if g.name.lower() not in have))
+    ])
 
 
 def _fitted(df: DataFrame, schema: StructType, missing: bool = True) -> DataFrame:
@@ -268,4 +299,6 @@ def _change_rows(j: DataFrame, rows: list[Column], names: list[str], version: in
     tagged = lambda row, kind: F.struct(row.alias("row"), F.lit(kind).alias("kind"))
     both = F.array(tagged(before, "update_preimage"), tagged(after, "update_postimage"))
     x = F.explode(F.when(F.col("__insert"), F.array(tagged(after, "insert"))).when(F.col("__update"), both))
-    return j.where("__insert OR __update").select(x.alias("x")).select("x.row.*", F.col("x.kind").alias(CHANGE), F.lit(version).cast("long").alias(COMMIT))
+    return j.where("__insert OR __update").select(x.alias("x")).select(
+        "x.row.*", F.col("x.kind").alias(CHANGE), F.lit(version).cast("long").alias(COMMIT)
+    )

@@ -77,7 +77,9 @@ def jobs(tables: list[Resolved], cluster: Cluster = Cluster(), tags: dict[str, s
         lost = [f"{r.table_fqn} -> {d}" for r in members for d in r.config["table"].get("depends_on") or [] if d not in names]
         out.append({
             "job": group, "name": f"{members[0].env}-{group}", "cron": plan and plan["cron"], "timezone": plan["timezone"] if plan else "UTC", "schedule": plan,
-            "max_concurrent_runs": 1, "clusters": [asdict(cluster)], "tags": {"managed_by": "tidewright", "schedule_group": group, **(tags or {})},
+            "max_concurrent_runs": 1, "clusters": [asdict(cluster)], "tags": {
+                "managed_by": "tidewright", "schedule_group": group, **(tags or {})
+            },
             "notify_on_failure": mails(members), "tasks": [task(r, names, cluster) for r in members], "not_enforced": lost,
         })
     return out

@@ -99,7 +99,10 @@ class JdbcSource:
             out |= {"user": self.secrets(self.secret_scope, self.user_key), "password": self.secrets(self.secret_scope, self.password_key)}
         low, high = self.bounds or (None, None)
         if parallel and self.partition_column and self.partitions > 1 and low is not None and high is not None:
-            out |= {"dbtable": f"({sql}) src", "partitionColumn": self.partition_column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(self.partitions)}
+            out |= {
+                "dbtable": f"({sql}) src", "partitionColumn": self.partition_column, "lowerBound": str(low), "upperBound": str(high),
+                "numPartitions": str(self.partitions)
+            }
         else:
             out["query"] = sql
         return out | self.extra
