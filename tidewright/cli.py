@@ -71,7 +71,7 @@ def plan(r: config.Resolved) -> dict:
         f"{mark} {'>' if inc.get('bound_inclusive') is False else '>='} :lower", f"{mark} < :upper"
     ] if ext.get("mode") == "incremental" else []
     read = {
-        "mode": ext.get("mode", "full"), "columns": ext.get("columns", "*"), "where": tests + [ext["filter"]] * bool(ext.get("filter")),
+        "mode": ext.get("mode", "full"), "columns": ext.get("columns", "*"), "where": tests + [ext.get("filter")] * bool(ext.get("filter")),
         "query_file": ext.get("query_file"), "limit": ext.get("row_limit")
     }
     make = {
