@@ -212,6 +212,28 @@ def test_appends_hold_rows_once(spark, tree):
     assert sorted(r["id"] for r in VersionedStore(spark, f"{tree}/lake/acc").read().collect()) == [1, 2, 3, 4]
 
 
+def test_an_append_that_failed_after_its_commit_is_not_repeated(spark, tree, monkeypatch):
+    put(spark, tree, [(1, 1, "2024-01-01 00:00"), (2, 2, "2024-01-02 00:00")])
+    t = _table(tree, target={"write_mode": "append"}, extraction={"incremental": {"overlap": None}})
+    control = Control(spark, f"{tree}/control", "dev")
+    real, calls = control.advance, []
+
+    def once_broken(*args, **kwargs):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(control, "advance", once_broken)
+    _, status, done = Runner(spark, control).run([t])
+    assert status == "SUCCEEDED" and done["fin.acc"].attempts == 2
+    assert VersionedStore(spark, f"{tree}/lake/acc").read().count() == 2
+    assert control.mark("fin.acc")["watermark_value"].startswith("2024-01-02")
+    control.force("fin.acc", "2024-01-01 12:00", "mark", "timestamp", "r")  # set back on purpose: read again
+    assert Runner(spark, control).run([t])[1] == "SUCCEEDED"
+    assert VersionedStore(spark, f"{tree}/lake/acc").read().count() == 3
+
+
 def test_concurrent_appends_lose_no_row(spark, tmp_path):
     c = Control(spark, str(tmp_path), "dev")
     c.create()

@@ -192,11 +192,14 @@ class Runner:
         mode, write = ext.get("mode", "full"), target.get("write_mode", "merge")
         kind, mark = mark_kind(ext.get("incremental") or {}), mark_name(c)
         tracked = mode != "full" and bool(mark)
+        root = target_root(self.spark, c)
+        store = VersionedStore(self.spark, root)
+        if tracked and write == "append":
+            self._catch_up(store, fqn, mark, kind, run_id)
         lower, inclusive = self._window(c, fqn, tracked, kind)
 
         self.control.audit("EXTRACT_STARTED", run_id, fqn, lower=lower)
         raw, ceiling = self._extract(r, lower, inclusive, kind, until)
-        root = target_root(self.spark, c)
         staged = f"_staging/{run_id}-{attempt}"
         stage.column_case(raw, target.get("column_case") or "preserve").write.mode("overwrite").parquet(f"{root}/{staged}")
         try:
@@ -217,7 +220,6 @@ class Runner:
             twice = (stage.duplicates(raw, keys).first()[0] or 0) if write == "merge" else 0
             self.control.audit("EXTRACT_DONE", run_id, fqn, rows=seen["n"])
 
-            store = VersionedStore(self.spark, root)
             report = [("duplicates", "duplicates", q.duplicate_status(twice, mode == "incremental"), twice)]
             if keys and quality.get("null_check_keys", True):
                 report.append(("null_keys", "null_keys", "FAILED" if seen["null_keys"] else "PASSED", seen["null_keys"]))
@@ -240,11 +242,13 @@ class Runner:
                 batch = stage.stamp(batch, run_id, f"{run_id}-{attempt}", now())
             self._create(store, c, batch)
             self.control.audit("LOAD_STARTED", run_id, fqn, mode=write)
+            # an empty batch holds the mark, whatever the source's clock says
+            to = None if not tracked or not seen["n"] else ceiling or w.text_of(seen["top"], kind)
+            known = self.control.mark(fqn) if tracked else None
+            note = {"run_id": run_id, "config_hash": r.hash, "mark": to, "pinned": bool(ceiling), "mark_version": known["version"] if known else None}
             # newest has left one row a key
-            entry = store.write(
-                batch, write, keys, guard, target.get("partition_by"), target.get("schema_evolution", True), unique=True, run_id=run_id,
-                config_hash=r.hash
-            )
+            evolve = target.get("schema_evolution", True)
+            entry = store.write(batch, write, keys, guard, target.get("partition_by"), evolve, unique=True, **note)
             got = entry["metrics"]
             if entry["added"]:
                 self.control.audit("SCHEMA_EVOLVED", run_id, fqn, columns=entry["added"])
@@ -262,8 +266,6 @@ class Runner:
         if report[-1][2] == "FAILED":
             raise ReconciliationFailure(f"row_count is off by {report[-1][3]}", ["row_count"])
 
-        # an empty batch holds the mark, whatever the source's clock says
-        to = None if not tracked or not seen["n"] else ceiling or w.text_of(seen["top"], kind)
         moved = bool(to) and self.control.advance(fqn, to, mark, kind, run_id, bool(ceiling))
         if tracked:
             self.control.audit("WATERMARK_ADVANCED" if moved else "WATERMARK_HELD", run_id, fqn, value=to)
@@ -273,6 +275,19 @@ class Runner:
             "watermark_to": to if moved else None
         }
 
+    def _catch_up(self, store: VersionedStore, fqn: str, mark: str, kind: str, run_id: str) -> None:
+        """Move the mark to that of the last append, where a run wrote its rows and then failed before it moved the mark.
+
+        The entry names the mark's version that it was made under; a mark that
+        has moved since, or was set back on purpose, is left alone.
+        """
+        entry = store.entry()
+        if not entry or entry["mode"] != "append" or not entry.get("mark"):
+            return
+        old = self.control.mark(fqn)
+        if entry["mark_version"] == (old["version"] if old else None):
+            self.control.advance(fqn, entry["mark"], mark, kind, run_id, entry["pinned"])
+
     def _create(self, store: VersionedStore, c: dict, batch: DataFrame) -> None:
         """The target with its comment, layout, properties and provenance, where it isn't there yet."""
         t, own, s = c["target"], c["table"], c["source"]
