@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, maybe_in, read, slices
+from .common import counted, materialize, maybe_in, read, result_of, slices
 
 #: A memtable is flushed beyond so many rows or bytes of text.
 MEMTABLE_ROWS, MEMTABLE_BYTES = 8192, 12 << 20
@@ -85,15 +85,19 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     run copies are one entry, so a hot text shuffles one row per run, not one
     per copy. digest may be replaced by a weaker one (tests do); results stay.
     """
+    return result_of(df.sparkSession, lambda: _dedup(df, id_col, text_col, digest), "exact")
+
+
+def _dedup(df: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     index = materialize(runs(df, id_col, text_col, *([digest] if digest else [])), "runs")
     key = ["run", "digest", "variant"]
     best = F.max(F.struct("rep_id", (-F.col("run")).alias("late"))).alias("best")
     merged = [best, F.sum("n").alias("size")]
     # compaction by digest: sizes and identifiers only, combined before the shuffle
     hits = index.groupBy("digest").agg(F.count("*").alias("entries"), *merged).where("entries > 1")
-    hits = materialize(hits, "hits")
+    hits, many = counted(hits, "hits")
     opened = maybe_in(
-        index.select(*key, "rep_id", "n", "text"), "digest", hits.select("digest")
+        index.select(*key, "rep_id", "n", "text"), "digest", hits.select("digest"), many
     ).join(hits.select("digest", "entries"), "digest")
     several = _digests_of_several_texts(opened)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import components, materialize, maybe_in, read, slices
+from .common import components, counted, materialize, maybe_in, read, result_of, slices
 
 SHINGLE, NUM, DEN = 5, 3, 4
 #: Bands of ROWS minimum hashes that propose groups; classes of a band's salt, and pairs of a leader's, at most (on average).
@@ -33,7 +33,7 @@ BUSY_MOST = 1 << 16
 MEMTABLE_ROWS, MEMTABLE_BYTES = 2048, 8 << 20
 #: Tokens a task counts at least HEAVY times are put last in prefixes; the list has at most HEAVY_MOST (it only orders).
 HEAVY, HEAVY_TASK, HEAVY_MOST = 6, 4096, 65536
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 #: Bytes of a word hashed by its bytes, and of a block of a text.
 SHORT, BLOCK = 32, 1 << 18
 #: Fixed odd multipliers of the shingle hash.
@@ -218,17 +218,22 @@ def _stars(classes: DataFrame, count: int) -> DataFrame:
     ).distinct()
 
 
-def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b, salt, run, lead_run) without those whose parities alone rule out a link: two linked sets differ in at most (n + m) / 7 tokens.
+def _close(pairs: DataFrame, count: int, classes: DataFrame) -> tuple[DataFrame, int]:
+    """Pairs (a, b, salt, run, lead_run), and their number, without those whose parities alone rule out a link: two linked sets differ in at most (n + m) / 7 tokens.
 
     A leader b of many pairs has a salt for every LEAD_ROWS of them; run and lead_run name entries that hold the texts.
     """
-    busy = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEAD_ROWS).alias("salts")).where("salts > 1")
-    busy = materialize(busy, "busy")
-    busy = F.broadcast(busy) if busy.count() <= BUSY_MOST else busy
-    pairs = pairs.join(busy, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1)))).drop("salts")
-    nodes = pairs.select("a").union(pairs.select("b")).distinct()
-    bits = maybe_in(classes.select("cid", F.struct("n", "bits", "run").alias("x")), "cid", nodes)
+    busy, leaders = None, 0
+    if count > LEAD_ROWS:
+        busy = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEAD_ROWS).alias("salts")).where("salts > 1")
+        busy, leaders = counted(busy, "busy")
+    if leaders:
+        pairs = pairs.join(F.broadcast(busy) if leaders <= BUSY_MOST else busy, "b", "left")
+        pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1)))).drop("salts")
+    else:
+        pairs = pairs.withColumn("salt", F.lit(0).cast("long"))
+    nodes = pairs.select("a").union(pairs.select("b"))
+    bits = maybe_in(classes.select("cid", F.struct("n", "bits", "run").alias("x")), "cid", nodes, 2 * count)
     lead = pairs.select("b", "salt").distinct().join(bits.select(F.col("cid").alias("b"), F.col("x").alias("y")), "b")
     both = pairs.join(bits.withColumnRenamed("cid", "a"), "a").join(lead, ["b", "salt"])
 
@@ -243,14 +248,18 @@ def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     both = both.select(
         "a", "b", "salt", *runs, F.col("x.n").alias("n"), F.col("x.bits").alias("x"), F.col("y.n").alias("m"), F.col("y.bits").alias("y")
     )
-    return materialize(both.mapInArrow(check, "a long, b long, salt long, run long, lead_run long"), "close")
+    return counted(both.mapInArrow(check, "a long, b long, salt long, run long, lead_run long"), "close")
 
 
 def _verify(pairs: DataFrame, entries: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (a, b), those that link: sets are built again from the texts, b's once for each salt."""
-    pairs = _close(pairs, classes)
-    nodes = pairs.select("a").union(pairs.select("b")).distinct()
-    text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes)
+    pairs, count = counted(pairs, "pairs")
+    if count:
+        pairs, count = _close(pairs, count, classes)
+    if not count:
+        return pairs.select("a", "b")
+    nodes = pairs.select("a").union(pairs.select("b"))
+    text = maybe_in(entries.where("cid is not null").select("cid", "run", "text"), "cid", nodes, 2 * count)
     lead = pairs.select(F.col("b").alias("cid"), F.col("lead_run").alias("run"), "salt").distinct().join(text, ["cid", "run"])
     lead = lead.select(F.col("cid").alias("b"), "salt", F.lit(None).cast("long").alias("a"), "text")
     rest = pairs.select(F.col("a").alias("cid"), "run", "b", "salt").join(text, ["cid", "run"]).select(
@@ -295,7 +304,7 @@ def _postings(entries: DataFrame, heavy: list[int], shards: int) -> DataFrame:
     place = {x + (1 << 63): i for i, x in enumerate(heavy)}
 
     def emit(batches):
-        for batch in slices(batches, 4096):
+        for batch in slices(batches, 2048):
             cids, toks, at, often_ = [], [], [], []
             for cid, text in zip(*(batch.column(c).to_pylist() for c in ("cid", "text"))):
                 s = shingles(text)
@@ -387,6 +396,10 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     replaced by a weaker one (tests do); results stay. Only what is needed for
     components is verified: links within a group are not enumerated.
     """
+    return result_of(df.sparkSession, lambda: _components(df, id_col, text_col, digest), "components")
+
+
+def _components(df: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     entries, classes = _classes(materialize(_entries(df, id_col, text_col, digest), "sets"))
     heavy = entries.where("cid is null").select(
         F.explode(F.arrays_zip("sigs", "ids")).alias("x")
@@ -394,14 +407,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heavy = [r[0] for r in heavy.orderBy(F.desc("c"), "sigs").limit(HEAVY_MOST).collect()]
     count, total = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
-    links = _verify(materialize(_stars(classes, count), "stars"), entries, classes)
+    links = _verify(_stars(classes, count), entries, classes)
     sized = materialize(_grouped(classes, links), "groups")
 
     # the join has dealt the rows by cid already; a window holds the prefix of one class
     prefix = F.col("n") - F.floor((NUM * F.col("n") + DEN - 1) / DEN) + 1
     posts = _postings(entries, heavy, max(1, -(-total // (DEN * SHARD_TOKENS)))).join(sized, "cid")
     posts = materialize(posts.withColumn("score", F.count("*").over(Window.partitionBy("cid")) / prefix), "posts")
-    links = materialize(links.union(_verify(materialize(_leaders(posts), "lead"), entries, classes)), "links")
+    links = materialize(links.union(_verify(_leaders(posts), entries, classes)), "links")
     sized = materialize(_grouped(classes, links), "groups")
     posts = materialize(posts.select("token", "cid").join(sized, "cid"), "posts")
     matrix = posts.groupBy("token", "grp").agg(F.min("cid").alias("rep"))
@@ -441,7 +454,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.count("*").alias("c"), F.first("least").alias("least"), F.first("most").alias("most")
     ).where(_may_link(F.col("c"), F.col("least"), F.col("most")))
     rest = rest.join(left, ["g", "h"], "left_semi").select("a", "b").join(first, ["a", "b"], "left_anti")
-    links = links.union(_verify(materialize(rest, "rest"), entries, classes))
+    links = links.union(_verify(rest, entries, classes))
 
     comp = components(links).withColumnRenamed("node", "cid")
     info = classes.select("cid", "n", "rep").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))

@@ -22,11 +22,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, materialize, read, slices
+from .common import components, counted, materialize, read, result_of, slices
 
 COSINE, MISS, EPS, SEED = 0.98, 1e-5, 4.0, 41
 #: Rows of a memtable; vectors of a tile of a bucket (a task holds two tiles); of a bucket compared along with others; pairs computed at once.
 MEMTABLE_ROWS, TILE, SMALL, PAIRS = 4096, 2048, 64, 1 << 18
+#: Buckets of several tiles that are broadcast at most (some 5 MB); more are joined by shuffle.
+BIG_MOST = 1 << 16
 ENTRY = "run long, slot int, label string, vec binary, ids array<long>"
 
 
@@ -127,14 +129,20 @@ def _codes(classes: DataFrame, bits: int, count: int) -> DataFrame:
     return classes.select("cid", "label", "vec").mapInArrow(work, kind)
 
 
-def _blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _blocks(rows: DataFrame, keys: list[str], slim: DataFrame | None = None) -> DataFrame:
     """Rows of a bucket (keys) in blocks of two tiles (i, j), where a bucket is larger than one tile; sorted by block.
 
     A bucket is cut into tiles by a salt; a row goes to every block of its
-    tile, as tile i (side 0) or j (side 1). Most buckets are one block.
+    tile, as tile i (side 0) or j (side 1). Most buckets are one block, and
+    where all are, nothing is joined. slim: the same rows with the keys only.
     """
-    big = rows.groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
-    joined = rows.join(big, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    big = (rows if slim is None else slim).groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
+    big, many = counted(big, "big")
+    if many:
+        rows_ = rows.join(F.broadcast(big) if many <= BIG_MOST else big, keys, "left")
+        joined = rows_.withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    else:
+        joined = rows.withColumn("tiles", F.lit(1))
     joined = joined.withColumn("t", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
     other = F.sequence(F.lit(0), F.col("tiles") - 1)
     pair = F.transform(
@@ -271,9 +279,11 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = No
 def _links(classes: DataFrame, codes: DataFrame, hopeful: DataFrame, bits: int, count: int, cosine: float) -> tuple[DataFrame, DataFrame]:
     """(cid, far): vectors of other classes linked, counted with copies; (a, b): edges that connect what is linked."""
     each = hopeful.groupBy("cid").agg(F.collect_list("band").alias("bands"))  # at most all bands
-    data = codes.join(each, "cid").join(classes.select("cid", "vec", "n"), "cid").withColumn("band", F.explode("bands"))
+    each = materialize(codes.join(each, "cid"), "hopeful")
     bucket = ["label", "dim", "band", "key"]
-    placed = _blocks(data.withColumn("key", F.get("keys", "band")).drop("bands"), bucket)
+    spread = lambda df: df.withColumn("band", F.explode("bands")).withColumn("key", F.get("keys", "band")).drop("bands")
+    whole = spread(each.join(classes.select("cid", "vec", "n"), "cid"))
+    placed = _blocks(whole, bucket, spread(each).select(*bucket))
 
     def work(batches):
         for table in _each_block(batches, bucket):
@@ -327,6 +337,10 @@ def embedding_dedup(
     an empty result; other columns are ignored. A bucket larger than TILE is
     compared in blocks, each a task's work of bounded size.
     """
+    return result_of(df.sparkSession, lambda: _dedup(df, id_col, vec_col, label_col, cosine, miss), "near")
+
+
+def _dedup(df: DataFrame, id_col: str, vec_col: str, label_col: str, cosine: float, miss: float) -> DataFrame:
     entries = materialize(_entries(df, id_col, vec_col, label_col), "vectors")
     keyed = entries.where("label is not null").withColumns({"h": F.xxhash64("label", "vec"), "g": F.xxhash64("vec", "label", F.lit(SEED))})
     least = F.min(F.struct("run", "slot")).alias("at")
