@@ -25,6 +25,8 @@ SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: A space beside white space, or at an end: where cutting at every space could part a run. SINGLE: where it can't.
 LOOSE = regex.compile(r" (?:\p{White_Space}|$)|\p{White_Space} |^ ")
 SINGLE = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
+#: Marks that end many words; alone each is a pre-token.
+MARKS = frozenset(".,;:!?")
 #: A step as two bytes, as they are stored.
 STEP = {n: array("h", [n]).tobytes() for n in range(-128, 128)}
 #: Entries of a cache before it starts anew; at about 0.3 KB an entry up to 160 MB. A worker has up to three that get so large.
@@ -42,11 +44,19 @@ class _Chunks(dict):
     """Chunk of text between spaces -> what value() makes of its pre-tokens."""
 
     def __init__(self, value, lead: str):
-        self.value, self.lead = value, lead
+        self.value, self.lead, self.old = value, lead, {}
+        self.mark = {c: value([c]) for c in MARKS}
 
     def __missing__(self, chunk: str):
-        if len(self) >= CACHE:
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha():  # a word and a mark: two pre-tokens, whose values are put together
+            return self[chunk[:-1]] + self.mark[chunk[-1]]
+        out = self.old.get(chunk)
+        if len(self) >= CACHE // 2:  # what was used since the last time stays within reach
+            self.old = dict(self)
             self.clear()
+        if out is not None:
+            self[chunk] = out
+            return out
         out = self.value([self.lead + chunk] if chunk.isalpha() else PATTERN.findall(self.lead + chunk))
         if len(chunk) < 64:
             self[chunk] = out
